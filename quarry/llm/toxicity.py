@@ -1,8 +1,9 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are the words whose presence depends on the label (chi-square over the
-labelled sample), so a vector holds what can tell the classes apart and not the
-bulk of the text.  Labelled documents with equal vectors are one example with
+Terms are the words, and beginnings of words, whose presence depends on the label
+(chi-square over the labelled sample); all other words of a text together are one
+more term.  So a vector holds what can tell the classes apart and how much else
+there is.  Labelled documents with equal vectors are one example with
 two counts.  The examples stand in an inverted index cut into ranges of
 ``BLOCK``: each term keeps its largest weight in each range.  A query sums those
 maxima to a bound for every range, scores ranges from the highest bound down and
@@ -33,16 +34,37 @@ MAX_TERMS = 1024
 LEAST_CHI, LEAST_DOCS = 20.0, 3
 THRESHOLD = 0.7
 K, BLOCK = 10, 64
+PREFIXES = (5, 7)
 CACHE = 100_000
 
 
-def _counts(texts: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, term, count) of the vocabulary's terms in each text, by row and term."""
+def _terms(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Terms of a column: the term strings, and for each occurrence its row and term number.
+
+    A word is a term, and so is each of its first ``PREFIXES`` letters if it has more, with a star.
+    """
     words, n = split(translated(texts, LOWER_ALNUM))
-    term = pc.fill_null(pc.index_in(words, vocabulary), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-    row = np.repeat(np.arange(len(n)), n)[term >= 0]
-    key, count = np.unique(row * max(1, len(vocabulary)) + term[term >= 0], return_counts=True)
-    return key // max(1, len(vocabulary)), key % max(1, len(vocabulary)), count
+    coded = words.dictionary_encode()
+    row, code = np.repeat(np.arange(len(n)), n), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    names, rows, numbers, at = [coded.dictionary], [row], [code], len(coded.dictionary)
+    length = pc.utf8_length(coded.dictionary).to_numpy(zero_copy_only=False)
+    for p in PREFIXES:
+        starts = pc.binary_join_element_wise(pc.utf8_slice_codeunits(coded.dictionary, 0, p), pa.scalar("*", pa.large_string()), pa.scalar("", pa.large_string())).dictionary_encode()
+        to = np.where(length > p, starts.indices.to_numpy(zero_copy_only=False).astype(np.int64) + at, -1)[code] if len(code) else code
+        names.append(starts.dictionary)
+        rows.append(row[to >= 0])
+        numbers.append(to[to >= 0])
+        at += len(starts.dictionary)
+    return pa.concat_arrays([x.cast(pa.large_string()) for x in names]), np.concatenate(rows), np.concatenate(numbers)
+
+
+def _counts(texts: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, term, count) by row and term; the number past the vocabulary stands for all other words."""
+    names, row, number = _terms(texts)
+    size = len(vocabulary)
+    known = pc.fill_null(pc.index_in(names, vocabulary), size).to_numpy(zero_copy_only=False).astype(np.int64)
+    key, count = np.unique(row * (size + 1) + known[number], return_counts=True)
+    return key // (size + 1), key % (size + 1), count
 
 
 def word_presence(sample: DataFrame) -> DataFrame:
@@ -50,14 +72,12 @@ def word_presence(sample: DataFrame) -> DataFrame:
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            words, n = split(translated(batch.column("text"), LOWER_ALNUM))
-            coded = words.dictionary_encode()
-            size = max(1, len(coded.dictionary))
-            row = np.repeat(np.arange(len(n)), n)
-            pair = np.unique(row * size + coded.indices.to_numpy(zero_copy_only=False).astype(np.int64))
+            names, row, number = _terms(batch.column("text"))
+            size = max(1, len(names))
+            pair = np.unique(row * size + number)
             label = batch.column("label").to_numpy(zero_copy_only=False)[pair // size]
-            both = [np.bincount(pair[label == v] % size, minlength=size)[: len(coded.dictionary)] for v in (0, 1)]
-            yield pa.RecordBatch.from_arrays([coded.dictionary.cast(pa.string()), pa.array(both[0]), pa.array(both[1])], ["word", "n0", "n1"])
+            both = [np.bincount(pair[label == v] % size, minlength=size)[: len(names)] for v in (0, 1)]
+            yield pa.RecordBatch.from_arrays([names.cast(pa.string()), pa.array(both[0]), pa.array(both[1])], ["word", "n0", "n1"])
 
     return sample.mapInArrow(present, "word string, n0 long, n1 long").groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
@@ -79,12 +99,12 @@ class Index:
 
     def __init__(self, words: list[tuple[str, int]], total: int, vectors: dict[tuple[tuple[int, int], ...], list[int]]) -> None:
         self.words = [w for w, _ in words]
-        self.idf = np.log((1 + total) / (1 + np.array([n for _, n in words], np.float64))) + 1
+        self.idf = np.log((1 + total) / (1 + np.array([n for _, n in words] + [total], np.float64))) + 1  # the last: all other words
         none = vectors.get((), [0, 0, -1])
         self.base = (sum(v[1] for v in vectors.values()) + 0.5) / (sum(v[0] + v[1] for v in vectors.values()) + 1)
         self.empty = (none[1] + self.base) / (none[0] + none[1] + 1)
         # Neighbours stand together if they share their heaviest term, so ranges differ in their maxima.
-        keyed = sorted((max((self.weight(v), self.words[v[0]]) for v in key)[1], key) for key in vectors if key)
+        keyed = sorted((max((self.weight(v), v[0]) for v in key)[1], key) for key in vectors if key)
         self.keys = [key for _, key in keyed]
         counts = np.array([vectors[k] for k in self.keys], np.int64).reshape(-1, 3)
         self.n0, self.n1, self.doc = counts[:, 0], counts[:, 1], counts[:, 2]
@@ -184,11 +204,17 @@ class Index:
 
 
 def vectors_of(texts: pa.Array, words: list[str]) -> list[tuple[tuple[int, int], ...]]:
+    """One vector a text, as (term, count) pairs.  The count of all other words is
+    rounded to a power of two; where they are all there is, it is 1, and a text
+    without words has an empty vector.
+    """
     row, term, count = _counts(texts, pa.array(words, pa.large_string()))
+    rest = term == len(words)
+    count[rest] = 2 ** np.round(np.log2(count[rest])).astype(np.int64)
     out: list[list[tuple[int, int]]] = [[] for _ in range(len(texts))]
     for r, t, c in zip(row.tolist(), term.tolist(), count.tolist()):
         out[r].append((t, c))
-    return [tuple(x) for x in out]
+    return [((len(words), 1),) if len(x) == 1 and x[0][0] == len(words) else tuple(x) for x in out]
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN_DOCS) -> Index:
