@@ -30,8 +30,8 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 def words_of(text: Column, lower: bool = True) -> Column:
     """Words of a text: null has none."""
     text = F.coalesce(text, F.lit(""))
-    if lower:
-        text = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+    if lower:  # lower() would also change letters beyond ASCII
+        text = F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
     else:
         return F.array_remove(F.split(text, r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), "")
     return F.array_remove(F.split(text, SEPARATORS), "")
@@ -52,10 +52,14 @@ def _shingles(docs: DataFrame) -> DataFrame:
     return at.select("doc_id", "text_hash", "words", "p", F.xxhash64("word", F.get("words", F.col("p") + 1)).alias("h"), F.xxhash64("word").alias("h1"))
 
 
-def _run(flags: Column, length: Column) -> Column:
-    """How many of the flags are true before the first that is not."""
-    at = F.array_position(flags, F.lit(False)).cast("int")
-    return F.when(length <= 0, F.lit(0)).when(at == 0, length).otherwise(at - 1)
+def _run(step: int, words: Column, p: Column, item: Column, q: Column, most: int) -> Column:
+    """How many words in a row agree, from p and q on, going by ``step``.  Plain
+    conditionals: the join's row never has to carry the document's words.
+    """
+    n = F.lit(0)
+    for i in range(most - 1, -1, -1):
+        n = F.when(F.get(words, p + i * step) == F.get(item, q + i * step), n + 1).otherwise(0)
+    return n
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -89,12 +93,10 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
     p, q, m, k, words, item = map(F.col, ("p", "q", "m", "k", "words", "item"))
     room_left, room_right = F.least(p, q, k - 2), F.least(F.size(words) - p - 2, m - q - 2, k - 2)
     same = (F.get(words, p) == F.get(item, q)) & (F.get(words, p + 1) == F.get(item, q + 1))
-    found = tokens.alias("t").join(_sized(anchors, n).alias("a"), (F.col("t.h") == F.col("a.h")) & (p + 1 < F.size(words)) & (room_left + room_right + 2 >= k) & same)
-    found = found.select("doc_id", "text_hash", "p", "k", "ids", room_left.alias("l"), room_right.alias("r"),
-        F.reverse(F.zip_with(F.slice(words, p - room_left + 1, room_left), F.slice(item, q - room_left + 1, room_left), lambda a, b: a == b)).alias("left"),
-        F.zip_with(F.slice(words, p + 3, room_right), F.slice(item, q + 3, room_right), lambda a, b: a == b).alias("right"))
-    found = found.select("doc_id", "text_hash", "ids", "k", (F.col("p") - _run(F.col("left"), F.col("l"))).alias("first"), (F.col("p") + 1 + _run(F.col("right"), F.col("r"))).alias("last"))
-    found = found.filter("last - first + 1 >= k").select("doc_id", "text_hash", "first", "last", "ids")
+    left, right = _run(-1, words, p - 1, item, q - 1, window - 2), _run(1, words, p + 2, item, q + 2, window - 2)
+    near = (p + 1 < F.size(words)) & (room_left + room_right + 2 >= k) & same & (left + right + 2 >= k)
+    found = tokens.alias("t").join(_sized(anchors, n).alias("a"), (F.col("t.h") == F.col("a.h")) & near)
+    found = found.select("doc_id", "text_hash", (p - left).alias("first"), (p + 1 + right).alias("last"), "ids")
     if shortest == 1:  # an item of one word has no shingle of two
         single = items.filter("m = 1").select(F.xxhash64(F.get("item", F.lit(0))).alias("h1"), F.get("item", F.lit(0)).alias("only"), "ids")
         alone = tokens.join(_sized(single, n), "h1").filter(F.get(words, p) == F.col("only"))
