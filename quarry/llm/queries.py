@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, quality, simhash, toxicity
+from . import bpe, decontaminate, jpeg, licenses, pii, quality, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,10 +17,33 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def tokenizer() -> bpe.Codec:
+    """The public byte-level vocabulary of 50,256 ranks; its place is a parameter of ``bpe.load``."""
+    import public_tokenizers
+
+    return bpe.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op1_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jpeg.media_features(jpeg.media_column(table(spark, sf_dir, "documents")))
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer())
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -30,8 +53,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_jpeg": op1_jpeg,
+    "op2_pii": op2_pii,
     "op5_toxicity": op5_toxicity,
     "op6_simhash": op6_simhash,
+    "op7_licenses": op7_licenses,
+    "op8_bpe": op8_bpe,
     "op9_decontaminate": op9_decontaminate,
     "op10_quality": op10_quality,
 }
