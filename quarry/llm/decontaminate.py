@@ -63,9 +63,10 @@ def _run(step: int, words: Column, p: Column, item: Column, q: Column, most: int
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, text_hash, first, last, ids): words first..last of a document lie
-    in occurring windows of the items named in ``ids`` (strings; a null item_id is
-    the empty string).
+    """(doc_id, text_hash, first, last, k, ids): words first..last of a document
+    agree with items named in ``ids`` (strings; a null item_id is the empty string)
+    around an anchor.  Where they are k or more, the window's size, they lie in
+    occurring windows; other rows are to be left out.
     """
     items = (
         benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("id"), words_of(F.col("text")).alias("item"))
@@ -94,13 +95,14 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
     room_left, room_right = F.least(p, q, k - 2), F.least(F.size(words) - p - 2, m - q - 2, k - 2)
     same = (F.get(words, p) == F.get(item, q)) & (F.get(words, p + 1) == F.get(item, q + 1))
     left, right = _run(-1, words, p - 1, item, q - 1, window - 2), _run(1, words, p + 2, item, q + 2, window - 2)
-    near = (p + 1 < F.size(words)) & (room_left + room_right + 2 >= k) & same & (left + right + 2 >= k)
+    near = (p + 1 < F.size(words)) & (room_left + room_right + 2 >= k) & same
     found = tokens.alias("t").join(_sized(anchors, n).alias("a"), (F.col("t.h") == F.col("a.h")) & near)
-    found = found.select("doc_id", "text_hash", (p - left).alias("first"), (p + 1 + right).alias("last"), "ids")
+    # Not a filter: that would move into the join, whose code would then be too long to be compiled.
+    found = found.select("doc_id", "text_hash", (p - left).alias("first"), (p + 1 + right).alias("last"), "k", "ids")
     if shortest == 1:  # an item of one word has no shingle of two
         single = items.filter("m = 1").select(F.xxhash64(F.get("item", F.lit(0))).alias("h1"), F.get("item", F.lit(0)).alias("only"), "ids")
         alone = tokens.join(_sized(single, n), "h1").filter(F.get(words, p) == F.col("only"))
-        found = found.unionByName(alone.select("doc_id", "text_hash", p.alias("first"), p.alias("last"), "ids"))
+        found = found.unionByName(alone.select("doc_id", "text_hash", p.alias("first"), p.alias("last"), F.lit(1).alias("k"), "ids"))
     return found
 
 
@@ -123,10 +125,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     An empty benchmark leaves every document clean.
     """
     docs = docs.select("doc_id", "text")
+    whole = F.expr("last - first + 1 >= k")
     per_doc = (
         hits(docs, benchmark, window)
         .groupBy("doc_id", "text_hash")
-        .agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("ids")))).alias("items"))
+        .agg(F.sort_array(F.collect_set(F.when(whole, F.struct("first", "last")))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.when(whole, F.col("ids")))))).alias("items"))
         .select("doc_id", "text_hash", _covered(F.col("spans")).alias("hit"), "items")
     )
     base = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.size(words_of(F.col("text"), lower=False)).cast("long").alias("n_words"))
