@@ -139,6 +139,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (F.coalesce("hit", F.lit(0)) > 0).alias("contaminated"))
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` that hold no window of the benchmark, columns as they are."""
+    whole = F.expr("last - first + 1 >= k")
+    found = hits(docs.select("doc_id", "text"), benchmark, window).groupBy("doc_id", "text_hash").agg(F.max(whole).alias("hit")).filter("hit")
+    bad = found.select(F.col("doc_id").alias("__bad"), F.col("text_hash").alias("__hash"))
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__bad")) & (F.xxhash64("text") == F.col("__hash")), "left_anti")
+
+
 ORACLE = r"""
 WITH lowered AS (
   SELECT doc_id, list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -198,6 +198,20 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return id_text(docs, (fold(F.col("doc_id"), 5) == 0).alias("held_out")).mapInArrow(scored, "doc_id long, held_out boolean, score double, predicted int")
 
 
+def keep(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` whose text is accepted (score at least ``THRESHOLD``), columns as they are."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    shared = spark.sparkContext.broadcast(model)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for batch in slices(batches):
+            yield batch.filter(pa.array(m.score(pooled(batch.column("text"), m.vectors)) >= THRESHOLD))
+
+    return docs.mapInArrow(kept, docs.schema)
+
+
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Fit on ``labels``, then score every row of ``docs``.
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, jpeg, licenses, pii, quality, simhash, toxicity
+from . import bpe, decontaminate, jpeg, licenses, ngram, pii, preferences, quality, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,14 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(table(spark, sf_dir, "documents"))
 
 
+def op3_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram.score(table(spark, sf_dir, "documents"))
+
+
+def op4_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preferences.preferences(table(spark, sf_dir, "conversations"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -55,6 +63,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jpeg": op1_jpeg,
     "op2_pii": op2_pii,
+    "op3_ngram": op3_ngram,
+    "op4_preferences": op4_preferences,
     "op5_toxicity": op5_toxicity,
     "op6_simhash": op6_simhash,
     "op7_licenses": op7_licenses,
@@ -64,5 +74,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op4_preferences": preferences.ORACLE,
     "op9_decontaminate": decontaminate.ORACLE,
 }

@@ -26,6 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .components import components, cut
 from .textops import bounded_batches, id_text, slices
@@ -167,3 +168,34 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     roots = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of_print = rooted.select("fp", "root").join(roots, "root").select("fp", "component_id")
     return per_doc.join(of_print, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _print_column(docs: DataFrame) -> DataFrame:
+    """``docs`` with the fingerprint of each text as ``__print``, as in ``near_duplicates``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            prints = [f"{fingerprint(t or ''):016x}" for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prints, pa.string())], [*batch.schema.names, "__print"])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__print", T.StringType())]))
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is their component's id, columns as they are.
+
+    Where a doc_id stands in several rows, one such row stays (the one with the
+    least hashes); rows without a doc_id, in components that have none, keep one
+    row for each fingerprint.
+    """
+    named = cut(near_duplicates(docs))
+    wins = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    ids = named.groupBy("doc_id").agg(F.max(wins).alias("wins"), (F.count("*") > 1).alias("__many")).filter("wins").select(F.col("doc_id").alias("__id"), "__many")
+    kept = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("__id")))
+    once = kept.filter(~F.col("__many")).select(docs.columns)
+    winners = named.filter(wins).select(F.col("doc_id").alias("__winner"), F.col("fingerprint").alias("__of")).distinct()
+    again = _print_column(kept.filter("__many").select(docs.columns)).join(winners, F.col("doc_id").eqNullSafe(F.col("__winner")) & (F.col("__print") == F.col("__of")))
+    row = F.struct(*(F.col(c) for c in docs.columns))
+    group = F.when(F.col("doc_id").isNull(), F.col("__print"))
+    one = again.groupBy("doc_id", group.alias("__group")).agg(F.min_by(row, F.struct(F.xxhash64("text"), F.xxhash64(*docs.columns))).alias("__row")).select("__row.*")
+    return once.unionByName(one)
