@@ -59,7 +59,7 @@ def pack(*parts) -> bytes:
             flat.append((p.dtype.str, -1, p.tobytes()))
         else:
             flat.append((None, 0, p))
-    return zstandard.compress(pickle.dumps(flat), 1)
+    return zstandard.compress(pickle.dumps(flat), 3)
 
 
 def unpack(data: bytes) -> list:
@@ -80,12 +80,17 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, most=BLOCK_TEXT):
         words, n = split(translated(batch.column("text"), LOWER_SPACE))
         coded = words.dictionary_encode()
-        local = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
+        local = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        size = len(coded.dictionary)
+        # Frequent words get small numbers here and in the shards: small numbers pack well.
+        order = np.argsort(-np.bincount(local, minlength=size), kind="stable")
+        rank = np.empty(size, np.uint32)
+        rank[order] = np.arange(size, dtype=np.uint32)
+        local = rank[local]
         held = batch.column("held_out").to_numpy(zero_copy_only=False)
         train = np.repeat(~held, n)
-        size = len(coded.dictionary)
         count = np.bincount(local[train], minlength=size).astype(np.int64)
-        names = b" ".join(coded.dictionary.cast(pa.large_binary()).to_pylist())
+        names = pack(b" ".join(coded.dictionary.take(pa.array(order)).cast(pa.large_binary()).to_pylist()))
         ids = batch.column("doc_id")
         lost = np.array(ids.is_null())
         body = pack(pc.fill_null(ids, 0).to_numpy(zero_copy_only=False).astype(np.int64), lost, held, n.astype(np.int64), local)
@@ -112,6 +117,7 @@ def _send_words(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, names, counts in zip(*(batch.column(c).to_pylist() for c in ("block", "names", "counts"))):
+                names = unpack(names)[0]
                 shard, words, count = _shard_of_words(names, shards), names.split(b" "), unpack(counts)[0]
                 order = np.argsort(shard, kind="stable")
                 cuts = np.searchsorted(shard[order], np.arange(shards + 1))
@@ -134,11 +140,15 @@ def _answer_words(shards: int):
         coded = pa.concat_arrays([pa.array(x, pa.large_binary()) for x in lists]).dictionary_encode()
         local = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         total = np.bincount(local, np.concatenate([p[1] for p in parts]), len(coded.dictionary)).astype(np.int64)
+        # Numbered by falling count, ties by the word itself, so that any order of rows gives the same numbers.
+        order = np.lexsort((pc.rank(coded.dictionary).to_numpy(zero_copy_only=False), -total))
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
         ends = np.cumsum([0] + [len(x) for x in lists])
         out = []
         for i, block in enumerate(blocks):
             mine = local[ends[i] : ends[i + 1]]
-            out.append((block, shard, pack((FIRST + mine * shards + shard).astype(np.uint32), total[mine]), int((total > 0).sum()) if i == 0 else 0, int(total.sum()) if i == 0 else 0))
+            out.append((block, shard, pack((FIRST + rank[mine] * shards + shard).astype(np.uint32), total[mine]), int((total > 0).sum()) if i == 0 else 0, int(total.sum()) if i == 0 else 0))
         types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out), types)], ["block", "shard", "part", "types", "tokens"])
 
@@ -153,7 +163,7 @@ class _Block:
         names = b""
         for kind, shard, part, extra in zip(*(rows.column(c).to_pylist() for c in ("kind", "shard", "part", "names"))):
             by_kind[kind][shard] = part
-            names = extra if kind == 0 else names
+            names = unpack(extra)[0] if kind == 0 else names
         self.ids, self.lost, self.held, self.n, local = unpack(by_kind[0][0])
         shard = _shard_of_words(names, shards)
         number, count = np.zeros(len(shard), np.int64), np.zeros(len(shard), np.int64)
@@ -198,9 +208,12 @@ def _send_pairs(shards: int, pair_shards: int, n_train: int):
             mine = slice(cuts[s], cuts[s + 1])
             if cuts[s] < cuts[s + 1]:
                 context, where = keys[mine] >> 32, place[mine]
-                step = np.diff(context, prepend=0).astype(np.uint32)
-                # A context's count is the same in all its rows: it is sent as differences, mostly zero.
-                out.append((s, block, pack(step, (keys[mine] & 0xFFFFFFFF).astype(np.uint32), np.diff(b.before[where], prepend=0), b.count[where].astype(np.int64), seen[mine].astype(np.uint32))))
+                step = np.diff(context, prepend=0).astype(np.uint32)  # above 0 where a context begins
+                word = keys[mine] & 0xFFFFFFFF
+                _, first = np.unique(word, return_index=True)
+                # Counts go once a context and once a word; sorted by number, words' counts hardly vary.
+                ahead, behind = b.before[where][step > 0], b.count[where][first]
+                out.append((s, block, pack(step, word.astype(np.uint32), ahead, behind, seen[mine].astype(np.uint32))))
         return pa.Table.from_batches([_part_rows(out)])
 
     return run
@@ -218,8 +231,8 @@ def _answer_pairs(total: int, types: int):
         for p in rows.column("part").to_pylist():
             step, word, b, c, s = unpack(p)
             keys.append(np.cumsum(step, dtype=np.int64) << 32 | word.astype(np.int64))
-            before.append(np.cumsum(b))
-            count.append(c)
+            before.append(b[np.cumsum(step > 0) - 1])
+            count.append(c[np.unique(word, return_inverse=True)[1]])
             seen.append(s)
             sizes.append(len(word))
         every, place, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
