@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.lineage import cut
+
 
 def _winner(df: DataFrame, keys: list[str], pick) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
@@ -24,3 +26,17 @@ def merged(df: DataFrame, key: str, fill: list[str], order: str = "seq") -> Data
     (the empty text if there is none), the first place, and how often the key stood."""
     firsts = [F.coalesce(F.min_by(F.when(F.col(c) != "", F.col(c)), F.when(F.col(c) != "", F.col(order))), F.lit("")).alias(c) for c in fill]
     return df.groupBy(key).agg(*firsts, F.min(order).alias(order), F.count("*").alias("times"))
+
+
+def ranked(df: DataFrame, order: str, name: str, first: int = 0) -> DataFrame:
+    """``df`` with its place in ``order``, without a task that sees all rows.
+
+    Rows are range-partitioned and sorted, then kept; a place is the rows of
+    earlier partitions, one count each, and the place in its own.
+    """
+    kept = cut(df.orderBy(order).withColumn("_id", F.monotonically_increasing_id()))
+    parts = kept.groupBy(F.shiftright("_id", 33).alias("_part")).agg(F.count("*").alias("_n"))
+    skip = parts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_skip"))
+    own = F.col("_id").bitwiseAND((1 << 33) - 1)
+    joined = kept.join(F.broadcast(skip), F.shiftright("_id", 33) == F.col("_part"))
+    return joined.withColumn(name, F.col("_skip") + own + F.lit(first)).drop("_id", "_part", "_skip")

@@ -12,14 +12,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import html as H
 from quarry.functions import urls as U
 from quarry.functions.text import text_of
 from quarry.lineage import cut
-from quarry.operators.dedup import merged
+from quarry.operators.dedup import merged, ranked
 
 Ask = Callable[[DataFrame], DataFrame]
 LINKS_A_PAGE = 1 << 20
@@ -72,11 +72,6 @@ def _within(links: DataFrame, known_assets: DataFrame, room: int | None) -> Data
     return links.filter(~asset).unionByName(links.filter(asset).join(allowed, "url", "left_semi"))
 
 
-def _numbered(urls: DataFrame, first: int) -> DataFrame:
-    """A level's URLs numbered in order of discovery.  The window is over one level's distinct pages."""
-    return urls.select("url", (F.row_number().over(Window.orderBy("at")) + F.lit(first - 1)).cast("long").alias("visit"))
-
-
 def crawl(spark: SparkSession, config: CrawlConfig, fetch: Ask, probe: Ask | None = None, progress: Callable[[str], None] = lambda _: None) -> Crawl:
     """``fetch`` gives (url, status, content_type, html) and ``probe`` (url, status, content_type) of (url).
 
@@ -121,7 +116,7 @@ def crawl(spark: SparkSession, config: CrawlConfig, fetch: Ask, probe: Ask | Non
         room = None if config.max_follow_pages is None else config.max_follow_pages - followed
         pages = events.filter(U.resource_kind(F.col("url")).isin("dataset_page", "documentation_page")).filter(F.col("source_url") != "")
         new = pages.join(reads.filter(~F.col("listing")).select("url").distinct(), "url", "left_anti").groupBy("url").agg(F.min("at").alias("at"))
-        level = cut(_numbered(new if room is None else new.orderBy("at").limit(max(0, room)), visit))
+        level = cut(ranked(new if room is None else new.orderBy("at").limit(max(0, room)), "at", "visit", visit).select("url", "visit"))
         size = level.count()
         if not size:
             break

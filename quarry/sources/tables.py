@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,17 +55,15 @@ def write_csv(df: DataFrame, name: str, path: str) -> None:
     ordered.select(*text).coalesce(1).write.mode("overwrite").options(header="true", escape='"', emptyValue="").csv(path)
 
 
-def _numbered(lines: DataFrame) -> DataFrame:
-    """Each line with its number in its file, in one pass over each file's lines."""
-
-    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n = 0
-        for batch in batches:
-            batch["line"] = range(n + 1, n + 1 + len(batch))
-            n += len(batch)
-            yield batch
+def _line_numbers(few: DataFrame, lines: DataFrame) -> DataFrame:
+    """``few`` of the ``lines`` with ``line``, their number in their file.
 
-    return lines.coalesce(1).mapInPandas(number, "value string, line long")
+    A file is read in blocks; a line's number is the lines of earlier blocks and
+    its place in its own.  Only counts of blocks meet, never the lines.
+    """
+    blocks = lines.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("seq").alias("first"))
+    earlier = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return few.join(blocks.withColumn("skip", earlier), ["file", "block"]).withColumn("line", F.col("skip") + F.col("seq") - F.col("first") + 1)
 
 
 def read_chunks(spark: SparkSession, path: str, strict: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -78,17 +73,18 @@ def read_chunks(spark: SparkSession, path: str, strict: bool = False) -> tuple[D
     after its line number, unless ``strict``: then the first one is an error.
     """
     fields = TABLES["chunks"]
-    numbered = _numbered(spark.read.text(path)).filter(F.trim("value") != "")
+    lines = with_seq(spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")))
     kind = T.StructType([*fields.fields, T.StructField("_bad", T.StringType())])
-    parsed = numbered.select("line", F.from_json("value", kind, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("c"))
+    parsed = lines.filter(F.trim("value") != "").withColumn("c", F.from_json("value", kind, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
     bad = F.col("c").isNull() | F.col("c._bad").isNotNull()
     for f in fields:
         if f.name != "page":
             bad = bad | F.col(f"c.{f.name}").isNull()
-    if strict and (first := parsed.filter(bad).agg(F.min("line")).first()[0]):
+    numbered = _line_numbers(parsed.filter(bad), lines)
+    if strict and (first := numbered.agg(F.min("line")).first()[0]):
         raise ValueError(f"failed to parse chunk JSON on line {first}")
-    good = parsed.filter(~bad).select("c.*", F.col("line").alias("seq")).drop("_bad")
-    failures = parsed.filter(bad).select(F.concat(F.lit("line-"), F.col("line")).alias("chunk_id"), F.lit("").alias("source_document"), F.lit("failed to parse chunk JSON").alias("reason"))
+    good = parsed.filter(~bad).select("c.*", "seq").drop("_bad")
+    failures = numbered.select(F.concat(F.lit("line-"), F.col("line")).alias("chunk_id"), F.lit("").alias("source_document"), F.lit("failed to parse chunk JSON").alias("reason"))
     return good, failures
 
 
