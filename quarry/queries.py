@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from quarry.functions import html as H
 from quarry.functions import text as X
 from quarry.functions import urls as U
-from quarry.operators import chunking, dedup, search, variables
-from quarry.plans import audit, context, crawl, extract
+from quarry.operators import chunking, dedup, records, search, variables
+from quarry.plans import archive, audit, context, crawl, extract
 from quarry.schemas import RECORDS, TABLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -414,3 +414,49 @@ def crawl_inventory(spark, sf_dir):
     web = pages.select(F.concat(F.lit("https://data.example/cms-data/files/Set_"), k.cast("string")).alias("url"), F.lit(200).alias("status"), F.lit("text/html").alias("content_type"), body.alias("html"))
     listing = spark.createDataFrame([("https://data.example/cms-data?page=0", 200, "text/html", '<title>All</title><a href="/cms-data/files/Set_0">first</a>')], web.schema)
     return crawl.crawl(spark, crawl.CrawlConfig("https://data.example/cms-data", 2, 40), crawl.table_web(web.unionByName(listing))).inventory
+
+
+@query(f"""SELECT page_id, kind IN ('listing_page', 'dataset_page', 'documentation_page', 'asset') AND s < 400 AND s NOT IN (0) AS wanted FROM (
+  SELECT page_id, {_KIND} AS kind, CASE page_id % 4 WHEN 0 THEN 200 WHEN 1 THEN 404 WHEN 2 THEN 503 ELSE 0 END AS s FROM ({_PATHED}))""")
+def archive_targets(spark, sf_dir):
+    u, k = F.col("url"), F.col("page_id")
+    s = F.when(k % 4 == 0, 200).when(k % 4 == 1, 404).when(k % 4 == 2, 503).otherwise(0)
+    rows = _made(spark, sf_dir).select("page_id", U.resource_kind(u).alias("resource_kind"), s.alias("http_status"), U.link_state(s).alias("link_state"))
+    return rows.select("page_id", archive.should_archive(rows).alias("wanted"))
+
+
+@query(f"""SELECT page_id, CASE WHEN p LIKE '/cms-data/files/%' THEN page_id % 3 <> 0 ELSE regexp_matches(p, '[.](pdf|xlsx|xls|csv|zip)$') END AS relevant FROM ({_PATHED})""")
+def relevant_links(spark, sf_dir):
+    base = F.when(F.col("page_id") % 3 == 0, "https://other.example/cms-data").otherwise("https://www.data.example/cms-data")
+    return _made(spark, sf_dir).select("page_id", U.is_relevant(base, U.normalized(F.col("url"))).alias("relevant"))
+
+
+@query("""SELECT p_partkey, CASE WHEN trim(i) = '' THEN 'document_id must not be empty' WHEN NOT regexp_matches(i, '^[A-Za-z0-9][A-Za-z0-9_.-]*$') THEN 'document_id contains unsafe output path characters: ' || i ELSE '' END AS error
+  FROM (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_brand WHEN 1 THEN 'Part-' || p_partkey || '.x' WHEN 2 THEN '../' || p_partkey ELSE ' ' END AS i FROM part)""")
+def safe_ids(spark, sf_dir):
+    k = F.col("p_partkey")
+    i = F.when(k % 4 == 0, F.col("p_brand")).when(k % 4 == 1, F.concat(F.lit("Part-"), k, F.lit(".x"))).when(k % 4 == 2, F.concat(F.lit("../"), k)).otherwise(" ")
+    return table(spark, sf_dir, "part").select("p_partkey", X.safe_id_error("document_id", i).alias("error"))
+
+
+@query("""SELECT source AS url, coalesce(arg_min(lang, doc_id) FILTER (WHERE lang <> 'en'), '') AS title, CAST(count(*) AS BIGINT) AS times, min(doc_id) AS seq FROM documents GROUP BY source""")
+def first_titles(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select(F.col("source").alias("url"), F.when(F.col("lang") == "en", "").otherwise(F.col("lang")).alias("title"), F.col("doc_id").alias("seq"))
+    return dedup.merged(rows, "url", ["title"]).select("url", "title", "times", "seq")
+
+
+@query("""SELECT 'variable-' || p_partkey AS record_id, 'variable-' || p_partkey || ' PART_' || p_partkey || ' parts ' || p_name || ' ' || p_brand || ' b 1995' AS text, p_size AS page,
+  'variable-' || p_partkey || '|PART_' || p_partkey || '|parts' AS terms FROM part""")
+def variable_record_texts(spark, sf_dir):
+    k = F.col("p_partkey")
+    made = {"variable_id": F.concat(F.lit("variable-"), k), "variable_name": F.concat(F.lit("PART_"), k), "dataset_id": F.lit("parts"), "definition": F.col("p_name"), "aliases": F.concat(F.col("p_brand"), F.lit("|b")), "years": F.lit("1995"), "source_url": F.lit("https://data.example/p"), "page": F.col("p_size")}
+    rows = table(spark, sf_dir, "part").select(*(made.get(n, F.lit("")).alias(n) for n in TABLES["variables"].names))
+    return records.variable_records(rows).select("record_id", "text", "page", F.array_join("exact_terms", "|").alias("terms"))
+
+
+@query("""SELECT url, local_path, arg_max(sha256, event_id) AS sha256 FROM (SELECT event_id, 'u' || user_id AS url, 'p' || (user_id % 3) AS local_path, CASE WHEN event_id % 5 = 0 THEN '' ELSE sha256(CAST(event_id AS VARCHAR)) END AS sha256 FROM events WHERE event_type <> 'error') WHERE sha256 <> '' GROUP BY url, local_path""")
+def trusted_manifest(spark, sf_dir):
+    e, u = F.col("event_id"), F.col("user_id")
+    sha = F.when(e % 5 == 0, "").otherwise(F.sha2(e.cast("string").cast("binary"), 256))
+    rows = table(spark, sf_dir, "events").select(F.concat(F.lit("u"), u).alias("url"), F.concat(F.lit("p"), u % 3).alias("local_path"), sha.alias("sha256"), F.when(F.col("event_type") == "error", "failed").otherwise("archived").alias("archive_state"), e.alias("seq"))
+    return archive.trusted(rows).select("url", "local_path", "sha256")
