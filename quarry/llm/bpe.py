@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .textops import bounded_batches, id_text, slices
 
-GENERATION = 120_000
+GENERATION = 300_000
 
 
 class PerfectHash:
@@ -113,11 +113,15 @@ class Codec:
 
     def merge(self, piece: bytes) -> tuple[int, ...]:
         """Token ids of a piece, by merging its bytes."""
-        n, ranks = len(piece), self.ranks
-        end = list(range(1, n + 1))  # end[i]: where the span that starts at i ends; 0: merged away
-        before = list(range(-1, n - 1))
-        heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(piece[i : i + 2])) is not None]
+        n, rank = len(piece), self.ranks.get
+        heap = []
+        for i in range(n - 1):
+            r = rank(piece[i : i + 2])
+            if r is not None:
+                heap.append((r, i, i + 2))
         heapify(heap)
+        end = list(range(1, n + 2))  # end[i]: where the span that starts at i ends; 0: merged away
+        before = list(range(-1, n))
         while heap:
             _, i, stop = heappop(heap)
             j = end[i]
@@ -126,13 +130,18 @@ class Codec:
             end[i], end[j] = stop, 0
             if stop < n:
                 before[stop] = i
-                if (r := ranks.get(piece[i : end[stop]])) is not None:
-                    heappush(heap, (r, i, end[stop]))
-            if (h := before[i]) >= 0 and (r := ranks.get(piece[h:stop])) is not None:
-                heappush(heap, (r, h, stop))
+                far = end[stop]
+                r = rank(piece[i:far])
+                if r is not None:
+                    heappush(heap, (r, i, far))
+            h = before[i]
+            if h >= 0:
+                r = rank(piece[h:stop])
+                if r is not None:
+                    heappush(heap, (r, h, stop))
         out, i = [], 0
         while i < n:
-            out.append(ranks[piece[i : end[i]]])
+            out.append(self.ranks[piece[i : end[i]]])
             i = end[i]
         return tuple(out)
 
