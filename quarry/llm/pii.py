@@ -57,7 +57,8 @@ def luhn(digits: str) -> bool:
 
 
 def _octets(s: str) -> bool:
-    return all(len(p.lstrip("0")) <= 3 and int(p[-20:] if len(p.lstrip("0")) > 3 else p.lstrip("0") or 0) <= 255 for p in s.split("."))
+    """Whether all parts are at most 255, however long they are written."""
+    return all(len(p.lstrip("0")) <= 3 and int(p[-3:]) <= 255 for p in s.split("."))
 
 
 def base_spans(text: str) -> list[Span]:

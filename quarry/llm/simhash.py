@@ -28,7 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .components import components, cut
+from quarry.lineage import cut
+
+from .components import components
 from .textops import bounded_batches, id_text, slices
 
 SHINGLE = 3
