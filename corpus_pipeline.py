@@ -14,10 +14,9 @@ from collections.abc import Callable
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from quarry.lineage import shared_folder
 from quarry.llm import bpe, decontaminate, pii, quality, simhash
-from quarry.llm.components import shared_folder
 from quarry.llm.queries import table, tokenizer
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -63,8 +62,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage's rows are written to the shared folder and read again."""
-    shared_folder(spark)
-    folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid4()}"
+    folder = f"{shared_folder(spark)}/pipeline-{uuid4()}"
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
