@@ -6,7 +6,7 @@ Unicode classes on and name the four separators that Java leaves out.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPACE = r"(?U)[\s\x1C-\x1F]"
@@ -89,11 +89,21 @@ def years(line: Column) -> Column:
     return F.array_join(F.array_sort(F.array_distinct(F.regexp_extract_all(line, F.lit(YEAR), F.lit(0)))), "|")
 
 
-def snippet(c: Column, terms: Column, size: int = 180, lead: int = 40) -> Column:
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with more columns, each evaluated once a row.
+
+    A plain ``select`` would be folded into every later filter and expression
+    that uses the column; a generator of one row is not.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))))
+
+
+def snippet(c: Column, terms: list[str], size: int = 180, lead: int = 40) -> Column:
     """A stretch of the collapsed text from a little before the earliest term."""
     flat = collapse(text_of(c))
     low = F.lower(flat)
-    first = F.array_min(F.filter(F.transform(terms, lambda t: F.instr(low, t)), lambda p: p > 0))
+    places = [F.nullif(F.instr(low, t), F.lit(0)) for t in dict.fromkeys(terms)]
+    first = F.least(*places, F.lit(None).cast("int")) if places else F.lit(None).cast("int")
     start = F.greatest(F.lit(0), F.coalesce(first, F.lit(1)) - 1 - lead)
     piece = F.trim(F.substr(flat, start + 1, F.lit(size)))
     cut = F.concat(F.when(start > 0, F.lit("...")).otherwise(""), piece, F.when(start + size < F.length(flat), F.lit("...")).otherwise(""))

@@ -17,7 +17,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.text import TOKEN, snippet, text_of, tokens
+from quarry.functions.text import TOKEN, once, snippet, text_of, tokens
 
 # The ranking's constants.
 K1, B = 1.2, 0.75
@@ -37,7 +37,7 @@ def query_terms(query: str) -> tuple[str, list[str]]:
 
 def tokenized(records: DataFrame) -> DataFrame:
     """``records`` with their tokens; worth caching where many queries follow."""
-    return records if "tokens" in records.columns else records.withColumn("tokens", tokens(F.col("text")))
+    return records if "tokens" in records.columns else once(records, tokens=tokens(F.col("text")))
 
 
 def _count(term: str) -> Column:
@@ -78,7 +78,7 @@ def scores(records: DataFrame, query: str, boosts: bool = True) -> DataFrame:
     if boosts:
         score = score + F.coalesce(_boost(q, terms), F.lit(0.0))
     kept = [c for c in own.columns if c != "tokens"]
-    return scored.select(*kept, score.alias("score")).filter("score > 0").withColumn("score", F.round("score", 6))
+    return once(scored, raw=score).filter("raw > 0").select(*kept, F.round("raw", 6).alias("score"))
 
 
 def search(records: DataFrame, query: str, limit: int = 10, record_types: list[str] | None = None) -> DataFrame:
@@ -93,7 +93,7 @@ def search(records: DataFrame, query: str, limit: int = 10, record_types: list[s
     searched = records.filter(F.col("record_type").isin(*record_types)) if record_types else records
     order = [F.desc("score"), F.asc("record_type"), F.asc("record_id")]
     best = scores(searched, query).orderBy(*order).limit(limit)
-    cut = snippet(F.col("text"), F.array(*map(F.lit, terms)))
+    cut = snippet(F.col("text"), terms)
     return best.select("record_id", "record_type", "title", "dataset_id", "score", cut.alias("snippet"), "source_url", "source_document", "page").orderBy(*order)
 
 

@@ -139,7 +139,7 @@ SELECT doc_id, CASE WHEN length(t) <= 180 THEN t ELSE
   (CASE WHEN start > 0 THEN '...' ELSE '' END) || trim(substring(t, start + 1, 180)) || (CASE WHEN start + 180 < length(t) THEN '...' ELSE '' END) END AS snippet FROM s
 """)
 def snippet(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", X.snippet(F.col("text"), F.array(*map(F.lit, ("the", "thing", "und")))).alias("snippet"))
+    return table(spark, sf_dir, "documents").select("doc_id", X.snippet(F.col("text"), ["the", "thing", "und"]).alias("snippet"))
 
 
 @query(r"""

@@ -67,7 +67,7 @@ def test_aliases_and_years(spark):
 
 def test_snippet(spark):
     text = "x " * 100 + "needle" + " y" * 200
-    got = column(spark, [text, "short  text"], X.snippet(F.col("v"), F.array(F.lit("needle"))))
+    got = column(spark, [text, "short  text"], X.snippet(F.col("v"), ["needle"]))
     assert got[1] == "short text" and got[0].startswith("...") and got[0].endswith("...") and "needle" in got[0]
 
 
