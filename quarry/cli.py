@@ -59,7 +59,7 @@ def load_records(spark: SparkSession, paths: Paths) -> DataFrame:
 
 
 def inventory(spark, paths: Paths, args) -> int:
-    web = lambda urls: fetched(urls, delay=args.delay).selectExpr("url", "status", "content_type", "decode(body, 'UTF-8') as html")
+    web = lambda urls: fetched(urls, delay=args.delay).selectExpr("url", "status", "content_type", "body as html")
     found = K.crawl(spark, K.CrawlConfig(args.base_url, args.max_pages, args.max_follow_pages, args.max_assets), web, lambda urls: fetched(urls, probe, args.delay).select("url", "status", "content_type"), print)
     T.write_csv(found.inventory, "inventory", str(paths.inventory))
     _report(paths, "02_source_inventory.md", M.inventory_report(found.inventory, found.summary))
@@ -87,7 +87,8 @@ def parse(spark, paths: Paths, args) -> int:
     config = ChunkConfig(args.chunk_size, args.chunk_overlap)
     found = P.parse(_read(spark, paths, "datasets"), _read(spark, paths, "documents"), _files(spark, paths), config.size, config.overlap)
     T.write_chunks(found.chunks.orderBy("_order"), str(paths.table("chunks")))
-    T.write_texts(found.texts, str(paths.parsed / "texts"))
+    T.write_files(found.texts, "document_id", "text", str(paths.parsed / "texts"), ".txt")
+    T.write_files(found.chunks.withColumn("json", T.pretty_json(TABLES["chunks"].names)), "chunk_id", "json", str(paths.parsed / "chunks"), ".json")
     _report(paths, "05_parsing_pack.md", M.parsing_report(found))
     return int(bool(found.failures.take(1)))
 

@@ -93,7 +93,7 @@ def page(html: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["title", "links", "hrefs", *FIELDS.values()])
 
 
-_DROPPED = {"script", "style", "noscript", "template", "nav", "footer", "header", "aside", "form", "svg", "head"}
+_DROPPED = {"script", "style", "noscript", "template", "nav", "footer", "header", "aside", "form", "svg", "head", "title"}
 _BLOCKS = {"p", "div", "section", "article", "main", "li", "ul", "ol", "h1", "h2", "h3", "h4", "h5", "h6", "tr", "table", "br", "blockquote", "pre", "dt", "dd"}
 
 

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,6 +98,29 @@ def write_chunks(chunks: DataFrame, path: str) -> None:
     chunks.select(*TABLES["chunks"].names).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def write_texts(texts: DataFrame, path: str) -> None:
-    """(document_id, text) as one row a text, by id; what stood there before is gone."""
-    texts.select("document_id", "text").write.mode("overwrite").parquet(path)
+def pretty_json(names: list[str]) -> Column:
+    """A row as indented JSON, NULLs kept."""
+    return F.to_json(F.struct(*names), {"pretty": "true", "ignoreNullFields": "false"})
+
+
+def write_files(df: DataFrame, key: str, body: str, folder: str, suffix: str) -> int:
+    """One small file a row, named by ``key``; what stood in ``folder`` before is gone.
+
+    Executors write into a folder that they share (for large results use
+    ``write_chunks`` or Parquet: a file a row does not scale).  Ids must be safe
+    as names.  The number of files.
+    """
+    shutil.rmtree(folder, ignore_errors=True)
+    os.makedirs(folder)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name, text in zip(batch["k"], batch["b"]):
+                if os.path.basename(name) != name or not name.strip("."):
+                    raise ValueError(f"unsafe name: {name}")
+                with open(os.path.join(folder, name + suffix), "w", encoding="utf-8") as f:
+                    f.write(text or "")
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    written = df.select(F.col(key).alias("k"), F.col(body).alias("b")).mapInPandas(run, "n long")
+    return written.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

@@ -29,6 +29,9 @@ def test_phases_in_a_row(spark, folder, capsys):
     assert run("qa") == 1
     assert run("extract") == 0
     assert run("parse", "--chunk-size", "200", "--chunk-overlap", "20") == 0
+    assert (folder / "data/parsed/texts/pde.txt").read_text().startswith("BENE_ID")
+    first = json.loads((folder / "data/parsed/chunks/pde__chunk_0.json").read_text())
+    assert list(first) == ["chunk_id", "source_document", "page", "text", "dataset", "url"] and first["page"] is None
     assert run("variables") == 0
     assert run("qa") == 0, (folder / "_workspace/06_qa_review.md").read_text()
     assert "PASS" in (folder / "_workspace/06_qa_review.md").read_text()
