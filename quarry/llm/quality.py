@@ -169,7 +169,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN_DOCS) -> Model
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
 
     total = np.zeros((TERMS, DIM))
-    for part in sample.mapInArrow(sums, "sums binary").toLocalIterator():
+    for part in sample.mapInArrow(sums, "sums binary").collect():  # a sum of 1.7 MB for each of at most 8 partitions
         total += np.frombuffer(part[0], np.float64).reshape(TERMS, DIM)
     vectors = (total / np.maximum(1e-9, np.linalg.norm(total, axis=1, keepdims=True))).astype(np.float32)
 
