@@ -3,15 +3,16 @@
 A notice with at most k edits keeps at least one of k + 1 pieces intact.  So the
 pieces of every notice are exact seeds: one pass of a set matcher over a batch
 tells which texts hold any of them, and only those are looked at again.  Where a
-seed stands, the regex library matches the notice within k edits in the
-stretch of text that the seed's place allows, and so gives the edits and the
-span.  Spans are places of words; a span's score is one less its edits over the
+seed stands, and the stretch of text that the seed's place allows lacks no more than k
+of the notice's letters, the regex library matches the notice within k edits in
+that stretch, and so gives the edits and the span.  Spans are places of words; a span's score is one less its edits over the
 notice's length.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,11 +54,21 @@ def seeds(notice: str, k: int) -> list[tuple[int, str]]:
 
 
 _SEEDS = [(i, at, piece) for i, (notice, _, k) in enumerate(NOTICES) for at, piece in seeds(notice, k)]
+_LETTERS = [Counter(n.replace(" ", "")).most_common() for n, _, _ in NOTICES]
 _FUZZY = [regex.compile(rf"(?b)(?:{regex.escape(n)}){{e<={k}}}") for n, _, k in NOTICES]
 #: What one of stands in any text with a find; blanks may be several there.
 _ANY = "|".join(sorted({p.replace(" ", " +") for _, _, p in _SEEDS} | {p.replace(" ", " +") for p in PHRASES}))
 
 
+def _lacking(letters: list[tuple[str, int]], piece: str, k: int) -> bool:
+    """Whether a stretch lacks more than k of a notice's letters: each costs an edit."""
+    for c, n in letters:
+        k -= max(0, n - piece.count(c))
+        if k < 0:
+            return True
+    return False
+
+
 def notices_in(line: str) -> list[tuple[int, int, str, int, int]]:
     """(start, end, label, edits, length) of each notice found in single-spaced lower-case words.
 
@@ -65,15 +76,15 @@ def notices_in(line: str) -> list[tuple[int, int, str, int, int]]:
     first, then the longest stays.
     """
     found = set()
-    tried: dict[int, list[tuple[int, int]]] = {}
+    tried: set[tuple[int, int]] = set()
     for i, at, piece in _SEEDS:
         notice, label, k = NOTICES[i]
         here = line.find(piece)
         while here >= 0:
             a, b = max(0, here - at - k), min(len(line), here - at + len(notice) + k)
-            if not any(x <= a and b <= y for x, y in tried.get(i, ())):
-                tried.setdefault(i, []).append((a, b))
-                if m := _FUZZY[i].search(line, a, b):
+            if (i, a) not in tried:
+                tried.add((i, a))
+                if not _lacking(_LETTERS[i], line[a:b], k) and (m := _FUZZY[i].search(line, a, b)):
                     start, end = m.span()
                     # Words are whole: an edge inside a word, or on a blank, moves to the word's.
                     start += len(line[start:end]) - len(line[start:end].lstrip(" "))
@@ -81,8 +92,12 @@ def notices_in(line: str) -> list[tuple[int, int, str, int, int]]:
                     found.add((start, end, label, sum(m.fuzzy_counts), len(notice)))
             here = line.find(piece, here + 1)
     kept: list[tuple[int, int, str, int, int]] = []
+    taken: dict[str, list[tuple[int, int]]] = {}  # disjoint spans of each label, sorted
     for f in sorted(found, key=lambda f: (f[3], f[0], f[0] - f[1], f[2])):
-        if not any(g[2] == f[2] and g[0] < f[1] and f[0] < g[1] for g in kept):
+        own = taken.setdefault(f[2], [])
+        at = bisect_right(own, (f[0], f[1]))
+        if (at == 0 or own[at - 1][1] <= f[0]) and (at == len(own) or own[at][0] >= f[1]):
+            own.insert(at, (f[0], f[1]))
             kept.append(f)
     return sorted(kept)
 
