@@ -159,42 +159,44 @@ class Field:
     follow: np.ndarray  # [kind before + 1, kind + 1], 0: outside
     outside: float
 
-    def lattice(self, words, text, base) -> list[list[tuple[int, tuple[int, int], list[int]]]]:
-        """For each end j, the candidate segments (i, span, feature numbers)."""
-        anchored = [bool(_ANCHOR.search(text, x, y)) for x, y in words]
-        out: list[list[tuple[int, tuple[int, int], list[int]]]] = [[] for _ in range(len(words) + 1)]
-        for j in range(1, len(words) + 1):
-            for i in range(j - 1, max(-1, j - 1 - MOST_WORDS), -1):
-                if any(anchored[i:j]):
-                    span, names = features(words, i, j, text, base)
-                    if span[0] < span[1]:
-                        out[j].append((i, span, [self.index[f] for f in names if f in self.index]))
-        return out
+    def segments(self, words, j, anchored, text, base) -> Iterator[tuple[int, tuple[int, int], np.ndarray]]:
+        """The candidate segments (i, span, score of each kind) that end before word j."""
+        seen = False
+        for i in range(j - 1, max(-1, j - 1 - MOST_WORDS), -1):
+            seen = seen or anchored[i]
+            if seen:
+                span, names = features(words, i, j, text, base)
+                if span[0] < span[1]:
+                    yield i, span, self.weights[[self.index[f] for f in names if f in self.index]].sum(0)
 
     def decode(self, words: list[tuple[int, int]], text: str, base: dict[tuple[int, int], int]) -> list[Span]:
-        """The best segmentation of a stretch of words, as spans."""
+        """The best segmentation of a stretch of words, as spans.
+
+        Candidates are scored as the programme reaches their ends; only the best
+        way to each end and kind is kept, in arrays.
+        """
         n, k = len(words), len(KINDS)
+        anchored = [bool(_ANCHOR.search(text, x, y)) for x, y in words]
         best = np.full((n + 1, k + 1), -np.inf)
         best[0, 0] = 0.0
-        back: list[list] = [[None] * (k + 1) for _ in range(n + 1)]
-        rows = self.lattice(words, text, base)
+        start, before = np.zeros((n + 1, k + 1), np.int32), np.zeros((n + 1, k + 1), np.int8)
+        spans = np.zeros((n + 1, k + 1, 2), np.int64)
         for j in range(1, n + 1):
             come = best[j - 1] + self.follow[:, 0]
             p = int(come.argmax())
-            best[j, 0], back[j][0] = come[p] + self.outside, (j - 1, p, None)
-            for i, span, numbers in rows[j]:
+            best[j, 0], start[j, 0], before[j, 0] = come[p] + self.outside, j - 1, p
+            for i, span, score in self.segments(words, j, anchored, text, base):
                 come = best[i][:, None] + self.follow[:, 1:]
                 p = come.argmax(0)
-                total = come[p, np.arange(k)] + self.weights[numbers].sum(0)
-                for t in range(k):
-                    if total[t] > best[j, t + 1]:
-                        best[j, t + 1], back[j][t + 1] = total[t], (i, int(p[t]), (*span, t))
+                total = come[p, np.arange(k)] + score
+                better = np.flatnonzero(total > best[j, 1:])
+                if len(better):
+                    best[j, better + 1], start[j, better + 1], before[j, better + 1], spans[j, better + 1] = total[better], i, p[better], span
         out, j, t = [], n, int(best[n].argmax())
         while j:
-            i, p, span = back[j][t]
-            if span:
-                out.append(span)
-            j, t = i, p
+            if t:
+                out.append((int(spans[j, t, 0]), int(spans[j, t, 1]), t - 1))
+            j, t = int(start[j, t]), int(before[j, t])
         return out[::-1]
 
 
