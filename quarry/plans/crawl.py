@@ -78,7 +78,7 @@ def crawl(spark: SparkSession, config: CrawlConfig, fetch: Ask, probe: Ask | Non
     An unreachable page has no status (or 0) and its state is unknown, as an asset's is.
     """
     probe = probe or (lambda urls: fetch(urls).drop("html"))
-    events, reads, assets = None, None, spark.createDataFrame([], "url string")
+    events, reads, frontier, assets = None, None, None, spark.createDataFrame([], "url string")
     signatures: set[str] = set()
     visit, n_assets = 0, 0
 
@@ -102,8 +102,9 @@ def crawl(spark: SparkSession, config: CrawlConfig, fetch: Ask, probe: Ask | Non
         url = U.listing_url(config.base_url, number)
         page = fetch(spark.createDataFrame([(url,)], "url string")).withColumn("visit", F.lit(visit).cast("long"))
         links = gather(page, True)
+        frontier = links if frontier is None else frontier.unionByName(links)
         visit += 1
-        status, = reads.filter(F.col("visit") == visit - 1).select("status").first()
+        status = reads.filter(F.col("visit") == visit - 1).select("status").first()[0]
         # sha1 of the sorted distinct links, as one summed-up row.
         size, mark = links.agg(F.countDistinct("url"), F.sha1(F.array_join(F.array_sort(F.collect_set("url")), "\n").cast("binary"))).first()
         progress(f"listing page {number}: {size} links")
@@ -114,13 +115,14 @@ def crawl(spark: SparkSession, config: CrawlConfig, fetch: Ask, probe: Ask | Non
     followed = 0
     while True:
         room = None if config.max_follow_pages is None else config.max_follow_pages - followed
-        pages = events.filter(U.resource_kind(F.col("url")).isin("dataset_page", "documentation_page")).filter(F.col("source_url") != "")
-        new = pages.join(reads.filter(~F.col("listing")).select("url").distinct(), "url", "left_anti").groupBy("url").agg(F.min("at").alias("at"))
+        # Pages seen before the last level have been read, or a limit has ended the crawl.
+        pages = frontier.filter(F.col("kind").isin("dataset_page", "documentation_page")).groupBy("url").agg(F.min(_place(F.col("link_no"))).alias("at"))
+        new = pages.join(reads.filter(~F.col("listing")).select("url"), "url", "left_anti")
         level = cut(ranked(new if room is None else new.orderBy("at").limit(max(0, room)), "at", "visit", visit).select("url", "visit"))
         size = level.count()
         if not size:
             break
-        gather(fetch(level.select("url")).join(level, "url"), False)
+        frontier = gather(fetch(level.select("url")).join(level, "url"), False)
         visit, followed = visit + size, followed + size
         progress(f"{followed} follow pages, {n_assets} assets")
 

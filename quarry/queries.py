@@ -395,16 +395,27 @@ def audit_verdict(spark, sf_dir):
     return audit.verdict(audit.findings(_audited(spark, sf_dir)))
 
 
-@query("SELECT doc_id, 'dangling' AS problem FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents) UNION ALL SELECT o_orderkey, 'no customer' FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer) UNION ALL SELECT l_orderkey, 'no part' FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part)")
+@query("""SELECT doc_id AS id, 'no document' AS problem FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 9 <> 0)
+UNION ALL SELECT o_orderkey, 'no customer' FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 11 <> 0)
+UNION ALL SELECT l_orderkey, 'no part' FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size < 45)""")
 def dangling_references(spark, sf_dir):
+    """References into tables from which some rows are taken away."""
     t = lambda n: table(spark, sf_dir, n)
-    out = t("labels").join(t("documents"), "doc_id", "left_anti").select("doc_id", F.lit("dangling").alias("problem"))
-    orders = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey"), "left_anti").select(F.col("o_orderkey").alias("doc_id"), F.lit("no customer").alias("problem"))
-    items = t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey"), "left_anti").select(F.col("l_orderkey").alias("doc_id"), F.lit("no part").alias("problem"))
+    out = t("labels").join(t("documents").filter("doc_id % 9 <> 0"), "doc_id", "left_anti").select(F.col("doc_id").alias("id"), F.lit("no document").alias("problem"))
+    orders = t("orders").join(t("customer").filter("c_custkey % 11 <> 0"), F.col("o_custkey") == F.col("c_custkey"), "left_anti").select(F.col("o_orderkey").alias("id"), F.lit("no customer").alias("problem"))
+    items = t("lineitem").join(t("part").filter("p_size < 45"), F.col("l_partkey") == F.col("p_partkey"), "left_anti").select(F.col("l_orderkey").alias("id"), F.lit("no part").alias("problem"))
     return out.unionByName(orders).unionByName(items)
 
 
-@query()
+@query("""
+WITH n AS (SELECT count(*) AS n FROM pages), ids AS (SELECT page_id AS k FROM pages UNION SELECT page_id * 2 + 1 FROM pages UNION SELECT page_id * 2 + 2 FROM pages),
+site AS (SELECT 'https://data.example/cms-data/files/Set_' AS s)
+SELECT s || k AS url, CASE WHEN k = 0 THEN 'first' ELSE 'set' END AS title, 'dataset_page' AS resource_kind, '' AS asset_kind, CASE WHEN k < n THEN 'text/html' ELSE '' END AS content_type,
+  CASE WHEN k < n THEN 200 END AS http_status, CASE WHEN k < n THEN 'live' ELSE 'unknown' END AS link_state, CASE WHEN k < n THEN 3 ELSE 0 END AS linked_documents,
+  CASE WHEN k = 0 THEN 'https://data.example/cms-data?page=0' ELSE s || ((k - 1) // 2) END AS source_url, CASE WHEN k = 0 THEN 'All' ELSE 'Page' END AS source_title FROM ids, n, site
+UNION ALL SELECT 'https://data.example/f/' || page_id || '.pdf', 'doc', 'asset', 'pdf', '', NULL, 'unknown', 0, s || page_id, 'Page' FROM pages, site
+UNION ALL VALUES ('https://data.example/cms-data?page=0', 'All', 'listing_page', '', 'text/html', 200, 'live', 1, '', ''), ('https://data.example/cms-data?page=1', '', 'listing_page', '', '', NULL, 'unknown', 0, '', '')
+""")
 def crawl_inventory(spark, sf_dir):
     """A crawl over a web made of the pages table: a listing that links to data pages, and they to more."""
     pages = table(spark, sf_dir, "pages").select("page_id")
@@ -413,7 +424,7 @@ def crawl_inventory(spark, sf_dir):
     body = F.concat(F.lit("<title>Page</title>"), link(k * 2 + 1), link(k * 2 + 2), F.lit('<a href="/f/'), k.cast("string"), F.lit('.pdf">doc</a>'))
     web = pages.select(F.concat(F.lit("https://data.example/cms-data/files/Set_"), k.cast("string")).alias("url"), F.lit(200).alias("status"), F.lit("text/html").alias("content_type"), body.alias("html"))
     listing = spark.createDataFrame([("https://data.example/cms-data?page=0", 200, "text/html", '<title>All</title><a href="/cms-data/files/Set_0">first</a>')], web.schema)
-    return crawl.crawl(spark, crawl.CrawlConfig("https://data.example/cms-data", 2, 40), crawl.table_web(web.unionByName(listing))).inventory
+    return crawl.crawl(spark, crawl.CrawlConfig("https://data.example/cms-data", 2), crawl.table_web(web.unionByName(listing))).inventory
 
 
 @query(f"""SELECT page_id, kind IN ('listing_page', 'dataset_page', 'documentation_page', 'asset') AND s < 400 AND s NOT IN (0) AS wanted FROM (
