@@ -272,7 +272,7 @@ def _linked_pages(spark, sf_dir) -> DataFrame:
     """Pages as dataset pages that link to two others and to an asset, by id."""
     link = lambda k: F.concat(F.lit('<a href="/cms-data/files/Set_'), (F.col("page_id") * k % 17).cast("string"), F.lit('/x">x</a>'))
     url = F.concat(F.lit("https://data.example/cms-data/files/Set_"), (F.col("page_id") % 17).cast("string"), F.lit("/page"), F.col("page_id").cast("string"))
-    html = F.concat(F.lit("<title>Set | ResDAC</title>"), link(3), link(5), link(3))
+    html = F.concat(F.lit(f"<title>Set{H.TITLE_END}</title>"), link(3), link(5), link(3))
     return table(spark, sf_dir, "pages").select(
         F.col("page_id").alias("seq"), url.alias("url"), F.concat(F.lit("f"), F.col("page_id")).alias("local_path"), F.sha2(F.encode(html, "UTF-8"), 256).alias("sha256"),
         F.encode(html, "UTF-8").alias("content"), F.lit("text/html").alias("content_type"), F.lit("t").alias("source_title"),

@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from quarry.functions.html import TITLE_END
 from quarry.operators import dedup, records, search, variables
 from quarry.plans import archive, audit, context, crawl, extract, parse, summaries
 from quarry.schemas import TABLES
@@ -120,7 +121,7 @@ def test_csv_round_trip_and_checks(spark, tmp_path):
         T.read_csv(spark, "inventory", str(tmp_path / "odd.csv"))
 
 
-PAGE = b"""<html><head><title>Part D Event | ResDAC</title></head><body>
+PAGE = b"<title>Part D Event" + TITLE_END.encode() + b"""</title></head><body>
 <div class="views-field views-field-field-program-type"><div class="field-content"> Medicare </div></div>
 <a href="/cms-data/files/cmds-entity">x</a><a href="/cms-data/files/cmds-entity">y</a><a href="/f/Codes.PDF">codes</a></body></html>"""
 
