@@ -36,6 +36,7 @@ THRESHOLD = 0.7
 K, BLOCK = 10, 64
 PREFIXES = (5, 7)
 CACHE = 100_000
+CALIBRATION = 2000
 
 
 def _terms(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -115,13 +116,19 @@ class Index:
                 rows.append(i)
                 weights.append(w)
         self.blocks = -(-len(self.keys) // BLOCK)
-        self.postings, self.maxima, self.cuts = {}, {}, {}
+        self.maxima: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        cells: list[list[np.ndarray]] = [[], [], []]
         for t, (rows, weights) in post.items():
             r, w = np.array(rows), np.array(weights)
-            self.postings[t] = r, w
             block, start = np.unique(r // BLOCK, return_index=True)
             self.maxima[t] = block, np.maximum.reduceat(w, start)
-            self.cuts[t] = np.searchsorted(r, np.arange(self.blocks + 1) * BLOCK)
+            for part, values in zip(cells, (r, np.full(len(r), t), w)):
+                part.append(values)
+        # The postings again, range by range: a range is scored in one step however long the query.
+        row, term, weight = (np.concatenate(c) if c else np.zeros(0) for c in cells)
+        order = np.argsort(row, kind="stable")
+        self.row, self.term, self.cell = row[order].astype(np.int64), term[order].astype(np.int64), weight[order]
+        self.cuts = np.searchsorted(self.row, np.arange(self.blocks + 1) * BLOCK)
         self.curve = (1.0, 0.0)
 
     def weight(self, of: tuple[int, int]) -> float:
@@ -134,7 +141,8 @@ class Index:
     def nearest(self, key: tuple[tuple[int, int], ...], k: int = K, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples with the largest cosine over 0, ties by position, and their cosines."""
         terms, weights = self.query(key)
-        bound = np.zeros(self.blocks)
+        bound, dense = np.zeros(self.blocks), np.zeros(len(self.words) + 1)
+        dense[terms] = weights
         for t, w in zip(terms, weights):
             if t in self.maxima:
                 block, most = self.maxima[t]
@@ -143,12 +151,8 @@ class Index:
         for b in np.argsort(-bound, kind="stable"):
             if bound[b] <= 0 or len(rows) == k and bound[b] < least - 1e-12:
                 break
-            got = np.zeros(BLOCK)
-            for t, w in zip(terms, weights):
-                if t in self.postings:
-                    r, x = self.postings[t]
-                    c = self.cuts[t]
-                    got[r[c[b] : c[b + 1]] - b * BLOCK] += w * x[c[b] : c[b + 1]]
+            cut = slice(self.cuts[b], self.cuts[b + 1])
+            got = np.bincount(self.row[cut] - b * BLOCK, self.cell[cut] * dense[self.term[cut]], BLOCK)
             here = np.flatnonzero(got > 0)
             here = here[here + b * BLOCK != without]
             rows, sims = np.concatenate([rows, here + b * BLOCK]), np.concatenate([sims, got[here]])
@@ -165,9 +169,11 @@ class Index:
         return float((w * (n1 + self.base) / (n0 + n1 + 1)).sum() / w.sum())
 
     def calibrate(self, steps: int = 50) -> None:
-        """A logistic curve over leave-one-out votes; an example's other copies may vote."""
+        """A logistic curve over the leave-one-out votes of at most ``CALIBRATION`` examples,
+        evenly spaced; an example's other copies may vote."""
         x, y, n = [], [], []
-        for i, key in enumerate(self.keys):
+        step = -(-len(self.keys) // CALIBRATION) or 1
+        for i, key in list(enumerate(self.keys))[::step]:
             for label, count in ((0, self.n0), (1, self.n1)):
                 if count[i]:
                     alone = self.n0[i] + self.n1[i] == 1
