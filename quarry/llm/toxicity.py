@@ -1,28 +1,37 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are the words, and beginnings of words, whose presence depends on the label
-(chi-square over the labelled sample); all other words of a text together are one
-more term.  So a vector holds what can tell the classes apart and how much else
-there is.  Labelled documents with equal vectors are one example with
-two counts.  The examples stand in an inverted index cut into ranges of
-``BLOCK``: each term keeps its largest weight in each range.  A query sums those
-maxima to a bound for every range, scores ranges from the highest bound down and
-stops when no bound exceeds its k-th similarity; the neighbours are exact.
-Votes weigh by distance; a logistic curve fitted on the examples' own
-leave-one-out votes makes them probabilities.
-
-The sample is bounded by ``MAX_TRAIN_DOCS`` labelled rows and the vocabulary by
-``MAX_TERMS``, so the index that is broadcast is bounded too.  All documents are
-scored whole.
+Two votes are taken.  The first is among the examples' whole TF-IDF vectors: every
+word of every text of the sample is a term, with no selection (``Texts``).  Frequent
+terms are multiplied densely in single precision, the others added by posting list;
+whatever lies within the rounding error of the k-th similarity is then scored again
+in double precision, so the neighbours are exact.  They are the evidence.
+
+Toxic words are few among all words of a text, so a second vote looks at them alone
+(``Index``): its terms are the words, and beginnings of words, whose presence
+depends on the label (chi-square over the labelled sample); all other words of a
+text together are one more term, with a rounded count.  Labelled documents with
+equal vectors are one example with two counts.  The examples stand in an inverted
+index cut into ranges of ``BLOCK``: each term keeps its largest weight in each
+range.  A query sums those maxima to a bound for every range, scores ranges from
+the highest bound down and stops when no bound exceeds its k-th similarity.
+
+Votes weigh by distance; a logistic curve over both, fitted on the leave-one-out
+votes of all labelled rows of the sample, makes them probabilities.
+
+The sample is bounded by ``MAX_TRAIN_DOCS`` labelled rows, and it alone bounds the
+whole vectors; ``MAX_TERMS`` bounds the terms of the second vote.  All documents
+are scored whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +45,7 @@ THRESHOLD = 0.7
 K, BLOCK = 10, 64
 PREFIXES = (5, 7)
 CACHE = 100_000
-CALIBRATION = 2000
+HEAVY, TOGETHER = 400, 64
 
 
 def _terms(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -129,7 +138,6 @@ class Index:
         order = np.argsort(row, kind="stable")
         self.row, self.term, self.cell = row[order].astype(np.int64), term[order].astype(np.int64), weight[order]
         self.cuts = np.searchsorted(self.row, np.arange(self.blocks + 1) * BLOCK)
-        self.curve = (1.0, 0.0)
 
     def weight(self, of: tuple[int, int]) -> float:
         return (1 + np.log(of[1])) * self.idf[of[0]]
@@ -161,53 +169,16 @@ class Index:
             least = sims[-1] if len(sims) == k else 0.0
         return rows, sims
 
-    def vote(self, rows: np.ndarray, sims: np.ndarray) -> float:
+    def vote(self, key: tuple[tuple[int, int], ...], own: int = -1, label: int = 0) -> float:
+        """The share of label 1 about a vector; without one labelled row of the example ``own``, if given."""
+        alone = own >= 0 and self.n0[own] + self.n1[own] == 1
+        rows, sims = self.nearest(key, without=own if alone else -1)
         if not len(rows):
             return self.empty
-        n0, n1 = self.n0[rows], self.n1[rows]
+        n0, n1 = self.n0[rows] - (rows == own) * (1 - label), self.n1[rows] - (rows == own) * label
         w = np.sqrt(n0 + n1) / (1.05 - np.minimum(1, sims))
         return float((w * (n1 + self.base) / (n0 + n1 + 1)).sum() / w.sum())
 
-    def calibrate(self, steps: int = 50) -> None:
-        """A logistic curve over the leave-one-out votes of at most ``CALIBRATION`` examples,
-        evenly spaced; an example's other copies may vote."""
-        x, y, n = [], [], []
-        step = -(-len(self.keys) // CALIBRATION) or 1
-        for i, key in list(enumerate(self.keys))[::step]:
-            for label, count in ((0, self.n0), (1, self.n1)):
-                if count[i]:
-                    alone = self.n0[i] + self.n1[i] == 1
-                    count[i] -= 1
-                    v = np.clip(self.vote(*self.nearest(key, without=i if alone else -1)), 1e-3, 1 - 1e-3)
-                    count[i] += 1
-                    x.append(np.log(v / (1 - v)))
-                    y.append(label)
-                    n.append(float(count[i]))
-        if len(set(y)) < 2:
-            return
-        x, y, n = map(np.array, (x, y, n))
-        a, b = 1.0, 0.0
-        for _ in range(steps):
-            p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
-            g = np.array([(n * (p - y) * x).sum() + 1e-2 * (a - 1), (n * (p - y)).sum() + 1e-2 * b])
-            h = n * p * (1 - p)
-            hess = np.array([[(h * x * x).sum() + 1e-2, (h * x).sum()], [(h * x).sum(), h.sum() + 1e-2]])
-            move = np.linalg.solve(hess, g)
-            a, b = a - move[0], b - move[1]
-            if np.abs(move).max() < 1e-9:
-                break
-        if a > 0:
-            self.curve = (float(a), float(b))
-
-    def score(self, key: tuple[tuple[int, int], ...]) -> tuple[float, str]:
-        """A probability, and as evidence the ids of up to three examples with their cosines."""
-        if not key or not self.keys:
-            return self.empty, ""
-        rows, sims = self.nearest(key)
-        v = np.clip(self.vote(rows, sims), 1e-6, 1 - 1e-6)
-        a, b = self.curve
-        return float(1 / (1 + np.exp(-(a * np.log(v / (1 - v)) + b)))), ",".join(f"{self.doc[r]}:{s:.4f}" for r, s in zip(rows[:3].tolist(), sims[:3].tolist()))
-
 
 def vectors_of(texts: pa.Array, words: list[str]) -> list[tuple[tuple[int, int], ...]]:
     """One vector a text, as (term, count) pairs.  The count of all other words is
@@ -223,8 +194,159 @@ def vectors_of(texts: pa.Array, words: list[str]) -> list[tuple[tuple[int, int],
     return [((len(words), 1),) if len(x) == 1 and x[0][0] == len(words) else tuple(x) for x in out]
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN_DOCS) -> Index:
-    """Index at most ``most`` labelled rows outside the held-out fold."""
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct words of a column, and (row, word, count) by row and word."""
+    words, n = split(translated(texts, LOWER_ALNUM))
+    coded = words.dictionary_encode()
+    size = max(1, len(coded.dictionary))
+    key, count = np.unique(np.repeat(np.arange(len(n)), n) * size + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
+    return coded.dictionary.cast(pa.large_string()), key // size, key % size, count
+
+
+class Texts:
+    """The examples' whole TF-IDF vectors, searchable by exact cosine."""
+
+    def __init__(self, parts: list[tuple[list[int], list[int], list[int], list[str], np.ndarray, np.ndarray]]) -> None:
+        """parts: doc ids, labels and numbers of distinct words of some examples; their words, and for each distinct word of each example its place there and its count."""
+        known: dict[str, int] = {}
+        found = []
+        for docs, labels, sizes, words, code, count in parts:
+            term = np.array([known.setdefault(w, len(known)) for w in words], np.int64)[code] if len(code) else code
+            ends = np.cumsum(sizes)
+            found += [(d, y, term[e - n : e], count[e - n : e]) for d, y, n, e in zip(docs, labels, sizes, ends.tolist())]
+        found.sort(key=lambda x: x[0])
+        names = sorted(known)
+        rank = np.empty(len(names), np.int64)
+        rank[[known[w] for w in names]] = np.arange(len(names))
+        self.names = pa.array(names, pa.large_string())
+        df, total = np.zeros(len(names), np.int64), len(found)
+        at: dict[bytes, int] = {}
+        rows, counts, place = [], [], []
+        for d, y, term, count in found:
+            order = np.argsort(term := rank[term])
+            term, count = term[order].astype(np.int32), count[order].astype(np.int32)
+            df[term] += 1
+            i = at.setdefault(term.tobytes() + count.tobytes(), len(at)) if len(term) else -1
+            if i == len(rows):
+                rows.append((term, count))
+                counts.append([0, 0, d])
+            if i >= 0:
+                counts[i][y] += 1
+            place.append((d, i))
+        self.place = np.array(place, np.int64).reshape(-1, 2)
+        self.n0, self.n1, self.doc = np.array(counts, np.int64).reshape(-1, 3).T
+        self.df, self.idf = df, np.log((1 + total) / (1 + np.append(df, 0))) + 1  # the last: a word of no example
+        self.term = np.concatenate([t for t, _ in rows] or [np.zeros(0, np.int32)])
+        self.count = np.concatenate([c for _, c in rows] or [np.zeros(0, np.int32)])
+        self.cuts = np.cumsum([0] + [len(t) for t, _ in rows])
+        self.ready = False
+
+    def __len__(self) -> int:
+        return len(self.n0)
+
+    def prepare(self) -> None:
+        """What a search needs besides, made where it is needed and not sent."""
+        self.ready, n = True, len(self)
+        row = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.cuts))
+        weight = (1 + np.log(self.count)) * self.idf[self.term]
+        self.weight = weight / np.sqrt(np.bincount(row, weight * weight, n))[row]
+        weight = self.weight.astype(np.float32)
+        heavy = np.argsort(-self.df, kind="stable")[:HEAVY]
+        self.column = np.full(len(self.df) + 1, -1, np.int32)
+        self.column[heavy] = np.arange(len(heavy))
+        column = self.column[self.term]
+        self.dense = np.zeros((len(heavy), n), np.float32)
+        self.dense[column[column >= 0], row[column >= 0]] = weight[column >= 0]
+        rest = np.flatnonzero(column < 0)
+        rest = rest[np.argsort(self.term[rest], kind="stable")]
+        self.row, self.cell = row[rest], weight[rest]
+        self.starts = np.searchsorted(self.term[rest], np.arange(len(self.df) + 1))
+
+    def vectors(self, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text the terms of its unit vector in rising order, and their weights; a word of no example counts in the length alone."""
+        names, row, word, count = _words(texts)
+        size = len(self.names)
+        term = pc.fill_null(pc.index_in(names, self.names), size).to_numpy(zero_copy_only=False).astype(np.int64)[word]
+        order = np.lexsort((count, term, row))
+        row, term, count = row[order], term[order], count[order]
+        weight = (1 + np.log(count)) * self.idf[term]
+        weight /= np.sqrt(np.bincount(row, weight * weight, len(texts)))[row]
+        row, term, weight = row[term < size], term[term < size], weight[term < size]
+        cuts = np.searchsorted(row, np.arange(len(texts) + 1))
+        return [(term[a:b], weight[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+
+    def nearest(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int = K) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each vector the k examples with the largest cosine over 0, ties by position, and their cosines."""
+        if not self.ready:
+            self.prepare()
+        out, full = [], np.zeros(len(self.df) + 1)
+        for at in range(0, len(vectors), TOGETHER):
+            some = vectors[at : at + TOGETHER]
+            left = np.zeros((len(some), len(self.dense)), np.float32)
+            for q, (term, weight) in enumerate(some):
+                column = self.column[term]
+                left[q, column[column >= 0]] = weight[column >= 0]
+            for near, (term, weight) in zip(left @ self.dense, some):
+                light = self.column[term] < 0
+                lists = [slice(a, b) for a, b in zip(self.starts[term[light]].tolist(), self.starts[term[light] + 1].tolist())]
+                if lists:
+                    n = self.starts[term[light] + 1] - self.starts[term[light]]
+                    near = near + np.bincount(np.concatenate([self.row[x] for x in lists]), np.repeat(weight[light].astype(np.float32), n) * np.concatenate([self.cell[x] for x in lists]), len(near))
+                # Sums of n products, none negative, that come to 1 at most: each is off by n + 4 units of rounding at most.
+                off = (len(self.dense) + len(term) + 4) * 2.0**-23
+                # The k-th largest of the maxima of short ranges is at most the k-th largest of all.
+                tops = np.maximum.reduceat(near, np.arange(0, len(near), 16))
+                least = float(np.partition(tops, -k)[-k]) - 2 * off if len(tops) > k else 0.0
+                rows = np.flatnonzero(near >= least) if least > 0 else np.flatnonzero(near > 0)
+                n = self.cuts[rows + 1] - self.cuts[rows]
+                cell = np.repeat(self.cuts[rows + 1] - np.cumsum(n), n) + np.arange(n.sum())
+                full[term] = weight
+                part = full[self.term[cell]] * self.weight[cell]
+                full[term] = 0
+                sims = np.bincount(np.repeat(np.arange(len(rows)), n), part, len(rows))
+                order = np.lexsort((rows, -np.round(sims, 12)))[:k]
+                out.append((rows[order], sims[order]))
+        return out
+
+    def vote(self, rows: np.ndarray, sims: np.ndarray, base: float, own: int = -1, label: int = 0) -> float:
+        """The share of label 1 among K + 1 or fewer examples; without one labelled row of the example ``own``, if given."""
+        n0, n1 = self.n0[rows] - (rows == own) * (1 - label), self.n1[rows] - (rows == own) * label
+        rows = np.flatnonzero(n0 + n1 > 0)[:K]
+        n0, n1, sims = n0[rows], n1[rows], sims[rows]
+        w = np.sqrt(n0 + n1) / (1.02 - np.minimum(1, sims)) ** 2
+        return float(((w * n1 / (n0 + n1)).sum() + base) / (w.sum() + 1))
+
+
+def logistic(x: np.ndarray, y: np.ndarray, steps: int = 50) -> np.ndarray:
+    """Weights of the columns of ``x``, and last the constant; no column counts against its vote."""
+    used, w = list(range(x.shape[1])), np.append(np.ones(x.shape[1]), 0.0)
+    if len(set(y.tolist())) < 2:
+        return w
+    while used:
+        z, c = np.column_stack([x[:, used], np.ones(len(y))]), np.append(np.ones(len(used)), 0.0)
+        aim = c.copy()
+        for _ in range(steps):
+            p = 1 / (1 + np.exp(-np.clip(z @ c, -30, 30)))
+            move = np.linalg.solve((z.T * (p * (1 - p))) @ z + 1e-2 * np.eye(len(c)), z.T @ (p - y) + 1e-2 * (c - aim))
+            c = c - move
+            if np.abs(move).max() < 1e-9:
+                break
+        if (c[:-1] > 0).all():
+            out = np.zeros(len(w))
+            out[used + [len(w) - 1]] = c
+            return out
+        used.pop(int(np.argmin(c[:-1])))
+    return w
+
+
+def logit(v: float) -> float:
+    v = min(max(v, 1e-3), 1 - 1e-3)
+    return float(np.log(v / (1 - v)))
+
+
+def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN_DOCS) -> tuple[Broadcast, np.ndarray]:
+    """The two indexes over at most ``most`` labelled rows outside the held-out fold, and the curve over their votes."""
+    spark = docs.sparkSession
     sample = labelled_sample(docs, labels, "toxic", fold(F.col("doc_id"), 3) != 1, most)
     words, total = telling_words(sample)
     names = [w for w, _ in words]
@@ -234,31 +356,66 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN_DOCS) -> Index
             flat = [[x for pair in v for x in pair] for v in vectors_of(batch.column("text"), names)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(flat, pa.list_(pa.int64()))], ["doc_id", "label", "v"])
 
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found, row, word, count = _words(batch.column("text"))
+            cells = [batch.column("doc_id").to_pylist(), batch.column("label").to_pylist(), np.bincount(row, minlength=batch.num_rows).tolist(), " ".join(found.to_pylist()), word.astype(np.int32).tobytes(), count.astype(np.int32).tobytes()]
+            kinds = [pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.string(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(cells, kinds)], ["docs", "labels", "sizes", "words", "code", "count"])
+
     packed = sample.mapInArrow(pack, "doc_id long, label int, v array<long>")
     counted = packed.groupBy("v").agg(F.sum(1 - F.col("label")).alias("n0"), F.sum("label").alias("n1"), F.min("doc_id").alias("doc_id"))
     vectors = {tuple(zip(r["v"][::2], r["v"][1::2])): [r["n0"], r["n1"], r["doc_id"]] for r in counted.collect()}
-    index = Index(words, total, vectors)
-    index.calibrate()
-    return index
+    parts = sample.mapInArrow(whole, "docs array<long>, labels array<int>, sizes array<int>, words string, code binary, count binary").collect()
+    texts = Texts([(r["docs"], r["labels"], r["sizes"], r["words"].split(" ") if r["words"] else [], np.frombuffer(r["code"], np.int32), np.frombuffer(r["count"], np.int32)) for r in parts])
+    shared = spark.sparkContext.broadcast((texts, Index(words, total, vectors)))
 
+    def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, index = shared.value
+        at, place = {k: i for i, k in enumerate(index.keys)}, dict(texts.place.tolist())
+        for batch in slices(batches):
+            docs, y = batch.column("doc_id").to_pylist(), batch.column("label").to_pylist()
+            near = texts.nearest(texts.vectors(batch.column("text")), K + 1)
+            keys = vectors_of(batch.column("text"), index.words)
+            votes = [(logit(texts.vote(*n, index.base, place[d], v)), logit(index.vote(k, at[k], v)), v, d) if k else None for n, k, v, d in zip(near, keys, y, docs)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*filter(None, votes)), (pa.float64(), pa.float64(), pa.int32(), pa.int64()))] if any(votes) else [pa.array([], t) for t in (pa.float64(), pa.float64(), pa.int32(), pa.int64())], ["a", "b", "y", "d"])
 
-def score(docs: DataFrame, index: Index) -> DataFrame:
-    """(doc_id, held_out, score, predicted, evidence) for each row of ``docs``."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    shared = spark.sparkContext.broadcast(index)
+    if not len(texts):
+        return shared, np.array([1.0, 1.0, 0.0])
+    rows = sorted(tuple(r) for r in sample.mapInArrow(left_out, "a double, b double, y int, d long").select("d", "a", "b", "y").collect())
+    table = np.array(rows, np.float64).reshape(-1, 4)
+    return shared, logistic(table[:, 1:3], table[:, 3])
+
+
+def score(docs: DataFrame, model: tuple[Broadcast, np.ndarray]) -> DataFrame:
+    """(doc_id, held_out, score, predicted, evidence) for each row of ``docs``; evidence is the ids of up to three examples with their cosines."""
+    bounded_batches(docs.sparkSession)
+    shared, curve = model
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict = {}
-        ix = shared.value
+        known: dict[bytes, tuple[float, str]] = {}
+        votes: dict = {}
+        texts, index = shared.value
         for batch in slices(batches):
-            out = []
-            for key in vectors_of(batch.column("text"), ix.words):
-                if (got := known.get(key)) is None:
-                    if len(known) >= CACHE:
-                        known.clear()
-                    got = known[key] = ix.score(key)
-                out.append(got)
+            column = batch.column("text")
+            marks = [blake2b(t.as_buffer(), digest_size=16).digest() for t in column]
+            if len(known) >= CACHE:
+                known.clear()
+            if len(votes) >= CACHE:
+                votes.clear()
+            fresh = list({m: i for i, m in enumerate(marks) if m not in known}.values())
+            if fresh:
+                new = column.take(pa.array(fresh, pa.int64()))
+                near = texts.nearest(texts.vectors(new)) if len(texts) else [((), ())] * len(fresh)
+                for i, key, (rows, sims) in zip(fresh, vectors_of(new, index.words), near):
+                    if not key or not len(texts):
+                        known[marks[i]] = index.empty, ""
+                        continue
+                    if (v := votes.get(key)) is None:
+                        v = votes[key] = logit(index.vote(key))
+                    s = float(1 / (1 + np.exp(-(curve[0] * logit(texts.vote(rows, sims, index.base)) + curve[1] * v + curve[2]))))
+                    known[marks[i]] = s, ",".join(f"{d}:{c:.4f}" for d, c in zip(texts.doc[rows[:3]].tolist(), sims[:3].tolist()))
+            out = [known[m] for m in marks]
             s = np.array([x[0] for x in out])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32)), pa.array([x[1] for x in out], pa.string())], ["doc_id", "held_out", "score", "predicted", "evidence"])
 
@@ -268,8 +425,8 @@ def score(docs: DataFrame, index: Index) -> DataFrame:
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Index the labelled examples, then score every row of ``docs``.
 
-    Null and empty texts, and texts without a telling word, get the smoothed
-    share of label 1 among such examples; equal texts get equal scores; without
+    Null and empty texts, and texts without a word, get the smoothed share of
+    label 1 among such examples; equal texts get equal scores; without
     labels of both kinds every score is the smoothed share of label 1; no rows
     give no rows.
     """

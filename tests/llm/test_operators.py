@@ -12,6 +12,7 @@ from random import Random
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -346,6 +347,49 @@ def test_neighbours_are_exact():
         assert rows.tolist() == order and np.allclose(sims, all_sims[order])
 
 
+def brute_cosines(train, query):
+    """TF-IDF cosines of a text to each training text, over all their words, in plain Python."""
+    bag = lambda t: Counter(re.findall(r"[a-z0-9\x80-\U0010ffff]+", "".join(c.lower() if c.isascii() else c for c in t)))
+    bags = [bag(t) for t in train]
+    df = Counter(w for b in bags for w in b)
+    vector = lambda b: {w: (1 + math.log(n)) * (math.log((1 + len(train)) / (1 + df[w])) + 1) for w, n in b.items()}
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values())) or 1.0
+    q = vector(bag(query))
+    return [sum(x * v.get(w, 0) for w, x in q.items()) / norm(q) / norm(v) for v in map(vector, bags)]
+
+
+def test_neighbours_are_those_of_whole_texts(spark, sf):
+    texts = sorted({r["text"] for r in read(spark, sf, "documents").collect() if r["text"]}, key=len)[:180]
+    train, queries_ = texts[::2], texts[1::2] + [texts[0] + " unknownword", "wholly unseen"]
+    words = [toxicity._words(pa.array([t], pa.string())) for t in train]
+    ix = toxicity.Texts([([i], [i % 2], [len(w[3])], w[0].to_pylist(), w[2], w[3]) for i, w in enumerate(words)])
+    heavy, toxicity.HEAVY = toxicity.HEAVY, 20  # so that both ways of adding are taken
+    try:
+        found = ix.nearest(ix.vectors(pa.array(queries_, pa.string())))
+    finally:
+        toxicity.HEAVY = heavy
+    for text, (rows, sims) in zip(queries_, found):
+        every = sorted((s for s in brute_cosines(train, text) if s > 0), reverse=True)[: toxicity.K]
+        by_doc = brute_cosines(train, text)
+        assert np.allclose(sims, every, atol=1e-9) and np.allclose(sims, [by_doc[ix.doc[r]] for r in rows], atol=1e-9)
+
+
+def test_copies_of_a_toxic_text_with_rare_words_are_found(spark):
+    r = Random(5)
+    plain = lambda: " ".join(r.choice("river stone cloud paper light green table window garden summer".split()) for _ in range(30))
+    rows = [(i, plain() + (" vile" * (i % 4 == 0)), int(i % 4 == 0)) for i in range(300)]
+    rows += [(1000 + i, " ".join(f"slur{i}x{j}" for j in range(12)) + " " + plain(), 1) for i in range(10)]
+    copies = [(5000 + i, t + " indeed") for i, (d, t, _) in enumerate(rows[300:])]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + copies, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    got = {x["doc_id"]: x for x in toxicity.classify(docs, labels).collect()}
+    kept = [(5000 + i, d) for i, (d, _, _) in enumerate(rows[300:]) if not got[d]["held_out"]]
+    assert len(kept) > 3
+    for copy, source in kept:
+        first, cosine = got[copy]["evidence"].split(",")[0].split(":")
+        assert int(first) == source and 0.9 < float(cosine) < 1 and got[copy]["predicted"] == 1
+
+
 # 6: near duplicates
 
 
