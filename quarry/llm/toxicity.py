@@ -1,26 +1,28 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Two votes are taken.  The first is among the examples' whole TF-IDF vectors: every
-word of every text of the sample is a term, with no selection (``Texts``).  Frequent
-terms are multiplied densely in single precision, the others added by posting list;
-whatever lies within the rounding error of the k-th similarity is then scored again
-in double precision, so the neighbours are exact.  They are the evidence.
-
-Toxic words are few among all words of a text, so a second vote looks at them alone
-(``Index``): its terms are the words, and beginnings of words, whose presence
-depends on the label (chi-square over the labelled sample); all other words of a
-text together are one more term, with a rounded count.  Labelled documents with
-equal vectors are one example with two counts.  The examples stand in an inverted
-index cut into ranges of ``BLOCK``: each term keeps its largest weight in each
-range.  A query sums those maxima to a bound for every range, scores ranges from
-the highest bound down and stops when no bound exceeds its k-th similarity.
-
-Votes weigh by distance; a logistic curve over both, fitted on the leave-one-out
-votes of all labelled rows of the sample, makes them probabilities.
+Every word of every labelled text is a term, and so is the stem of every longer
+word, its first ``STEM`` letters (a stemmer that needs to know no language); none
+is selected, joined or rounded.  A term's weight in a text is (1 + ln count) times its inverse document frequency.
+Frequency is counted in either class, and the weight is the distance between the
+two: idf(term) = |ln share of label 1 texts with it - ln share of label 0 texts
+with it|, both shares smoothed by ``SMOOTH`` texts of the sample's mix ("delta
+TF-IDF").  The plain idf of all texts together finds few toxic documents here, as
+their toxic words are few among many rare ones (README has the figures).
+
+The examples stand in an inverted index over ranges of ``BLOCK`` examples; each
+term has its largest weight in each range.  A query adds up the lists of its terms
+from the largest possible share down, until the terms left over could not carry a
+range past the k-th sum; with the left terms' range maxima as bounds, whole ranges
+drop out and the rest is scored again in double precision.  So the neighbours are
+exact however little of the index is read.  Examples with equal vectors are one
+with two counts.
+
+Votes weigh by distance; a logistic curve over the vote, fitted on the leave-one-out
+votes of all labelled rows of the sample, makes it a probability, and the nearest
+examples are the evidence.
 
 The sample is bounded by ``MAX_TRAIN_DOCS`` labelled rows, and it alone bounds the
-whole vectors; ``MAX_TERMS`` bounds the terms of the second vote.  All documents
-are scored whole.
+index.  All documents are scored whole.
 """
 
 from __future__ import annotations
@@ -36,177 +38,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .sample import labelled_sample
-from .textops import LOWER_ALNUM, bounded_batches, fold, id_text, slices, split, translated
+from .textops import LOWER_ALNUM, bounded_batches, fold, id_text, raw, slices, split, translated, word_count
 
 MAX_TRAIN_DOCS = 20_000
-MAX_TERMS = 1024
-LEAST_CHI, LEAST_DOCS = 20.0, 3
 THRESHOLD = 0.7
-K, BLOCK = 10, 64
-PREFIXES = (5, 7)
+K, BLOCK, SMOOTH, STEM = 10, 32, 2.0, 5
 CACHE = 100_000
-HEAVY, TOGETHER = 400, 64
+FREQUENT = 32  # a term in more than one example of so many has a dense column
 
+Part = tuple[list[int], list[int], list[int], list[str], np.ndarray, np.ndarray]
 
-def _terms(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Terms of a column: the term strings, and for each occurrence its row and term number.
 
-    A word is a term, and so is each of its first ``PREFIXES`` letters if it has more, with a star.
-    """
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct terms of a column, and (row, term, count) by row and term."""
     words, n = split(translated(texts, LOWER_ALNUM))
     coded = words.dictionary_encode()
+    names = coded.dictionary.cast(pa.large_string())
     row, code = np.repeat(np.arange(len(n)), n), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    names, rows, numbers, at = [coded.dictionary], [row], [code], len(coded.dictionary)
-    length = pc.utf8_length(coded.dictionary).to_numpy(zero_copy_only=False)
-    for p in PREFIXES:
-        starts = pc.binary_join_element_wise(pc.utf8_slice_codeunits(coded.dictionary, 0, p), pa.scalar("*", pa.large_string()), pa.scalar("", pa.large_string())).dictionary_encode()
-        to = np.where(length > p, starts.indices.to_numpy(zero_copy_only=False).astype(np.int64) + at, -1)[code] if len(code) else code
-        names.append(starts.dictionary)
-        rows.append(row[to >= 0])
-        numbers.append(to[to >= 0])
-        at += len(starts.dictionary)
-    return pa.concat_arrays([x.cast(pa.large_string()) for x in names]), np.concatenate(rows), np.concatenate(numbers)
-
-
-def _counts(texts: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, term, count) by row and term; the number past the vocabulary stands for all other words."""
-    names, row, number = _terms(texts)
-    size = len(vocabulary)
-    known = pc.fill_null(pc.index_in(names, vocabulary), size).to_numpy(zero_copy_only=False).astype(np.int64)
-    key, count = np.unique(row * (size + 1) + known[number], return_counts=True)
-    return key // (size + 1), key % (size + 1), count
-
-
-def word_presence(sample: DataFrame) -> DataFrame:
-    """(word, n0, n1): in how many texts of either label each word stands."""
-
-    def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            names, row, number = _terms(batch.column("text"))
-            size = max(1, len(names))
-            pair = np.unique(row * size + number)
-            label = batch.column("label").to_numpy(zero_copy_only=False)[pair // size]
-            both = [np.bincount(pair[label == v] % size, minlength=size)[: len(names)] for v in (0, 1)]
-            yield pa.RecordBatch.from_arrays([names.cast(pa.string()), pa.array(both[0]), pa.array(both[1])], ["word", "n0", "n1"])
+    stems = pc.binary_join_element_wise(pc.utf8_slice_codeunits(names, 0, STEM), pa.scalar("*", pa.large_string()), pa.scalar("", pa.large_string())).dictionary_encode()
+    longer = pc.utf8_length(names).to_numpy(zero_copy_only=False) > STEM
+    stem = np.where(longer, stems.indices.to_numpy(zero_copy_only=False).astype(np.int64) + len(names), -1)[code]
+    size = len(names) + len(stems.dictionary) + 1
+    key, count = np.unique(np.concatenate([row * size + code, row[stem >= 0] * size + stem[stem >= 0]]), return_counts=True)
+    return pa.concat_arrays([names, stems.dictionary.cast(pa.large_string())]), key // size, key % size, count
 
-    return sample.mapInArrow(present, "word string, n0 long, n1 long").groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
-
-def telling_words(sample: DataFrame, most: int = MAX_TERMS) -> tuple[list[tuple[str, int]], int]:
-    """The most telling words with their document counts, and the size of the sample."""
-    t0, t1 = sample.agg(F.coalesce(F.sum(1 - F.col("label")), F.lit(0)), F.coalesce(F.sum("label"), F.lit(0))).first()
-    if not t0 or not t1:
-        return [], t0 + t1
-    n0, n1 = F.col("n0").cast("double"), F.col("n1").cast("double")
-    cross = n1 * (t0 - n0) - n0 * (t1 - n1)
-    chi = (t0 + t1) * cross * cross / (F.lit(float(t0)) * t1 * (n0 + n1) * (t0 + t1 - n0 - n1 + 1e-9))
-    rows = word_presence(sample).filter(n0 + n1 >= LEAST_DOCS).withColumn("chi", chi).filter(F.col("chi") >= LEAST_CHI).orderBy(F.desc("chi"), "word").limit(most).collect()
-    return sorted((r["word"], r["n0"] + r["n1"]) for r in rows), t0 + t1
+def contrast(df0: np.ndarray, df1: np.ndarray, n0: int, n1: int) -> np.ndarray:
+    """The idf of terms in df0 of n0 texts of label 0 and in df1 of n1 of label 1."""
+    share = n1 / (n0 + n1)
+    return np.abs(np.log((df1 + SMOOTH * share) / (n1 + SMOOTH)) - np.log((df0 + SMOOTH * (1 - share)) / (n0 + SMOOTH)))
 
 
 class Index:
-    """Distinct weighted vectors with label counts, searchable by exact cosine."""
-
-    def __init__(self, words: list[tuple[str, int]], total: int, vectors: dict[tuple[tuple[int, int], ...], list[int]]) -> None:
-        self.words = [w for w, _ in words]
-        self.idf = np.log((1 + total) / (1 + np.array([n for _, n in words] + [total], np.float64))) + 1  # the last: all other words
-        none = vectors.get((), [0, 0, -1])
-        self.base = (sum(v[1] for v in vectors.values()) + 0.5) / (sum(v[0] + v[1] for v in vectors.values()) + 1)
-        self.empty = (none[1] + self.base) / (none[0] + none[1] + 1)
-        # Neighbours stand together if they share their heaviest term, so ranges differ in their maxima.
-        keyed = sorted((max((self.weight(v), v[0]) for v in key)[1], key) for key in vectors if key)
-        self.keys = [key for _, key in keyed]
-        counts = np.array([vectors[k] for k in self.keys], np.int64).reshape(-1, 3)
-        self.n0, self.n1, self.doc = counts[:, 0], counts[:, 1], counts[:, 2]
-        post: dict[int, tuple[list[int], list[float]]] = {}
-        for i, key in enumerate(self.keys):
-            for t, w in zip(*self.query(key)):
-                rows, weights = post.setdefault(t, ([], []))
-                rows.append(i)
-                weights.append(w)
-        self.blocks = -(-len(self.keys) // BLOCK)
-        self.maxima: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        cells: list[list[np.ndarray]] = [[], [], []]
-        for t, (rows, weights) in post.items():
-            r, w = np.array(rows), np.array(weights)
-            block, start = np.unique(r // BLOCK, return_index=True)
-            self.maxima[t] = block, np.maximum.reduceat(w, start)
-            for part, values in zip(cells, (r, np.full(len(r), t), w)):
-                part.append(values)
-        # The postings again, range by range: a range is scored in one step however long the query.
-        row, term, weight = (np.concatenate(c) if c else np.zeros(0) for c in cells)
-        order = np.argsort(row, kind="stable")
-        self.row, self.term, self.cell = row[order].astype(np.int64), term[order].astype(np.int64), weight[order]
-        self.cuts = np.searchsorted(self.row, np.arange(self.blocks + 1) * BLOCK)
-
-    def weight(self, of: tuple[int, int]) -> float:
-        return (1 + np.log(of[1])) * self.idf[of[0]]
-
-    def query(self, key: tuple[tuple[int, int], ...]) -> tuple[list[int], np.ndarray]:
-        w = np.array([self.weight(v) for v in key])
-        return [t for t, _ in key], w / np.linalg.norm(w)
-
-    def nearest(self, key: tuple[tuple[int, int], ...], k: int = K, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples with the largest cosine over 0, ties by position, and their cosines."""
-        terms, weights = self.query(key)
-        bound, dense = np.zeros(self.blocks), np.zeros(len(self.words) + 1)
-        dense[terms] = weights
-        for t, w in zip(terms, weights):
-            if t in self.maxima:
-                block, most = self.maxima[t]
-                bound[block] += w * most
-        rows, sims, least = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(rows) == k and bound[b] < least - 1e-12:
-                break
-            cut = slice(self.cuts[b], self.cuts[b + 1])
-            got = np.bincount(self.row[cut] - b * BLOCK, self.cell[cut] * dense[self.term[cut]], BLOCK)
-            here = np.flatnonzero(got > 0)
-            here = here[here + b * BLOCK != without]
-            rows, sims = np.concatenate([rows, here + b * BLOCK]), np.concatenate([sims, got[here]])
-            order = np.lexsort((rows, -np.round(sims, 12)))[:k]
-            rows, sims = rows[order], sims[order]
-            least = sims[-1] if len(sims) == k else 0.0
-        return rows, sims
-
-    def vote(self, key: tuple[tuple[int, int], ...], own: int = -1, label: int = 0) -> float:
-        """The share of label 1 about a vector; without one labelled row of the example ``own``, if given."""
-        alone = own >= 0 and self.n0[own] + self.n1[own] == 1
-        rows, sims = self.nearest(key, without=own if alone else -1)
-        if not len(rows):
-            return self.empty
-        n0, n1 = self.n0[rows] - (rows == own) * (1 - label), self.n1[rows] - (rows == own) * label
-        w = np.sqrt(n0 + n1) / (1.05 - np.minimum(1, sims))
-        return float((w * (n1 + self.base) / (n0 + n1 + 1)).sum() / w.sum())
-
-
-def vectors_of(texts: pa.Array, words: list[str]) -> list[tuple[tuple[int, int], ...]]:
-    """One vector a text, as (term, count) pairs.  The count of all other words is
-    rounded to a power of two; where they are all there is, it is 1, and a text
-    without words has an empty vector.
-    """
-    row, term, count = _counts(texts, pa.array(words, pa.large_string()))
-    rest = term == len(words)
-    count[rest] = 2 ** np.round(np.log2(count[rest])).astype(np.int64)
-    out: list[list[tuple[int, int]]] = [[] for _ in range(len(texts))]
-    for r, t, c in zip(row.tolist(), term.tolist(), count.tolist()):
-        out[r].append((t, c))
-    return [((len(words), 1),) if len(x) == 1 and x[0][0] == len(words) else tuple(x) for x in out]
+    """Labelled examples, searchable by exact cosine."""
 
-
-def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct words of a column, and (row, word, count) by row and word."""
-    words, n = split(translated(texts, LOWER_ALNUM))
-    coded = words.dictionary_encode()
-    size = max(1, len(coded.dictionary))
-    key, count = np.unique(np.repeat(np.arange(len(n)), n) * size + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
-    return coded.dictionary.cast(pa.large_string()), key // size, key % size, count
-
-
-class Texts:
-    """The examples' whole TF-IDF vectors, searchable by exact cosine."""
-
-    def __init__(self, parts: list[tuple[list[int], list[int], list[int], list[str], np.ndarray, np.ndarray]]) -> None:
+    def __init__(self, parts: list[Part]) -> None:
         """parts: doc ids, labels and numbers of distinct words of some examples; their words, and for each distinct word of each example its place there and its count."""
         known: dict[str, int] = {}
         found = []
@@ -219,13 +85,12 @@ class Texts:
         rank = np.empty(len(names), np.int64)
         rank[[known[w] for w in names]] = np.arange(len(names))
         self.names = pa.array(names, pa.large_string())
-        df, total = np.zeros(len(names), np.int64), len(found)
-        at: dict[bytes, int] = {}
+        df, at = np.zeros((2, len(names)), np.int64), {}
         rows, counts, place = [], [], []
         for d, y, term, count in found:
             order = np.argsort(term := rank[term])
             term, count = term[order].astype(np.int32), count[order].astype(np.int32)
-            df[term] += 1
+            df[y, term] += 1
             i = at.setdefault(term.tobytes() + count.tobytes(), len(at)) if len(term) else -1
             if i == len(rows):
                 rows.append((term, count))
@@ -233,9 +98,15 @@ class Texts:
             if i >= 0:
                 counts[i][y] += 1
             place.append((d, i))
-        self.place = np.array(place, np.int64).reshape(-1, 2)
+        labels = [y for _, y, _, _ in found]
+        total = [labels.count(0), labels.count(1)]
+        self.base = (total[1] + 0.5) / (sum(total) + 1)
+        bare = [y for (_, i), y in zip(place, labels) if i < 0]
+        self.empty = (sum(bare) + self.base) / (len(bare) + 1)
+        self.place = dict(place)
+        self.useful = bool(total[0] and total[1])
         self.n0, self.n1, self.doc = np.array(counts, np.int64).reshape(-1, 3).T
-        self.df, self.idf = df, np.log((1 + total) / (1 + np.append(df, 0))) + 1  # the last: a word of no example
+        self.idf = np.append(contrast(df[0], df[1], *total), 0.0) if self.useful else np.zeros(len(names) + 1)  # the last: a word of no example
         self.term = np.concatenate([t for t, _ in rows] or [np.zeros(0, np.int32)])
         self.count = np.concatenate([c for _, c in rows] or [np.zeros(0, np.int32)])
         self.cuts = np.cumsum([0] + [len(t) for t, _ in rows])
@@ -245,98 +116,88 @@ class Texts:
         return len(self.n0)
 
     def prepare(self) -> None:
-        """What a search needs besides, made where it is needed and not sent."""
-        self.ready, n = True, len(self)
+        """The lists and the range maxima: made where they are needed and not sent."""
+        self.ready, n, size = True, len(self), len(self.names)
         row = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.cuts))
         weight = (1 + np.log(self.count)) * self.idf[self.term]
-        self.weight = weight / np.sqrt(np.bincount(row, weight * weight, n))[row]
-        weight = self.weight.astype(np.float32)
-        heavy = np.argsort(-self.df, kind="stable")[:HEAVY]
-        self.column = np.full(len(self.df) + 1, -1, np.int32)
-        self.column[heavy] = np.arange(len(heavy))
-        column = self.column[self.term]
-        self.dense = np.zeros((len(heavy), n), np.float32)
-        self.dense[column[column >= 0], row[column >= 0]] = weight[column >= 0]
-        rest = np.flatnonzero(column < 0)
-        rest = rest[np.argsort(self.term[rest], kind="stable")]
-        self.row, self.cell = row[rest], weight[rest]
-        self.starts = np.searchsorted(self.term[rest], np.arange(len(self.df) + 1))
+        norm = np.sqrt(np.bincount(row, weight * weight, n))
+        self.weight = weight / np.where(norm > 0, norm, 1)[row]
+        order = np.argsort(self.term, kind="stable")
+        self.row, self.cell, term = row[order], self.weight[order].astype(np.float32), self.term[order]
+        self.starts = np.searchsorted(term, np.arange(size + 1))
+        often = np.diff(self.starts)
+        self.most = np.zeros(size)
+        self.most[often > 0] = np.maximum.reduceat(self.cell, self.starts[:-1][often > 0]) if len(self.cell) else 0
+        frequent = np.flatnonzero(often > max(BLOCK, n // FREQUENT))
+        self.column = np.full(size, -1, np.int32)
+        self.column[frequent] = np.arange(len(frequent))
+        self.dense = np.zeros((len(frequent), n), np.float32)
+        column = self.column[term]
+        self.dense[column[column >= 0], self.row[column >= 0]] = self.cell[column >= 0]
+        self.ranges = np.arange(0, n, BLOCK)
+        self.maxima = np.maximum.reduceat(self.dense, self.ranges, axis=1) if n else self.dense
 
     def vectors(self, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each text the terms of its unit vector in rising order, and their weights; a word of no example counts in the length alone."""
+        """For each text the terms of its unit vector in rising order, and their weights."""
         names, row, word, count = _words(texts)
-        size = len(self.names)
-        term = pc.fill_null(pc.index_in(names, self.names), size).to_numpy(zero_copy_only=False).astype(np.int64)[word]
-        order = np.lexsort((count, term, row))
+        term = pc.fill_null(pc.index_in(names, self.names), len(self.names)).to_numpy(zero_copy_only=False).astype(np.int64)[word]
+        order = np.lexsort((term, row))
         row, term, count = row[order], term[order], count[order]
         weight = (1 + np.log(count)) * self.idf[term]
-        weight /= np.sqrt(np.bincount(row, weight * weight, len(texts)))[row]
-        row, term, weight = row[term < size], term[term < size], weight[term < size]
+        norm = np.sqrt(np.bincount(row, weight * weight, len(texts)))
+        weight /= np.where(norm > 0, norm, 1)[row]
+        row, term, weight = row[weight > 0], term[weight > 0], weight[weight > 0]
         cuts = np.searchsorted(row, np.arange(len(texts) + 1))
         return [(term[a:b], weight[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
 
-    def nearest(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int = K) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each vector the k examples with the largest cosine over 0, ties by position, and their cosines."""
+    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray]:
+        """The k examples with the largest cosine over 0, ties by position, and their cosines."""
         if not self.ready:
             self.prepare()
-        out, full = [], np.zeros(len(self.df) + 1)
-        for at in range(0, len(vectors), TOGETHER):
-            some = vectors[at : at + TOGETHER]
-            left = np.zeros((len(some), len(self.dense)), np.float32)
-            for q, (term, weight) in enumerate(some):
-                column = self.column[term]
-                left[q, column[column >= 0]] = weight[column >= 0]
-            for near, (term, weight) in zip(left @ self.dense, some):
-                light = self.column[term] < 0
-                lists = [slice(a, b) for a, b in zip(self.starts[term[light]].tolist(), self.starts[term[light] + 1].tolist())]
-                if lists:
-                    n = self.starts[term[light] + 1] - self.starts[term[light]]
-                    near = near + np.bincount(np.concatenate([self.row[x] for x in lists]), np.repeat(weight[light].astype(np.float32), n) * np.concatenate([self.cell[x] for x in lists]), len(near))
-                # Sums of n products, none negative, that come to 1 at most: each is off by n + 4 units of rounding at most.
-                off = (len(self.dense) + len(term) + 4) * 2.0**-23
-                # The k-th largest of the maxima of short ranges is at most the k-th largest of all.
-                tops = np.maximum.reduceat(near, np.arange(0, len(near), 16))
-                least = float(np.partition(tops, -k)[-k]) - 2 * off if len(tops) > k else 0.0
-                rows = np.flatnonzero(near >= least) if least > 0 else np.flatnonzero(near > 0)
-                n = self.cuts[rows + 1] - self.cuts[rows]
-                cell = np.repeat(self.cuts[rows + 1] - np.cumsum(n), n) + np.arange(n.sum())
-                full[term] = weight
-                part = full[self.term[cell]] * self.weight[cell]
-                full[term] = 0
-                sims = np.bincount(np.repeat(np.arange(len(rows)), n), part, len(rows))
-                order = np.lexsort((rows, -np.round(sims, 12)))[:k]
-                out.append((rows[order], sims[order]))
-        return out
-
-    def vote(self, rows: np.ndarray, sims: np.ndarray, base: float, own: int = -1, label: int = 0) -> float:
+        n = len(self)
+        if not n or not len(term):
+            return np.zeros(0, np.int64), np.zeros(0)
+        column = self.column[term]
+        short = column < 0
+        a, z = self.starts[term[short]], self.starts[term[short] + 1]
+        size = z - a
+        at = np.repeat(z - np.cumsum(size), size) + np.arange(size.sum())
+        sums = np.bincount(self.row[at], np.repeat(weight[short], size) * self.cell[at], n).astype(np.float64)
+        column, own = column[~short], weight[~short]
+        share = own * self.most[term[~short]]
+        order = np.argsort(-share, kind="stable")
+        column, own, share = column[order], own[order], share[order]
+        left = np.append(np.cumsum(share[::-1])[::-1], 0.0)  # what the terms from each on can add at most
+        # The k-th largest of the range maxima is at most the k-th largest of all.
+        floor = lambda: float(np.partition(np.maximum.reduceat(sums, self.ranges), -k)[-k]) if len(self.ranges) >= k else 0.0
+        least = floor()
+        take = int(np.argmax(left <= least / 8))
+        if take:
+            sums += own[:take].astype(np.float32) @ self.dense[column[:take]]
+            least = floor()
+        # Stored weights and sums are off by some units of rounding in single precision.
+        least -= (len(term) + 8) * 2.0**-23
+        bound = np.maximum.reduceat(sums, self.ranges) + own[take:] @ self.maxima[column[take:]]
+        far = np.flatnonzero(bound >= least) if least > 0 else np.flatnonzero(bound > 0)
+        rows = (self.ranges[far][:, None] + np.arange(BLOCK)).ravel()
+        rows = rows[rows < n]
+        rows = rows[sums[rows] + left[take] >= max(least, 0.0)]
+        m = self.cuts[rows + 1] - self.cuts[rows]
+        cell = np.repeat(self.cuts[rows + 1] - np.cumsum(m), m) + np.arange(m.sum())
+        full = np.zeros(len(self.names))
+        full[term] = weight
+        sims = np.bincount(np.repeat(np.arange(len(rows)), m), full[self.term[cell]] * self.weight[cell], len(rows))
+        rows, sims = rows[sims > 0], sims[sims > 0]
+        order = np.lexsort((rows, -np.round(sims, 12)))[:k]
+        return rows[order], sims[order]
+
+    def vote(self, rows: np.ndarray, sims: np.ndarray, own: int = -1, label: int = 0) -> float:
         """The share of label 1 among K + 1 or fewer examples; without one labelled row of the example ``own``, if given."""
         n0, n1 = self.n0[rows] - (rows == own) * (1 - label), self.n1[rows] - (rows == own) * label
-        rows = np.flatnonzero(n0 + n1 > 0)[:K]
-        n0, n1, sims = n0[rows], n1[rows], sims[rows]
+        near = np.flatnonzero(n0 + n1 > 0)[:K]
+        n0, n1, sims = n0[near], n1[near], sims[near]
         w = np.sqrt(n0 + n1) / (1.02 - np.minimum(1, sims)) ** 2
-        return float(((w * n1 / (n0 + n1)).sum() + base) / (w.sum() + 1))
-
-
-def logistic(x: np.ndarray, y: np.ndarray, steps: int = 50) -> np.ndarray:
-    """Weights of the columns of ``x``, and last the constant; no column counts against its vote."""
-    used, w = list(range(x.shape[1])), np.append(np.ones(x.shape[1]), 0.0)
-    if len(set(y.tolist())) < 2:
-        return w
-    while used:
-        z, c = np.column_stack([x[:, used], np.ones(len(y))]), np.append(np.ones(len(used)), 0.0)
-        aim = c.copy()
-        for _ in range(steps):
-            p = 1 / (1 + np.exp(-np.clip(z @ c, -30, 30)))
-            move = np.linalg.solve((z.T * (p * (1 - p))) @ z + 1e-2 * np.eye(len(c)), z.T @ (p - y) + 1e-2 * (c - aim))
-            c = c - move
-            if np.abs(move).max() < 1e-9:
-                break
-        if (c[:-1] > 0).all():
-            out = np.zeros(len(w))
-            out[used + [len(w) - 1]] = c
-            return out
-        used.pop(int(np.argmin(c[:-1])))
-    return w
+        return float(((w * n1 / (n0 + n1)).sum() + self.base) / (w.sum() + 1))
 
 
 def logit(v: float) -> float:
@@ -344,77 +205,85 @@ def logit(v: float) -> float:
     return float(np.log(v / (1 - v)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN_DOCS) -> tuple[Broadcast, np.ndarray]:
-    """The two indexes over at most ``most`` labelled rows outside the held-out fold, and the curve over their votes."""
-    spark = docs.sparkSession
-    sample = labelled_sample(docs, labels, "toxic", fold(F.col("doc_id"), 3) != 1, most)
-    words, total = telling_words(sample)
-    names = [w for w, _ in words]
+def logistic(x: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, float]:
+    """Slope and constant of a logistic curve, drawn slightly to 1 and 0; these too where the labels are of one kind or speak against the vote."""
+    aim = np.array([1.0, 0.0])
+    if len(set(y.tolist())) < 2:
+        return 1.0, 0.0
+    z, c = np.column_stack([x, np.ones(len(y))]), aim.copy()
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(z @ c, -30, 30)))
+        move = np.linalg.solve((z.T * (p * (1 - p))) @ z + 1e-2 * np.eye(2), z.T @ (p - y) + 1e-2 * (c - aim))
+        c = c - move
+        if np.abs(move).max() < 1e-9:
+            break
+    return (float(c[0]), float(c[1])) if c[0] > 0 else (1.0, 0.0)
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            flat = [[x for pair in v for x in pair] for v in vectors_of(batch.column("text"), names)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(flat, pa.list_(pa.int64()))], ["doc_id", "label", "v"])
 
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            found, row, word, count = _words(batch.column("text"))
-            cells = [batch.column("doc_id").to_pylist(), batch.column("label").to_pylist(), np.bincount(row, minlength=batch.num_rows).tolist(), " ".join(found.to_pylist()), word.astype(np.int32).tobytes(), count.astype(np.int32).tobytes()]
-            kinds = [pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.string(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(cells, kinds)], ["docs", "labels", "sizes", "words", "code", "count"])
-
-    packed = sample.mapInArrow(pack, "doc_id long, label int, v array<long>")
-    counted = packed.groupBy("v").agg(F.sum(1 - F.col("label")).alias("n0"), F.sum("label").alias("n1"), F.min("doc_id").alias("doc_id"))
-    vectors = {tuple(zip(r["v"][::2], r["v"][1::2])): [r["n0"], r["n1"], r["doc_id"]] for r in counted.collect()}
-    parts = sample.mapInArrow(whole, "docs array<long>, labels array<int>, sizes array<int>, words string, code binary, count binary").collect()
-    texts = Texts([(r["docs"], r["labels"], r["sizes"], r["words"].split(" ") if r["words"] else [], np.frombuffer(r["code"], np.int32), np.frombuffer(r["count"], np.int32)) for r in parts])
-    shared = spark.sparkContext.broadcast((texts, Index(words, total, vectors)))
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches):
+        found, row, word, count = _words(batch.column("text"))
+        cells = [batch.column("doc_id").to_pylist(), batch.column("label").to_pylist(), np.bincount(row, minlength=batch.num_rows).tolist(), " ".join(found.to_pylist()), word.astype(np.int32).tobytes(), count.astype(np.int32).tobytes()]
+        kinds = [pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.string(), pa.binary(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(cells, kinds)], ["docs", "labels", "sizes", "words", "code", "count"])
+
+
+def build(sample: DataFrame) -> Index:
+    """The index of a sample (doc_id, text, label), put together on the driver."""
+    rows = sample.mapInArrow(_packed, "docs array<long>, labels array<int>, sizes array<int>, words string, code binary, count binary").collect()
+    return Index([(r["docs"], r["labels"], r["sizes"], r["words"].split(" ") if r["words"] else [], np.frombuffer(r["code"], np.int32), np.frombuffer(r["count"], np.int32)) for r in rows])
+
+
+def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN_DOCS) -> tuple[Broadcast, tuple[float, float]]:
+    """The index over at most ``most`` labelled rows outside the held-out fold, and the curve over its votes."""
+    spark = docs.sparkSession
+    sample = labelled_sample(docs, labels, "toxic", fold(F.col("doc_id"), 3) != 1, most)
+    index = build(sample)
+    shared = spark.sparkContext.broadcast(index)
+    if not index.useful:
+        return shared, (1.0, 0.0)
 
     def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts, index = shared.value
-        at, place = {k: i for i, k in enumerate(index.keys)}, dict(texts.place.tolist())
+        index = shared.value
         for batch in slices(batches):
             docs, y = batch.column("doc_id").to_pylist(), batch.column("label").to_pylist()
-            near = texts.nearest(texts.vectors(batch.column("text")), K + 1)
-            keys = vectors_of(batch.column("text"), index.words)
-            votes = [(logit(texts.vote(*n, index.base, place[d], v)), logit(index.vote(k, at[k], v)), v, d) if k else None for n, k, v, d in zip(near, keys, y, docs)]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*filter(None, votes)), (pa.float64(), pa.float64(), pa.int32(), pa.int64()))] if any(votes) else [pa.array([], t) for t in (pa.float64(), pa.float64(), pa.int32(), pa.int64())], ["a", "b", "y", "d"])
+            vectors = index.vectors(batch.column("text"))
+            some = [i for i, v in enumerate(vectors) if len(v[0])]
+            votes = [logit(index.vote(*index.nearest(*vectors[i], K + 1), index.place[docs[i]], y[i])) for i in some]
+            columns = [pa.array([docs[i] for i in some], pa.int64()), pa.array(votes, pa.float64()), pa.array([y[i] for i in some], pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, ["d", "v", "y"])
 
-    if not len(texts):
-        return shared, np.array([1.0, 1.0, 0.0])
-    rows = sorted(tuple(r) for r in sample.mapInArrow(left_out, "a double, b double, y int, d long").select("d", "a", "b", "y").collect())
-    table = np.array(rows, np.float64).reshape(-1, 4)
-    return shared, logistic(table[:, 1:3], table[:, 3])
+    rows = sorted(tuple(r) for r in sample.mapInArrow(left_out, "d long, v double, y int").collect())
+    return shared, logistic(np.array([r[1] for r in rows]), np.array([r[2] for r in rows]))
 
 
-def score(docs: DataFrame, model: tuple[Broadcast, np.ndarray]) -> DataFrame:
+def score(docs: DataFrame, model: tuple[Broadcast, tuple[float, float]]) -> DataFrame:
     """(doc_id, held_out, score, predicted, evidence) for each row of ``docs``; evidence is the ids of up to three examples with their cosines."""
     bounded_batches(docs.sparkSession)
-    shared, curve = model
+    shared, (slope, constant) = model
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, tuple[float, str]] = {}
-        votes: dict = {}
-        texts, index = shared.value
+        index = shared.value
+
+        def judged(term: np.ndarray, weight: np.ndarray) -> tuple[float, str]:
+            rows, sims = index.nearest(term, weight)
+            if not len(rows):
+                return index.base, ""
+            s = float(1 / (1 + np.exp(-(slope * logit(index.vote(rows, sims)) + constant))))
+            return s, ",".join(f"{d}:{c:.4f}" for d, c in zip(index.doc[rows[:3]].tolist(), sims[:3].tolist()))
+
         for batch in slices(batches):
             column = batch.column("text")
             marks = [blake2b(t.as_buffer(), digest_size=16).digest() for t in column]
             if len(known) >= CACHE:
                 known.clear()
-            if len(votes) >= CACHE:
-                votes.clear()
-            fresh = list({m: i for i, m in enumerate(marks) if m not in known}.values())
+            fresh = {m: i for i, m in enumerate(marks) if m not in known}
             if fresh:
-                new = column.take(pa.array(fresh, pa.int64()))
-                near = texts.nearest(texts.vectors(new)) if len(texts) else [((), ())] * len(fresh)
-                for i, key, (rows, sims) in zip(fresh, vectors_of(new, index.words), near):
-                    if not key or not len(texts):
-                        known[marks[i]] = index.empty, ""
-                        continue
-                    if (v := votes.get(key)) is None:
-                        v = votes[key] = logit(index.vote(key))
-                    s = float(1 / (1 + np.exp(-(curve[0] * logit(texts.vote(rows, sims, index.base)) + curve[1] * v + curve[2]))))
-                    known[marks[i]] = s, ",".join(f"{d}:{c:.4f}" for d, c in zip(texts.doc[rows[:3]].tolist(), sims[:3].tolist()))
+                new = column.take(pa.array(list(fresh.values()), pa.int64()))
+                words = word_count(*raw(translated(new, LOWER_ALNUM))).tolist()
+                for m, n, v in zip(fresh, words, index.vectors(new)):
+                    known[m] = judged(*v) if n else (index.empty, "")
             out = [known[m] for m in marks]
             s = np.array([x[0] for x in out])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32)), pa.array([x[1] for x in out], pa.string())], ["doc_id", "held_out", "score", "predicted", "evidence"])
@@ -426,8 +295,9 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Index the labelled examples, then score every row of ``docs``.
 
     Null and empty texts, and texts without a word, get the smoothed share of
-    label 1 among such examples; equal texts get equal scores; without
-    labels of both kinds every score is the smoothed share of label 1; no rows
-    give no rows.
+    label 1 among such examples; texts that share no weighted word with any
+    example get that of the whole sample.  Equal texts get equal scores; without
+    labels of both kinds every score is a smoothed share of label 1; no rows give
+    no rows.
     """
     return score(docs, fit(docs, labels))

@@ -326,52 +326,117 @@ def test_toxicity_on_held_out_labels(spark):
     assert any(r["evidence"] for r in rows if r["predicted"])
 
 
-def test_neighbours_are_exact():
-    r = Random(1)
-    words = [(f"w{i}", r.randint(1, 50)) for i in range(30)]
-    make = lambda: tuple(sorted((t, r.randint(1, 4)) for t in r.sample(range(31), r.randint(1, 6))))
-    vectors = {make(): [r.randint(0, 3), r.randint(1, 3), i] for i in range(900)} | {(): [5, 1, -1]}
-    ix = toxicity.Index(words, 100, vectors)
-    dense = np.zeros((len(ix.keys), 31))
-    for i, key in enumerate(ix.keys):
-        for t, w in zip(*ix.query(key)):
-            dense[i, t] = w
-    for _ in range(200):
-        key = make()
-        q = np.zeros(31)
-        for t, w in zip(*ix.query(key)):
-            q[t] = w
-        rows, sims = ix.nearest(key)
-        all_sims = dense @ q
-        order = [i for i in np.lexsort((np.arange(len(all_sims)), -np.round(all_sims, 12))) if all_sims[i] > 0][: toxicity.K]
-        assert rows.tolist() == order and np.allclose(sims, all_sims[order])
-
-
-def brute_cosines(train, query):
-    """TF-IDF cosines of a text to each training text, over all their words, in plain Python."""
-    bag = lambda t: Counter(re.findall(r"[a-z0-9\x80-\U0010ffff]+", "".join(c.lower() if c.isascii() else c for c in t)))
-    bags = [bag(t) for t in train]
-    df = Counter(w for b in bags for w in b)
-    vector = lambda b: {w: (1 + math.log(n)) * (math.log((1 + len(train)) / (1 + df[w])) + 1) for w, n in b.items()}
-    norm = lambda v: math.sqrt(sum(x * x for x in v.values())) or 1.0
-    q = vector(bag(query))
-    return [sum(x * v.get(w, 0) for w, x in q.items()) / norm(q) / norm(v) for v in map(vector, bags)]
-
-
-def test_neighbours_are_those_of_whole_texts(spark, sf):
-    texts = sorted({r["text"] for r in read(spark, sf, "documents").collect() if r["text"]}, key=len)[:180]
-    train, queries_ = texts[::2], texts[1::2] + [texts[0] + " unknownword", "wholly unseen"]
-    words = [toxicity._words(pa.array([t], pa.string())) for t in train]
-    ix = toxicity.Texts([([i], [i % 2], [len(w[3])], w[0].to_pylist(), w[2], w[3]) for i, w in enumerate(words)])
-    heavy, toxicity.HEAVY = toxicity.HEAVY, 20  # so that both ways of adding are taken
+def bag_of_terms(text):
+    words = re.findall(r"[a-z0-9\x80-\U0010ffff]+", text.translate(LOWER))
+    return Counter(words + [w[: toxicity.STEM] + "*" for w in words if len(w) > toxicity.STEM])
+
+
+class SlowToxicity:
+    """The whole of the operator in plain Python: TF-IDF from texts, dense cosines, votes, the curve."""
+
+    def __init__(self, examples):
+        examples = sorted(examples)
+        bags = [bag_of_terms(t) for _, t, _ in examples]
+        n = Counter(y for _, _, y in examples)
+        df = {0: Counter(), 1: Counter()}
+        for b, (_, _, y) in zip(bags, examples):
+            df[y].update(set(b))
+        total, s = len(examples), toxicity.SMOOTH
+        smooth = lambda w, y: math.log((df[y][w] + s * n[y] / total) / (n[y] + s))
+        self.idf = {w: abs(smooth(w, 1) - smooth(w, 0)) for w in {*df[0], *df[1]}}
+        self.prior = (n[1] + 0.5) / (total + 1)
+        bare = [y for b, (_, _, y) in zip(bags, examples) if not b]
+        self.empty = (sum(bare) + self.prior) / (len(bare) + 1)
+        self.at, self.own, self.count, self.id, self.vectors = {}, {}, [], [], []
+        for b, (d, _, y) in zip(bags, examples):
+            if b:
+                i = self.at.setdefault(tuple(sorted(b.items())), len(self.at))
+                if i == len(self.id):
+                    self.id.append(d)
+                    self.count.append([0, 0])
+                    self.vectors.append(self.unit(b))
+                self.count[i][y] += 1
+                self.own[d] = i
+        votes = [(self.logit(self.vote(self.cosines(t, toxicity.K + 1), self.own[d], y)), y) for d, t, y in examples if bag_of_terms(t)]
+        x, y = (np.array(c, float) for c in zip(*votes))
+        c = np.array([1.0, 0.0])
+        loss = lambda c: np.logaddexp(0, np.where(y > 0, -1, 1) * (c[0] * x + c[1])).sum() + 0.5e-2 * ((c[0] - 1) ** 2 + c[1] ** 2)
+        for step in (1, 0.1, 0.01, 1e-3, 1e-4, 1e-5, 1e-6):  # walk down a grid that gets finer
+            while (best := min((c + step * np.array(m) for m in ((0, 0), (1, 0), (-1, 0), (0, 1), (0, -1), (1, 1), (-1, -1), (1, -1), (-1, 1))), key=loss)) is not None and loss(best) < loss(c):
+                c = best
+        self.curve = c
+
+    def unit(self, bag):
+        v = {w: (1 + math.log(n)) * self.idf.get(w, 0) for w, n in bag.items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()} if norm else {}
+
+    def cosines(self, text, k):
+        q = self.unit(bag_of_terms(text))
+        sims = [(sum(x * v.get(w, 0) for w, x in q.items()), i) for i, v in enumerate(self.vectors)]
+        return sorted(((s, i) for s, i in sims if s > 0), key=lambda p: (-round(p[0], 12), p[1]))[:k]
+
+    def vote(self, near, own=-1, label=0):
+        top, low, used = self.prior, 1.0, 0
+        for sim, i in near:
+            n0, n1 = self.count[i][0] - (i == own and label == 0), self.count[i][1] - (i == own and label == 1)
+            if n0 + n1 and used < toxicity.K:
+                used += 1
+                w = math.sqrt(n0 + n1) / (1.02 - min(1, sim)) ** 2
+                top, low = top + w * n1 / (n0 + n1), low + w
+        return top / low
+
+    @staticmethod
+    def logit(v):
+        v = min(max(v, 1e-3), 1 - 1e-3)
+        return math.log(v / (1 - v))
+
+    def score(self, text):
+        if not bag_of_terms(text):
+            return self.empty, ""
+        near = self.cosines(text, toxicity.K)
+        if not near:
+            return self.prior, ""
+        z = self.curve[0] * self.logit(self.vote(near)) + self.curve[1]
+        return 1 / (1 + math.exp(-z)), ",".join(f"{self.id[i]}:{s:.4f}" for s, i in near[:3])
+
+
+def test_toxicity_by_brute_force(spark):
+    """Ids and cosines of neighbours, votes and calibrated scores, from whole texts with copies, ties and blanks."""
+    docs = [(r["doc_id"], r["text"][:600] if r["doc_id"] % 3 else r["text"]) for r in read(spark, "/root/testdata/sf0.001", "documents").collect()]
+    r = Random(2)
+    docs = [(i, t + " You utter fool, fools" * r.randint(1, 3) if i % 4 == 0 else t) for i, t in docs]
+    docs += [(9000 + i, t) for i, (_, t) in enumerate(docs[:12])] + [(9100, ""), (9101, None), (9102, "-- !"), (9103, ""), (9104, "unheardof"), (9105, "fool " * 2000)]
+    labelled = [(i, int(i % 4 == 0)) for i, _ in docs if i < 9104]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {x["doc_id"]: x for x in toxicity.classify(frame, spark.createDataFrame(labelled, "doc_id long, toxic int")).collect()}
+    text = {i: t or "" for i, t in docs}
+    slow = SlowToxicity([(i, text[i], y) for i, y in labelled if zlib.crc32(str(i).encode()) % 3 != 1])
+    assert len(got) == len(docs)
+    for i, t in text.items():
+        score, evidence = slow.score(t)
+        pairs = [[p.split(":") for p in e.split(",") if p] for e in (got[i]["evidence"], evidence)]
+        assert [d for d, _ in pairs[0]] == [d for d, _ in pairs[1]], i
+        assert np.allclose([float(c) for _, c in pairs[0]], [float(c) for _, c in pairs[1]], atol=1.01e-4)
+        assert abs(got[i]["score"] - score) < 1e-4, i
+
+
+@pytest.mark.parametrize("frequent", [1, 4, 1000])
+def test_neighbours_are_exact_however_the_index_is_cut(spark, sf, frequent):
+    texts = sorted({r["text"] for r in read(spark, sf, "documents").collect() if r["text"]}, key=len)[:190]
+    train, asked = texts[::2], texts[1::2] + [texts[0] + " unknownword", "wholly unseen"]
+    parts = [([i], [i % 2], [len(w[3])], w[0].to_pylist(), w[2], w[3]) for i, w in enumerate(toxicity._words(pa.array([t], pa.string())) for t in train)]
+    index = toxicity.Index(parts)
+    before = toxicity.FREQUENT, toxicity.BLOCK
+    toxicity.FREQUENT, toxicity.BLOCK = frequent, 8
     try:
-        found = ix.nearest(ix.vectors(pa.array(queries_, pa.string())))
+        found = [index.nearest(*v) for v in index.vectors(pa.array(asked, pa.string()))]
     finally:
-        toxicity.HEAVY = heavy
-    for text, (rows, sims) in zip(queries_, found):
-        every = sorted((s for s in brute_cosines(train, text) if s > 0), reverse=True)[: toxicity.K]
-        by_doc = brute_cosines(train, text)
-        assert np.allclose(sims, every, atol=1e-9) and np.allclose(sims, [by_doc[ix.doc[r]] for r in rows], atol=1e-9)
+        toxicity.FREQUENT, toxicity.BLOCK = before
+    slow = SlowToxicity([(i, t, i % 2) for i, t in enumerate(train)])
+    for text, (rows, sims) in zip(asked, found):
+        near = slow.cosines(text, toxicity.K)
+        assert rows.tolist() == [i for _, i in near] and np.allclose(sims, [s for s, _ in near], atol=1e-9)
 
 
 def test_copies_of_a_toxic_text_with_rare_words_are_found(spark):
