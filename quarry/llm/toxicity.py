@@ -270,7 +270,7 @@ def score(docs: DataFrame, model: tuple[Broadcast, tuple[float, float]]) -> Data
             rows, sims = index.nearest(term, weight)
             if not len(rows):
                 return index.base, ""
-            s = float(1 / (1 + np.exp(-(slope * logit(index.vote(rows, sims)) + constant))))
+            s = float(1 / (1 + np.exp(-np.clip(slope * logit(index.vote(rows, sims)) + constant, -40, 40))))
             return s, ",".join(f"{d}:{c:.4f}" for d, c in zip(index.doc[rows[:3]].tolist(), sims[:3].tolist()))
 
         for batch in slices(batches):
