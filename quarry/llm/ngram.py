@@ -27,21 +27,19 @@ with one end token.  Word numbers must stay below 2**32.
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.lineage import cut
 from .eliasfano import Trie, quantised
-from .textops import LOWER_SPACE, bounded_batches, fold, id_text, slices, split, translated
+from .textops import LOWER_SPACE, bounded_batches, fold, id_text, pack, slices, split, translated, unpack
 
 MU = 100.0
 BLOCK_TEXT = 8 << 20
@@ -49,32 +47,6 @@ WORDS_A_SHARD, PAIRS_A_SHARD = 1_500_000, 3_000_000
 END, START, FIRST = 0, 1, 2  # numbers of the end token, the start context and the first word
 
 
-def pack(*parts) -> bytes:
-    """Arrays and bytes as one compressed value; integers by byte planes."""
-    flat = []
-    for p in parts:
-        if isinstance(p, np.ndarray) and p.dtype.itemsize > 1 and p.dtype.kind in "iu":
-            flat.append((p.dtype.str, len(p), p.view(np.uint8).reshape(len(p), -1).T.tobytes()))
-        elif isinstance(p, np.ndarray):
-            flat.append((p.dtype.str, -1, p.tobytes()))
-        else:
-            flat.append((None, 0, p))
-    return zstandard.compress(pickle.dumps(flat), 3)
-
-
-def unpack(data: bytes) -> list:
-    out = []
-    for kind, n, body in pickle.loads(zstandard.decompress(data)):
-        if kind is None:
-            out.append(body)
-        elif n < 0:
-            out.append(np.frombuffer(body, kind))
-        else:
-            size = np.dtype(kind).itemsize
-            out.append(np.ascontiguousarray(np.frombuffer(body, np.uint8).reshape(size, n).T).view(kind).ravel())
-    return out
-
-
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 24
     for batch in slices(batches, most=BLOCK_TEXT):

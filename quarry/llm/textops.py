@@ -8,12 +8,14 @@ counts as the empty text.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -117,3 +119,29 @@ def word_count(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     start[begin] = word[begin]
     total = np.concatenate([[0], np.cumsum(start, dtype=np.int64)])
     return total[offs[1:]] - total[offs[:-1]]
+
+
+def pack(*parts) -> bytes:
+    """Arrays and bytes as one compressed value; integers by byte planes."""
+    flat = []
+    for p in parts:
+        if isinstance(p, np.ndarray) and p.dtype.itemsize > 1 and p.dtype.kind in "iu":
+            flat.append((p.dtype.str, len(p), p.view(np.uint8).reshape(len(p), -1).T.tobytes()))
+        elif isinstance(p, np.ndarray):
+            flat.append((p.dtype.str, -1, p.tobytes()))
+        else:
+            flat.append((None, 0, p))
+    return zstandard.compress(pickle.dumps(flat), 3)
+
+
+def unpack(data: bytes) -> list:
+    out = []
+    for kind, n, body in pickle.loads(zstandard.decompress(data)):
+        if kind is None:
+            out.append(body)
+        elif n < 0:
+            out.append(np.frombuffer(body, kind))
+        else:
+            size = np.dtype(kind).itemsize
+            out.append(np.ascontiguousarray(np.frombuffer(body, np.uint8).reshape(size, n).T).view(kind).ravel())
+    return out

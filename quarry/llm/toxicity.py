@@ -2,20 +2,21 @@
 
 Every word of every labelled text is a term, and so is the stem of every longer
 word, its first ``STEM`` letters (a stemmer that needs to know no language); none
-is selected, joined or rounded.  A term's weight in a text is (1 + ln count) times its inverse document frequency.
-Frequency is counted in either class, and the weight is the distance between the
-two: idf(term) = |ln share of label 1 texts with it - ln share of label 0 texts
-with it|, both shares smoothed by ``SMOOTH`` texts of the sample's mix ("delta
-TF-IDF").  The plain idf of all texts together finds few toxic documents here, as
-their toxic words are few among many rare ones (README has the figures).
-
-The examples stand in an inverted index over ranges of ``BLOCK`` examples; each
-term has its largest weight in each range.  A query adds up the lists of its terms
-from the largest possible share down, until the terms left over could not carry a
-range past the k-th sum; with the left terms' range maxima as bounds, whole ranges
-drop out and the rest is scored again in double precision.  So the neighbours are
-exact however little of the index is read.  Examples with equal vectors are one
-with two counts.
+is selected, joined or rounded.  A term's weight in a text is (1 + ln count) times
+its inverse document frequency.  Frequency is counted in either class, and the idf
+is the distance between the two: |ln share of label 1 texts with the term - ln
+share of label 0 texts with it|, both shares smoothed by ``SMOOTH`` texts of the
+sample's mix ("delta TF-IDF").  The plain idf of all texts together finds few toxic
+documents here, as their toxic words are few among many rare ones (README has the
+figures).
+
+The examples stand in an inverted index over ranges of ``BLOCK`` examples, weights
+rounded up; each frequent term has its largest weight in each range.  A query adds
+up the lists of its rarer terms, then frequent terms from the largest possible
+share down, until those left over could not carry a range past the k-th sum; with
+their range maxima as bounds, whole ranges drop out, and what remains is scored
+again in double precision.  So the neighbours are exact however little of the index
+is read.  Examples with equal vectors are one with two counts.
 
 Votes weigh by distance; a logistic curve over the vote, fitted on the leave-one-out
 votes of all labelled rows of the sample, makes it a probability, and the nearest
@@ -38,15 +39,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .sample import labelled_sample
-from .textops import LOWER_ALNUM, bounded_batches, fold, id_text, raw, slices, split, translated, word_count
+from .textops import LOWER_ALNUM, bounded_batches, fold, id_text, pack, raw, slices, split, translated, unpack, word_count
 
 MAX_TRAIN_DOCS = 20_000
 THRESHOLD = 0.7
 K, BLOCK, SMOOTH, STEM = 10, 32, 2.0, 5
 CACHE = 100_000
-FREQUENT = 32  # a term in more than one example of so many has a dense column
+GRAIN = 1 << 16  # steps of a weight in a list
+FREQUENT = 12  # a term in more than one example of so many has a dense column
 
-Part = tuple[list[int], list[int], list[int], list[str], np.ndarray, np.ndarray]
+Part = tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, np.ndarray, np.ndarray]
 
 
 def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
@@ -73,40 +75,36 @@ class Index:
     """Labelled examples, searchable by exact cosine."""
 
     def __init__(self, parts: list[Part]) -> None:
-        """parts: doc ids, labels and numbers of distinct words of some examples; their words, and for each distinct word of each example its place there and its count."""
-        known: dict[str, int] = {}
-        found = []
-        for docs, labels, sizes, words, code, count in parts:
-            term = np.array([known.setdefault(w, len(known)) for w in words], np.int64)[code] if len(code) else code
-            ends = np.cumsum(sizes)
-            found += [(d, y, term[e - n : e], count[e - n : e]) for d, y, n, e in zip(docs, labels, sizes, ends.tolist())]
-        found.sort(key=lambda x: x[0])
-        names = sorted(known)
-        rank = np.empty(len(names), np.int64)
-        rank[[known[w] for w in names]] = np.arange(len(names))
-        self.names = pa.array(names, pa.large_string())
-        df, at = np.zeros((2, len(names)), np.int64), {}
-        rows, counts, place = [], [], []
-        for d, y, term, count in found:
-            order = np.argsort(term := rank[term])
-            term, count = term[order].astype(np.int32), count[order].astype(np.int32)
+        """parts: doc ids, labels and numbers of distinct terms of some examples; their terms, and for each distinct term of each example its place there and its count."""
+        self.names = pa.concat_arrays([p[3] for p in parts]).unique() if parts else pa.array([], pa.large_string())
+        self.names = self.names.take(pc.sort_indices(self.names))
+        size, some, cells = len(self.names), [], []
+        for docs, labels, sizes, names, code, count in parts:
+            term = pc.index_in(names, self.names).to_numpy(zero_copy_only=False).astype(np.int32)[code]
+            order = np.lexsort((term, np.repeat(np.arange(len(sizes)), sizes)))
+            term, count = term[order], count[order].astype(np.int32)
+            some += zip(docs.tolist(), labels.tolist(), [len(cells)] * len(docs), (np.cumsum(sizes) - sizes).tolist(), np.cumsum(sizes).tolist())
+            cells.append((term, count))
+        df, at, rows, counts, self.place = np.zeros((2, size), np.int64), {}, [], [], {}
+        for d, y, part, a, z in sorted(some):
+            term, count = (c[a:z] for c in cells[part])
             df[y, term] += 1
-            i = at.setdefault(term.tobytes() + count.tobytes(), len(at)) if len(term) else -1
+            mark = blake2b(term.tobytes() + count.tobytes(), digest_size=16).digest()
+            i = at.setdefault(mark, len(at)) if len(term) else -1
             if i == len(rows):
                 rows.append((term, count))
                 counts.append([0, 0, d])
             if i >= 0:
                 counts[i][y] += 1
-            place.append((d, i))
-        labels = [y for _, y, _, _ in found]
+            self.place[d] = i
+        labels = [x[1] for x in some]
         total = [labels.count(0), labels.count(1)]
         self.base = (total[1] + 0.5) / (sum(total) + 1)
-        bare = [y for (_, i), y in zip(place, labels) if i < 0]
+        bare = [y for d, y, *_ in some if self.place[d] < 0]
         self.empty = (sum(bare) + self.base) / (len(bare) + 1)
-        self.place = dict(place)
         self.useful = bool(total[0] and total[1])
         self.n0, self.n1, self.doc = np.array(counts, np.int64).reshape(-1, 3).T
-        self.idf = np.append(contrast(df[0], df[1], *total), 0.0) if self.useful else np.zeros(len(names) + 1)  # the last: a word of no example
+        self.idf = np.append(contrast(df[0], df[1], *total), 0.0) if self.useful else np.zeros(size + 1)  # the last: a term of no example
         self.term = np.concatenate([t for t, _ in rows] or [np.zeros(0, np.int32)])
         self.count = np.concatenate([c for _, c in rows] or [np.zeros(0, np.int32)])
         self.cuts = np.cumsum([0] + [len(t) for t, _ in rows])
@@ -118,22 +116,26 @@ class Index:
     def prepare(self) -> None:
         """The lists and the range maxima: made where they are needed and not sent."""
         self.ready, n, size = True, len(self), len(self.names)
+        self.full = np.zeros(size)
         row = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.cuts))
         weight = (1 + np.log(self.count)) * self.idf[self.term]
         norm = np.sqrt(np.bincount(row, weight * weight, n))
         self.weight = weight / np.where(norm > 0, norm, 1)[row]
         order = np.argsort(self.term, kind="stable")
-        self.row, self.cell, term = row[order], self.weight[order].astype(np.float32), self.term[order]
+        term, cell = self.term[order], self.weight[order]
+        # A posting is an example's number and its weight, rounded up to GRAIN, in one integer.
+        self.lists = row[order].astype(np.uint32 if n <= 1 << 16 else np.int64) << 16
+        self.lists |= np.ceil(cell * (GRAIN - 1)).astype(self.lists.dtype)
         self.starts = np.searchsorted(term, np.arange(size + 1))
         often = np.diff(self.starts)
         self.most = np.zeros(size)
-        self.most[often > 0] = np.maximum.reduceat(self.cell, self.starts[:-1][often > 0]) if len(self.cell) else 0
+        self.most[often > 0] = np.maximum.reduceat(cell, self.starts[:-1][often > 0]) if len(cell) else 0
         frequent = np.flatnonzero(often > max(BLOCK, n // FREQUENT))
         self.column = np.full(size, -1, np.int32)
         self.column[frequent] = np.arange(len(frequent))
         self.dense = np.zeros((len(frequent), n), np.float32)
         column = self.column[term]
-        self.dense[column[column >= 0], self.row[column >= 0]] = self.cell[column >= 0]
+        self.dense[column[column >= 0], row[order][column >= 0]] = cell[column >= 0]
         self.ranges = np.arange(0, n, BLOCK)
         self.maxima = np.maximum.reduceat(self.dense, self.ranges, axis=1) if n else self.dense
 
@@ -141,7 +143,7 @@ class Index:
         """For each text the terms of its unit vector in rising order, and their weights."""
         names, row, word, count = _words(texts)
         term = pc.fill_null(pc.index_in(names, self.names), len(self.names)).to_numpy(zero_copy_only=False).astype(np.int64)[word]
-        order = np.lexsort((term, row))
+        order = np.argsort(row * (len(self.names) + 1) + term, kind="stable")
         row, term, count = row[order], term[order], count[order]
         weight = (1 + np.log(count)) * self.idf[term]
         norm = np.sqrt(np.bincount(row, weight * weight, len(texts)))
@@ -160,9 +162,10 @@ class Index:
         column = self.column[term]
         short = column < 0
         a, z = self.starts[term[short]], self.starts[term[short] + 1]
-        size = z - a
-        at = np.repeat(z - np.cumsum(size), size) + np.arange(size.sum())
-        sums = np.bincount(self.row[at], np.repeat(weight[short], size) * self.cell[at], n).astype(np.float64)
+        cells = np.concatenate([self.lists[i:j] for i, j in zip(a.tolist(), z.tolist())] or [self.lists[:0]])
+        share = np.repeat(weight[short].astype(np.float32), z - a)
+        share *= cells & cells.dtype.type(GRAIN - 1)
+        sums = np.bincount(cells >> cells.dtype.type(16), share, n).astype(np.float32) * np.float32(1 / (GRAIN - 1))
         column, own = column[~short], weight[~short]
         share = own * self.most[term[~short]]
         order = np.argsort(-share, kind="stable")
@@ -171,22 +174,22 @@ class Index:
         # The k-th largest of the range maxima is at most the k-th largest of all.
         floor = lambda: float(np.partition(np.maximum.reduceat(sums, self.ranges), -k)[-k]) if len(self.ranges) >= k else 0.0
         least = floor()
-        take = int(np.argmax(left <= least / 8))
+        take = int(np.argmax(left <= least / 4))
         if take:
             sums += own[:take].astype(np.float32) @ self.dense[column[:take]]
             least = floor()
-        # Stored weights and sums are off by some units of rounding in single precision.
-        least -= (len(term) + 8) * 2.0**-23
+        # Sums are too large by the rounding up of weights, and off by some units of single precision.
+        least -= weight[short].sum() / (GRAIN - 1) + (len(term) + 8) * 2.0**-23
         bound = np.maximum.reduceat(sums, self.ranges) + own[take:] @ self.maxima[column[take:]]
         far = np.flatnonzero(bound >= least) if least > 0 else np.flatnonzero(bound > 0)
         rows = (self.ranges[far][:, None] + np.arange(BLOCK)).ravel()
         rows = rows[rows < n]
-        rows = rows[sums[rows] + left[take] >= max(least, 0.0)]
+        rows = rows[sums[rows] + left[take] >= least]
         m = self.cuts[rows + 1] - self.cuts[rows]
         cell = np.repeat(self.cuts[rows + 1] - np.cumsum(m), m) + np.arange(m.sum())
-        full = np.zeros(len(self.names))
-        full[term] = weight
-        sims = np.bincount(np.repeat(np.arange(len(rows)), m), full[self.term[cell]] * self.weight[cell], len(rows))
+        self.full[term] = weight
+        sims = np.bincount(np.repeat(np.arange(len(rows)), m), self.full[self.term[cell]] * self.weight[cell], len(rows))
+        self.full[term] = 0
         rows, sims = rows[sims > 0], sims[sims > 0]
         order = np.lexsort((rows, -np.round(sims, 12)))[:k]
         return rows[order], sims[order]
@@ -222,16 +225,20 @@ def logistic(x: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, floa
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        found, row, word, count = _words(batch.column("text"))
-        cells = [batch.column("doc_id").to_pylist(), batch.column("label").to_pylist(), np.bincount(row, minlength=batch.num_rows).tolist(), " ".join(found.to_pylist()), word.astype(np.int32).tobytes(), count.astype(np.int32).tobytes()]
-        kinds = [pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.string(), pa.binary(), pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(cells, kinds)], ["docs", "labels", "sizes", "words", "code", "count"])
+        names, row, term, count = _words(batch.column("text"))
+        ids, labels = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("doc_id", "label"))
+        body = pack(ids, labels, np.bincount(row, minlength=batch.num_rows), b" ".join(names.cast(pa.large_binary()).to_pylist()), term.astype(np.int32), count.astype(np.int32))
+        yield pa.RecordBatch.from_arrays([pa.array([body], pa.binary())], ["body"])
+
+
+def part_of(body: bytes) -> Part:
+    ids, labels, sizes, names, term, count = unpack(body)
+    return ids, labels, sizes, pc.split_pattern(pa.array([names.decode()], pa.large_string()), " ").flatten() if names else pa.array([], pa.large_string()), term, count
 
 
 def build(sample: DataFrame) -> Index:
     """The index of a sample (doc_id, text, label), put together on the driver."""
-    rows = sample.mapInArrow(_packed, "docs array<long>, labels array<int>, sizes array<int>, words string, code binary, count binary").collect()
-    return Index([(r["docs"], r["labels"], r["sizes"], r["words"].split(" ") if r["words"] else [], np.frombuffer(r["code"], np.int32), np.frombuffer(r["count"], np.int32)) for r in rows])
+    return Index([part_of(r[0]) for r in sample.mapInArrow(_packed, "body binary").collect()])
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN_DOCS) -> tuple[Broadcast, tuple[float, float]]:

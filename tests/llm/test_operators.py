@@ -425,7 +425,7 @@ def test_toxicity_by_brute_force(spark):
 def test_neighbours_are_exact_however_the_index_is_cut(spark, sf, frequent):
     texts = sorted({r["text"] for r in read(spark, sf, "documents").collect() if r["text"]}, key=len)[:190]
     train, asked = texts[::2], texts[1::2] + [texts[0] + " unknownword", "wholly unseen"]
-    parts = [([i], [i % 2], [len(w[3])], w[0].to_pylist(), w[2], w[3]) for i, w in enumerate(toxicity._words(pa.array([t], pa.string())) for t in train)]
+    parts = [(np.array([i]), np.array([i % 2]), np.array([len(w[3])]), w[0], w[2], w[3]) for i, w in enumerate(toxicity._words(pa.array([t], pa.string())) for t in train)]
     index = toxicity.Index(parts)
     before = toxicity.FREQUENT, toxicity.BLOCK
     toxicity.FREQUENT, toxicity.BLOCK = frequent, 8
@@ -658,9 +658,10 @@ def slow_contamination(docs, items, window=10):
     return out
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_windows_against_brute_force(spark, monkeypatch, broadcast):
-    monkeypatch.setattr(decontaminate, "BROADCAST_SHINGLES", 10**6 if broadcast else 0)
+@pytest.mark.parametrize("keys, octets", [(10**6, 1 << 30), (10**6, 0), (0, 0)])
+def test_windows_against_brute_force(spark, monkeypatch, keys, octets):
+    monkeypatch.setattr(decontaminate, "BROADCAST_KEYS", keys)
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", octets)
     r = Random(6)
     vocabulary = [f"w{i}" for i in range(12)] + ["É", "x-y"]
     text = lambda n: " ".join(r.choice(vocabulary) for _ in range(n))
