@@ -46,7 +46,7 @@ THRESHOLD = 0.7
 K, BLOCK, SMOOTH, STEM = 10, 32, 2.0, 5
 CACHE = 100_000
 GRAIN = 1 << 16  # steps of a weight in a list
-FREQUENT = 12  # a term in more than one example of so many has a dense column
+DENSE, FREQUENT, TOGETHER = 20, 50, 64  # a term in more than one example of DENSE has a dense column, of FREQUENT range maxima
 
 Part = tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, np.ndarray, np.ndarray]
 
@@ -79,7 +79,8 @@ class Index:
         self.names = pa.concat_arrays([p[3] for p in parts]).unique() if parts else pa.array([], pa.large_string())
         self.names = self.names.take(pc.sort_indices(self.names))
         size, some, cells = len(self.names), [], []
-        for docs, labels, sizes, names, code, count in parts:
+        while parts:
+            docs, labels, sizes, names, code, count = parts.pop()
             term = pc.index_in(names, self.names).to_numpy(zero_copy_only=False).astype(np.int32)[code]
             order = np.lexsort((term, np.repeat(np.arange(len(sizes)), sizes)))
             term, count = term[order], count[order].astype(np.int32)
@@ -118,26 +119,36 @@ class Index:
         self.ready, n, size = True, len(self), len(self.names)
         self.full = np.zeros(size)
         row = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.cuts))
-        weight = (1 + np.log(self.count)) * self.idf[self.term]
-        norm = np.sqrt(np.bincount(row, weight * weight, n))
-        self.weight = weight / np.where(norm > 0, norm, 1)[row]
+        self.norm, weight = np.ones(n), np.zeros(len(row), np.float32)
+        for a in range(0, n, 1000):  # in steps, so that few long arrays stand beside each other
+            b = min(n, a + 1000)
+            own = slice(self.cuts[a], self.cuts[b])
+            whole = (1 + np.log(self.count[own])) * self.idf[self.term[own]]
+            norm = np.sqrt(np.bincount(row[own] - a, whole * whole, b - a))
+            self.norm[a:b][norm > 0] = norm[norm > 0]
+            weight[own] = whole / self.norm[row[own]]
         order = np.argsort(self.term, kind="stable")
-        term, cell = self.term[order], self.weight[order]
+        term, cell, row = self.term[order], weight[order], row[order]
+        del weight, order
         # A posting is an example's number and its weight, rounded up to GRAIN, in one integer.
-        self.lists = row[order].astype(np.uint32 if n <= 1 << 16 else np.int64) << 16
-        self.lists |= np.ceil(cell * (GRAIN - 1)).astype(self.lists.dtype)
+        self.lists = row.astype(np.uint32 if n <= 1 << 16 else np.int64) << 16
+        self.lists |= np.minimum(np.ceil(cell * np.float32(GRAIN - 1)), GRAIN - 1).astype(self.lists.dtype)
         self.starts = np.searchsorted(term, np.arange(size + 1))
         often = np.diff(self.starts)
         self.most = np.zeros(size)
         self.most[often > 0] = np.maximum.reduceat(cell, self.starts[:-1][often > 0]) if len(cell) else 0
-        frequent = np.flatnonzero(often > max(BLOCK, n // FREQUENT))
+        # 0 and above: the dense column; below -1: that of the range maxima; -1: lists only.
+        columns = np.flatnonzero(often > max(BLOCK, n // DENSE))
+        ranged = np.flatnonzero((often > max(BLOCK, n // FREQUENT)) & (often <= max(BLOCK, n // DENSE)))
         self.column = np.full(size, -1, np.int32)
-        self.column[frequent] = np.arange(len(frequent))
-        self.dense = np.zeros((len(frequent), n), np.float32)
+        self.column[columns], self.column[ranged] = np.arange(len(columns)), -2 - np.arange(len(ranged))
         column = self.column[term]
-        self.dense[column[column >= 0], row[order][column >= 0]] = cell[column >= 0]
+        self.dense = np.zeros((len(columns), n), np.float32)
+        self.dense[column[column >= 0], row[column >= 0]] = cell[column >= 0]
         self.ranges = np.arange(0, n, BLOCK)
-        self.maxima = np.maximum.reduceat(self.dense, self.ranges, axis=1) if n else self.dense
+        self.maxima = np.zeros((len(ranged), len(self.ranges)), np.float32)
+        some = np.flatnonzero(column < -1)
+        np.maximum.at(self.maxima, (-2 - column[some], row[some] // BLOCK), np.nextafter(cell[some], np.float32(2)))
 
     def vectors(self, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each text the terms of its unit vector in rising order, and their weights."""
@@ -152,43 +163,58 @@ class Index:
         cuts = np.searchsorted(row, np.arange(len(texts) + 1))
         return [(term[a:b], weight[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
 
-    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples with the largest cosine over 0, ties by position, and their cosines."""
+    def nearest(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int = K) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each vector the k examples with the largest cosine over 0, ties by position, and their cosines."""
         if not self.ready:
             self.prepare()
+        out = []
+        for at in range(0, len(vectors), TOGETHER):
+            some = vectors[at : at + TOGETHER]
+            left = np.zeros((len(some), len(self.dense)), np.float32)
+            for q, (term, weight) in enumerate(some):
+                column = self.column[term]
+                left[q, column[column >= 0]] = weight[column >= 0]
+            out += [self._nearest(term, weight, near, k) for near, (term, weight) in zip(left @ self.dense, some)]
+        return out
+
+    def _listed(self, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """What the lists of some terms add to each example, with weights rounded up."""
+        a, z = self.starts[term], self.starts[term + 1]
+        cells = np.concatenate([self.lists[i:j] for i, j in zip(a.tolist(), z.tolist())] or [self.lists[:0]])
+        share = np.repeat(weight.astype(np.float32), z - a)
+        share *= cells & cells.dtype.type(GRAIN - 1)
+        return np.bincount(cells >> cells.dtype.type(16), share, len(self)).astype(np.float32) * np.float32(1 / (GRAIN - 1))
+
+    def _nearest(self, term: np.ndarray, weight: np.ndarray, sums: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """``sums``: what the terms with dense columns add."""
         n = len(self)
         if not n or not len(term):
             return np.zeros(0, np.int64), np.zeros(0)
+        # Sums are too large by the rounding up of weights, and off by some units of single precision.
+        off = weight.sum() / (GRAIN - 1) + (len(term) + 16) * 2.0**-23
+        # The k-th largest of the range maxima is at most the k-th largest of all.
+        floor = lambda: float(np.partition(np.maximum.reduceat(sums, self.ranges), -k)[-k]) - off if len(self.ranges) >= k else 0.0
         column = self.column[term]
-        short = column < 0
-        a, z = self.starts[term[short]], self.starts[term[short] + 1]
-        cells = np.concatenate([self.lists[i:j] for i, j in zip(a.tolist(), z.tolist())] or [self.lists[:0]])
-        share = np.repeat(weight[short].astype(np.float32), z - a)
-        share *= cells & cells.dtype.type(GRAIN - 1)
-        sums = np.bincount(cells >> cells.dtype.type(16), share, n).astype(np.float32) * np.float32(1 / (GRAIN - 1))
-        column, own = column[~short], weight[~short]
-        share = own * self.most[term[~short]]
+        sums += self._listed(term[column == -1], weight[column == -1])
+        ranged = np.flatnonzero(column < -1)
+        share = weight[ranged] * self.most[term[ranged]]
         order = np.argsort(-share, kind="stable")
-        column, own, share = column[order], own[order], share[order]
+        ranged, share = ranged[order], share[order]
         left = np.append(np.cumsum(share[::-1])[::-1], 0.0)  # what the terms from each on can add at most
-        # The k-th largest of the range maxima is at most the k-th largest of all.
-        floor = lambda: float(np.partition(np.maximum.reduceat(sums, self.ranges), -k)[-k]) if len(self.ranges) >= k else 0.0
-        least = floor()
-        take = int(np.argmax(left <= least / 4))
+        take = int(np.argmax(left <= max(0.0, floor() / 8)))
         if take:
-            sums += own[:take].astype(np.float32) @ self.dense[column[:take]]
-            least = floor()
-        # Sums are too large by the rounding up of weights, and off by some units of single precision.
-        least -= weight[short].sum() / (GRAIN - 1) + (len(term) + 8) * 2.0**-23
-        bound = np.maximum.reduceat(sums, self.ranges) + own[take:] @ self.maxima[column[take:]]
-        far = np.flatnonzero(bound >= least) if least > 0 else np.flatnonzero(bound > 0)
+            sums += self._listed(term[ranged[:take]], weight[ranged[:take]])
+        rest, least = ranged[take:], floor()
+        bound = np.maximum.reduceat(sums, self.ranges) + weight[rest].astype(np.float32) @ self.maxima[-2 - column[rest]] + off
+        far = np.flatnonzero(bound >= least) if least > 0 else np.flatnonzero(bound > off)
         rows = (self.ranges[far][:, None] + np.arange(BLOCK)).ravel()
         rows = rows[rows < n]
-        rows = rows[sums[rows] + left[take] >= least]
+        rows = rows[sums[rows] + left[take] + off >= least]
         m = self.cuts[rows + 1] - self.cuts[rows]
         cell = np.repeat(self.cuts[rows + 1] - np.cumsum(m), m) + np.arange(m.sum())
         self.full[term] = weight
-        sims = np.bincount(np.repeat(np.arange(len(rows)), m), self.full[self.term[cell]] * self.weight[cell], len(rows))
+        here = self.term[cell]
+        sims = np.bincount(np.repeat(np.arange(len(rows)), m), self.full[here] * self.idf[here] * (1 + np.log(self.count[cell])), len(rows)) / self.norm[rows]
         self.full[term] = 0
         rows, sims = rows[sims > 0], sims[sims > 0]
         order = np.lexsort((rows, -np.round(sims, 12)))[:k]
@@ -256,7 +282,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN_DOCS) -> tuple
             docs, y = batch.column("doc_id").to_pylist(), batch.column("label").to_pylist()
             vectors = index.vectors(batch.column("text"))
             some = [i for i, v in enumerate(vectors) if len(v[0])]
-            votes = [logit(index.vote(*index.nearest(*vectors[i], K + 1), index.place[docs[i]], y[i])) for i in some]
+            near = index.nearest([vectors[i] for i in some], K + 1)
+            votes = [logit(index.vote(*x, index.place[docs[i]], y[i])) for x, i in zip(near, some)]
             columns = [pa.array([docs[i] for i in some], pa.int64()), pa.array(votes, pa.float64()), pa.array([y[i] for i in some], pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, ["d", "v", "y"])
 
@@ -273,8 +300,7 @@ def score(docs: DataFrame, model: tuple[Broadcast, tuple[float, float]]) -> Data
         known: dict[bytes, tuple[float, str]] = {}
         index = shared.value
 
-        def judged(term: np.ndarray, weight: np.ndarray) -> tuple[float, str]:
-            rows, sims = index.nearest(term, weight)
+        def judged(rows: np.ndarray, sims: np.ndarray) -> tuple[float, str]:
             if not len(rows):
                 return index.base, ""
             s = float(1 / (1 + np.exp(-np.clip(slope * logit(index.vote(rows, sims)) + constant, -40, 40))))
@@ -289,8 +315,8 @@ def score(docs: DataFrame, model: tuple[Broadcast, tuple[float, float]]) -> Data
             if fresh:
                 new = column.take(pa.array(list(fresh.values()), pa.int64()))
                 words = word_count(*raw(translated(new, LOWER_ALNUM))).tolist()
-                for m, n, v in zip(fresh, words, index.vectors(new)):
-                    known[m] = judged(*v) if n else (index.empty, "")
+                for m, n, near in zip(fresh, words, index.nearest(index.vectors(new))):
+                    known[m] = judged(*near) if n else (index.empty, "")
             out = [known[m] for m in marks]
             s = np.array([x[0] for x in out])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32)), pa.array([x[1] for x in out], pa.string())], ["doc_id", "held_out", "score", "predicted", "evidence"])

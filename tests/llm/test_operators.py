@@ -162,7 +162,55 @@ def test_media_features(spark, edges):
         assert (r["n_bytes"], r["payload_bytes"], r["tail_crc32"]) == (len(raw), len(payload), zlib.crc32(payload[-32:]))
         assert r["payload_sha256"] == hashlib.sha256(payload).hexdigest() and r["error"] is None
     bad = spark.createDataFrame([(1, b"nonsense"), (2, None), (3, jpeg.encode(bytes(576))[:-40])], "doc_id long, media binary")
-    assert all(r["error"] for r in jpeg.media_features(bad).collect() if r["doc_id"] != 3)
+    rows = jpeg.media_features(bad).collect()
+    assert len(rows) == 3 and all(r["error"] and r["payload_sha256"] is None for r in rows)
+
+
+def whole(media):
+    """The payload of a stream, or None where reading finds it damaged."""
+    try:
+        frames = jpeg.parse(media)
+        jpeg.decode(frames)
+        return b"".join(f.luma.tobytes() for f in frames) or None
+    except (ValueError, IndexError, KeyError):
+        return None
+
+
+@pytest.mark.parametrize("fill", ["random", "flat"])
+def test_every_truncation_is_an_error(fill):
+    data = np.random.default_rng(3).integers(0, 256, 2 * jpeg.UNIT, dtype=np.uint8) if fill == "random" else np.full(2 * jpeg.UNIT, 255, np.uint8)
+    media = jpeg.encode(data)
+    assert whole(media) == data.tobytes()
+    assert [at for at in range(len(media)) if whole(media[:at]) is not None] == []
+    ends = len(media) - 2
+    for n in (1, 2, 5, 20, 60):  # bytes gone before the end marker
+        assert whole(media[: ends - n] + media[ends:]) is None
+    assert whole(media[10:]) is None and whole(media[:ends]) is None
+
+
+def test_missing_segments_and_pictures_are_errors(monkeypatch):
+    data = np.random.default_rng(4).integers(0, 256, 12 * jpeg.UNIT, dtype=np.uint8)
+    media = jpeg.encode(data)
+    begin = media.index(b"\xff\xda") + 10
+    marks = [begin, *(m.end() for m in re.finditer(rb"\xff[\xd0-\xd7]", media)), len(media)]
+    for n in (1, 2, 8, 16):  # restart segments taken out, whole rounds of markers too
+        assert whole(media[: marks[2]] + media[marks[2 + n] :]) is None
+    swapped = media[: marks[1]] + media[marks[2] : marks[3]] + media[marks[1] : marks[2]] + media[marks[3] :]
+    assert whole(swapped) is None
+    assert whole(media[: marks[2]] + media[marks[1] : marks[2]] + media[marks[2] :]) is None
+    monkeypatch.setattr(jpeg, "FRAME", 4 * jpeg.UNIT)
+    run = jpeg.encode(data)
+    starts = [m.start() for m in re.finditer(rb"\xff\xd8", run)]
+    assert len(starts) == 3 and whole(run) == data.tobytes()
+    assert [at for at in range(0, len(run), 7) if whole(run[:at]) is not None] == []
+    assert all(whole(run[:at]) is None for at in starts) and whole(run[: starts[1]] + run[starts[2] :]) is None
+
+
+def test_damaged_rows_do_not_disturb_others(spark):
+    good = [(i, jpeg.encode(bytes([i]) * 576)) for i in range(5)]
+    bad = [(10 + i, m[: len(m) - 1 - 7 * i]) for i, m in good]
+    rows = {r["doc_id"]: r for r in jpeg.media_features(spark.createDataFrame(good + bad, "doc_id long, media binary").repartition(1)).collect()}
+    assert all(rows[i]["payload_sha256"] == hashlib.sha256(bytes([i]) * 576).hexdigest() for i in range(5)) and all(rows[10 + i]["error"] for i in range(5))
 
 
 # 2: personal data
@@ -283,9 +331,11 @@ def test_scores_follow_the_formulas(spark, small, monkeypatch, shards):
 
 
 def test_preference_pairs(spark):
-    turns = [(0, 0, "user", "Hi"), (0, 1, "assistant", "Yes"), (1, 0, "user", "Hi"), (1, 1, "assistant", "No"), (1, 2, "user", "Why"), (2, 0, "user", "alone"), (4, 0, None, None), (5, 0, None, None), (None, 0, "user", "x"), (6, 0, "a", "b"), (6, 0, "a", "b"), (7, 0, "a", "b")]
-    rows = {r["pair_id"]: r for r in preferences.preferences(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).collect()}
-    assert set(rows) == {0, 2, 3}
+    hi, yes, no, why, blank = ("user", "Hi"), ("assistant", "Yes"), ("assistant", "No"), ("user", "Why"), (None, None)
+    pairs = [(0, [hi, yes], [hi, no, why], "x"), (2, [blank], [blank], "x"), (3, [("a", "b")] * 2, [("a", "b")], "x"), (4, None, [hi], "x"), (5, [], None, None)]
+    kind = "array<struct<role: string, text: string>>"
+    rows = {r["pair_id"]: r for r in preferences.format_pairs(spark.createDataFrame(pairs, f"pair_id long, chosen {kind}, rejected {kind}, n_common string")).collect()}
+    assert set(rows) == {0, 2, 3, 4, 5}
     r = rows[0]
     assert (r["n_common"], r["n_chosen"], r["n_rejected"], r["prompt"]) == (1, 1, 2, "<|user|>\nHi<|end|>\n")
     for text, mask, said in ((r["chosen"], r["chosen_mask"], "Yes<|end|>"), (r["rejected"], r["rejected_mask"], "No<|end|>")):
@@ -293,6 +343,53 @@ def test_preference_pairs(spark):
         assert text[a:b] == said
     assert rows[2]["n_common"] == 1 and rows[2]["chosen"] == rows[2]["rejected"] == ""
     assert rows[3]["n_common"] == 1 and rows[3]["n_chosen"] == 1
+    assert rows[4]["n_common"] == 0 and rows[4]["n_rejected"] == 1 and (rows[5]["n_chosen"], rows[5]["n_rejected"]) == (0, 0)
+
+
+def slow_preferences(turns):
+    """The query in plain Python: replies lent between 2i and 2i + 1, prefixes compared turn by turn."""
+    first = lambda v: (v is not None, v if v is not None else "")
+    talk = {}
+    for c, t, role, text in sorted((x for x in turns if x[0] is not None), key=lambda x: (x[0], first(x[1]) if x[1] is None else (True, x[1]), first(x[2]), first(x[3]))):
+        talk.setdefault(c, []).append((role, text))
+    last = {c: max((i + 1 for i, t in enumerate(ts) if t[0] == "assistant"), default=0) for c, ts in talk.items()}
+    show = lambda ts: "".join(f"<|{r or ''}|>\n{t or ''}<|end|>\n" for r, t in ts)
+
+    def spans(ts):
+        out, at = [], 0
+        for r, t in ts:
+            a = at + len(f"<|{r or ''}|>\n")
+            at = a + len(t or "") + len("<|end|>")
+            out += [f"{a}:{at}"] * (r == "assistant")
+            at += 1
+        return ",".join(out)
+
+    rows = {}
+    for c, ts in talk.items():
+        n, o = last[c], c ^ 1
+        chosen = ts[:n] if n else ts
+        rejected = (ts[: n - 1] + ([talk[o][last[o] - 1]] if last.get(o) else [])) if n else ts
+        k = 0
+        while k < min(len(chosen), len(rejected)) and chosen[k] == rejected[k]:
+            k += 1
+        x, y = chosen[k:], rejected[k:]
+        rows[c] = (c, k, len(x), len(y), show(chosen[:k]), show(x), show(y), spans(x), spans(y))
+    return rows
+
+
+def test_lent_replies(spark, small):
+    long = "word é🙂 " * 40_000
+    turns = [
+        (0, 0, "user", "Hi"), (0, 1, "assistant", "Yes"), (1, 0, "user", "Hey"), (1, 1, "assistant", "No"), (1, 2, "user", "Why"), (2, 0, "user", "alone"), (2, 1, "assistant", "same"),
+        (4, 0, None, None), (5, 0, None, ""), (5, None, "assistant", None), (None, 0, "assistant", "x"), (6, 0, "a", "b"), (6, 0, "a", "b"), (7, 0, "assistant", "b"), (7, 0, "assistant", "b"),
+        (8, 0, "user", long), (8, 1, "assistant", long), (9, 0, "system", ""), (9, 1, "assistant", ""), (-2, 0, "user", "below"), (-2, 1, "assistant", "zero"), (-1, 3, "assistant", "zero"),
+    ]
+    frame = spark.createDataFrame([(*t, 7, "x", "y", None) for t in turns], "conv_id long, turn long, role string, text string, pair_id long, chosen string, two string, n long").repartition(3)
+    assert {r["pair_id"]: tuple(r) for r in preferences.preferences(frame).collect()} == slow_preferences(turns)
+    table = [(r["conv_id"], r["turn"], r["role"], r["text"]) for r in read(spark, small, "conversations").collect()]
+    rows = {r["pair_id"]: tuple(r) for r in queries.op4_preferences(spark, small).collect()}
+    assert rows == slow_preferences(table)
+    assert np.mean([r[1] > 0 and len(r[4]) > 0 for r in rows.values()]) > 0.9 and np.mean([r[2] == 1 and r[3] == 1 for r in rows.values()]) > 0.8
 
 
 def test_preferences_run_no_python(spark, small):
@@ -421,18 +518,18 @@ def test_toxicity_by_brute_force(spark):
         assert abs(got[i]["score"] - score) < 1e-4, i
 
 
-@pytest.mark.parametrize("frequent", [1, 4, 1000])
-def test_neighbours_are_exact_however_the_index_is_cut(spark, sf, frequent):
+@pytest.mark.parametrize("dense, frequent", [(1, 100), (3, 8), (1000, 1), (2, 1000)])
+def test_neighbours_are_exact_however_the_index_is_cut(spark, sf, dense, frequent):
     texts = sorted({r["text"] for r in read(spark, sf, "documents").collect() if r["text"]}, key=len)[:190]
     train, asked = texts[::2], texts[1::2] + [texts[0] + " unknownword", "wholly unseen"]
     parts = [(np.array([i]), np.array([i % 2]), np.array([len(w[3])]), w[0], w[2], w[3]) for i, w in enumerate(toxicity._words(pa.array([t], pa.string())) for t in train)]
     index = toxicity.Index(parts)
-    before = toxicity.FREQUENT, toxicity.BLOCK
-    toxicity.FREQUENT, toxicity.BLOCK = frequent, 8
+    before = toxicity.DENSE, toxicity.FREQUENT, toxicity.BLOCK
+    toxicity.DENSE, toxicity.FREQUENT, toxicity.BLOCK = dense, frequent, 4
     try:
-        found = [index.nearest(*v) for v in index.vectors(pa.array(asked, pa.string()))]
+        found = index.nearest(index.vectors(pa.array(asked, pa.string())))
     finally:
-        toxicity.FREQUENT, toxicity.BLOCK = before
+        toxicity.DENSE, toxicity.FREQUENT, toxicity.BLOCK = before
     slow = SlowToxicity([(i, t, i % 2) for i, t in enumerate(train)])
     for text, (rows, sims) in zip(asked, found):
         near = slow.cosines(text, toxicity.K)
