@@ -23,7 +23,6 @@ import pyarrow as pa
 import regex
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .textops import bounded_batches, id_text, slices
 

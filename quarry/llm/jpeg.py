@@ -26,7 +26,6 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .textops import bounded_batches, id_text, raw, slices
 
@@ -38,7 +37,7 @@ LANES = 1 << 15
 
 # Fixed values of the format: the order of coefficients in a block is irrelevant
 # here, but not these marker codes.
-SOI, EOI, SOF0, DHT, DQT, DRI, SOS = 0xD8, 0xD9, 0xC0, 0xC4, 0xDB, 0xDD, 0xDA
+SOI, EOI, SOF0, DHT, DQT, DRI, SOS, COM = 0xD8, 0xD9, 0xC0, 0xC4, 0xDB, 0xDD, 0xDA, 0xFE
 
 
 @cache
@@ -57,12 +56,12 @@ def _segment(marker: int, body: bytes) -> bytes:
     return bytes((0xFF, marker)) + (len(body) + 2).to_bytes(2, "big") + body
 
 
-def _header(rows: int, across: int) -> bytes:
+def _header(rows: int, across: int, comment: bytes) -> bytes:
     quant = bytes([0, 8] + [1] * 63)
     frame = bytes([8]) + (rows * 8).to_bytes(2, "big") + (across * 8).to_bytes(2, "big") + bytes([1, 1, 0x11, 0])
     dc = bytes([0x00] + [1] * 9 + [0] * 7 + list(range(8, -1, -1)))
     ac = bytes([0x10, 1] + [0] * 15 + [0])
-    return bytes((0xFF, SOI)) + _segment(DQT, quant) + _segment(SOF0, frame) + _segment(DHT, dc) + _segment(DHT, ac) + _segment(DRI, across.to_bytes(2, "big")) + _segment(SOS, bytes([1, 1, 0x00, 0, 63, 0]))
+    return bytes((0xFF, SOI)) + (_segment(COM, comment) if comment else b"") + _segment(DQT, quant) + _segment(SOF0, frame) + _segment(DHT, dc) + _segment(DHT, ac) + _segment(DRI, across.to_bytes(2, "big")) + _segment(SOS, bytes([1, 1, 0x00, 0, 63, 0]))
 
 
 def encode(payload: bytes | np.ndarray) -> bytes:
@@ -70,10 +69,11 @@ def encode(payload: bytes | np.ndarray) -> bytes:
     data = np.frombuffer(payload, np.uint8) if isinstance(payload, bytes) else payload
     if not len(data) or len(data) % UNIT:
         raise ValueError(f"a payload is a positive multiple of {UNIT} bytes, not {len(data)}")
-    return b"".join(_picture(data[at : at + FRAME]) for at in range(0, len(data), FRAME))
+    n = -(-len(data) // FRAME)
+    return b"".join(_picture(data[i * FRAME : (i + 1) * FRAME], b"part %d of %d" % (i + 1, n) if n > 1 else b"") for i in range(n))
 
 
-def _picture(data: np.ndarray) -> bytes:
+def _picture(data: np.ndarray, comment: bytes) -> bytes:
     across = ACROSS * next(m for m in (1, 2, 3, 4, 6, 8, 12, 24) if len(data) // (ACROSS * m) <= MOST_ROWS)
     q = data.reshape(-1, across).astype(np.int16) - 128
     diff = q.copy()
@@ -89,7 +89,7 @@ def _picture(data: np.ndarray) -> bytes:
     stuffed[:, -2] = False
     flat = scan.ravel()[:-2]  # no restart marker after the last row
     at = np.flatnonzero(stuffed.ravel()[:-2]) + 1
-    return _header(len(q), across) + (np.insert(flat, at, 0) if len(at) else flat).tobytes() + bytes((0xFF, EOI))
+    return _header(len(q), across, comment) + (np.insert(flat, at, 0) if len(at) else flat).tobytes() + bytes((0xFF, EOI))
 
 
 @dataclass
@@ -124,12 +124,25 @@ class Frame:
 
 
 _SCAN_END = re.compile(rb"\xff[^\x00\xd0-\xd7\xff]", re.S)
-_RESTART = re.compile(rb"\xff[\xd0-\xd7]", re.S)
+_RESTART = re.compile(rb"\xff+([\xd0-\xd7])", re.S)
+_PART = re.compile(rb"part ([0-9]+) of ([0-9]+)")
+
+
+def _segments(scan: bytes) -> list[bytes]:
+    """The restart segments of a scan, unstuffed, without fill bytes; ValueError if their markers are out of turn."""
+    parts = _RESTART.split(scan)
+    if any(m[0] != 0xD0 + i % 8 for i, m in enumerate(parts[1::2])):
+        raise ValueError("a restart marker is missing or out of turn")
+    return [s.rstrip(b"\xff").replace(b"\xff\x00", b"\xff") for s in parts[::2]]
 
 
 def parse(media: bytes) -> list[Frame]:
-    """The pictures of a stream of baseline JPEGs.  ValueError says what is wrong."""
-    frames, at, frame, quant, huffman, interval = [], 0, None, {}, {}, 0
+    """The pictures of a stream of baseline JPEGs.  ValueError says what is wrong.
+
+    A stream that ends inside a picture is wrong, and so is one with fewer or more
+    pictures than their comments say.
+    """
+    frames, at, frame, quant, huffman, interval, begun, run = [], 0, None, {}, {}, 0, False, []
     while at < len(media):
         if media[at] != 0xFF or at + 1 >= len(media):
             raise ValueError(f"no marker at byte {at}")
@@ -138,13 +151,16 @@ def parse(media: bytes) -> list[Frame]:
         if marker == 0xFF:
             at -= 1
             continue
+        if (marker == SOI) == begun:
+            raise ValueError("a picture begins inside another" if begun else "a marker outside of a picture")
         if marker == SOI:
-            frame, quant, huffman, interval = None, {}, {}, 0
+            frame, quant, huffman, interval, begun = None, {}, {}, 0, True
             continue
         if marker == EOI:
             if frame is None or not frame.segments:
                 raise ValueError("a picture ends before its scan")
             frames.append(frame)
+            begun = False
             continue
         size = int.from_bytes(media[at : at + 2], "big")
         body = media[at + 2 : at + size]
@@ -154,13 +170,19 @@ def parse(media: bytes) -> list[Frame]:
         if marker == DQT:
             while body:
                 wide = body[0] >> 4
+                if len(body) < 1 + 64 * (1 + wide):
+                    raise ValueError("a quantiser is cut short")
                 quant[body[0] & 15] = int.from_bytes(body[1 : 2 + wide], "big")
                 body = body[1 + 64 * (1 + wide) :]
         elif marker == DHT:
             while body:
                 n = sum(body[1:17])
+                if len(body) < 17 + n:
+                    raise ValueError("a code table is cut short")
                 huffman[body[0]] = body[1 : 17 + n]
                 body = body[17 + n :]
+        elif marker == COM and (m := _PART.fullmatch(body)):
+            run.append((int(m[1]), int(m[2])))
         elif marker == DRI:
             interval = int.from_bytes(body[:2], "big")
         elif marker == SOF0:
@@ -179,8 +201,12 @@ def parse(media: bytes) -> list[Frame]:
             scan = [(ids.index(body[i]), body[i + 1] >> 4, 0x10 | body[i + 1] & 15) for i in range(1, 1 + 2 * body[0], 2)]
             if not frame.segments or any(c == 0 for c, _, _ in scan) and all(c != 0 for c, _, _ in frame.scan):
                 frame.scan, frame.interval, frame.huffman = scan, interval, dict(huffman)
-                frame.segments = [s.replace(b"\xff\x00", b"\xff") for s in _RESTART.split(media[at:stop])]
+                frame.segments = _segments(media[at:stop])
             at = stop
+    if begun:
+        raise ValueError("the stream ends inside a picture")
+    if run and run != [(i + 1, len(frames)) for i in range(len(frames))]:
+        raise ValueError("a picture of the run is missing")
     return frames
 
 
@@ -200,8 +226,11 @@ _FULL = np.array([(1 << s) - 1 for s in range(17)], np.int32)
 _HALF = np.array([0] + [1 << (s - 1) for s in range(1, 17)], np.int32)
 
 
-def _lockstep(data: np.ndarray, start: np.ndarray, blocks: np.ndarray, plan: tuple) -> np.ndarray:
-    """DC values of every block of every segment, one row a segment."""
+def _lockstep(data: np.ndarray, start: np.ndarray, size: np.ndarray, blocks: np.ndarray, plan: tuple) -> np.ndarray:
+    """DC values of every block of every segment, one row a segment.
+
+    A segment whose blocks do not end in its last byte is damaged: ValueError.
+    """
     seq, tables = plan
     tables = dict(tables)
     names = sorted(tables)
@@ -214,7 +243,7 @@ def _lockstep(data: np.ndarray, start: np.ndarray, blocks: np.ndarray, plan: tup
     last = len(window) - 1
     n = len(start)
     out = np.zeros((n, int(blocks.max(initial=0))), np.int32)
-    pos, k, done = start * 8, np.zeros(n, np.int64), np.zeros(n, np.int64)
+    pos, k, done, stop = start * 8, np.zeros(n, np.int64), np.zeros(n, np.int64), (start + size) * 8
     pred = np.zeros((n, int(comp_of.max()) + 1), np.int32)
     lane = np.arange(n)
     single = len(seq) == 1
@@ -253,6 +282,9 @@ def _lockstep(data: np.ndarray, start: np.ndarray, blocks: np.ndarray, plan: tup
         k[over] = 0
         going = done < blocks[lane]
         if not going.all():
+            spare = stop[lane[~going]] - pos[~going]
+            if ((spare < 0) | (spare > 7)).any():
+                raise ValueError("a restart segment does not end with its blocks")
             pos, k, done, lane = pos[going], k[going], done[going], lane[going]
     return out
 
@@ -267,6 +299,8 @@ def decode(frames: list[Frame]) -> None:
         for f in group:
             down, over = f.mcus()
             step = f.interval or down * over
+            if len(f.segments) != -(-down * over // step):
+                raise ValueError("a picture has too few or too many restart segments")
             left = down * over - step * np.arange(len(f.segments))
             segments += f.segments
             blocks.append(np.clip(left, 0, step) * len(seq))
@@ -277,7 +311,7 @@ def decode(frames: list[Frame]) -> None:
         for at in range(0, len(start), LANES):
             to = min(len(start), at + LANES)
             end = start[to - 1] + size[to - 1]
-            got = _lockstep(data[start[at] : end + 8], start[at:to] - start[at], blocks[at:to], plan)
+            got = _lockstep(data[start[at] : end + 8], start[at:to] - start[at], size[at:to], blocks[at:to], plan)
             rows.append((at, to, got))
         luma = np.array([c == 0 for c, _, _ in seq])
         at = 0
