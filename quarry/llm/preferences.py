@@ -67,32 +67,51 @@ def format_pairs(pairs: DataFrame) -> DataFrame:
     )
 
 
-def neighbouring_pairs(conversations: DataFrame) -> DataFrame:
-    """Pair conversation 2i (chosen) with conversation 2i + 1 (rejected): one shuffle.
-
-    The table names no preferences, so ids pair conversations; a conversation
-    whose partner is missing, and rows without a conv_id, have no pair.  Turns go
-    by number, then role, then text, nulls first, so ties have one order and
-    repeated rows are repeated turns.
+def last_reply(turns: Column) -> Column:
+    """How many turns there are up to the assistant's last, that one included; 0 if it says nothing."""
+    return F.coalesce(F.array_max(F.transform(turns, lambda t, i: F.when(F.coalesce(t["role"], F.lit("")) == ASSISTANT, i + 1))), F.lit(0))
+
+
+def swapped_replies(conversations: DataFrame) -> DataFrame:
+    """(pair_id, chosen, rejected): one pair for each conversation, in one shuffle.
+
+    The table names no preferences, so another reply is taken from a neighbour: of
+    conversations 2i and 2i + 1 each lends the other its last assistant turn.
+    Chosen is a conversation up to its last assistant turn; rejected is the same
+    with the lent turn in that place, or without any where the neighbour is missing
+    or has none.  A conversation without an assistant's turn is both, whole.
+    ``pair_id`` is the conversation's id; rows without a conv_id belong to no
+    conversation.  Turns go by number, then role, then text, nulls first, so ties
+    have one order and repeated rows are repeated turns.  A conversation is one row
+    of the result, so it has to fit into one.
     """
     turn = F.struct("turn", "role", "text")
     side = lambda s: F.sort_array(F.collect_list(F.when(F.expr("conv_id & 1") == s, turn)))
-    both = conversations.filter(F.col("conv_id").isNotNull()).groupBy(F.shiftright("conv_id", 1).alias("pair_id")).agg(side(0).alias("chosen"), side(1).alias("rejected"))
-    return both.filter((F.size("chosen") > 0) & (F.size("rejected") > 0))
+    rows = conversations.select("conv_id", "turn", "role", "text").filter(F.col("conv_id").isNotNull())
+    both = rows.groupBy(F.shiftright("conv_id", 1).alias("two")).agg(side(0).alias("a"), side(1).alias("b"))
+    lent = lambda c: F.get(c, F.when(last_reply(F.col(c)) > 0, last_reply(F.col(c)) - 1))
+    one = lambda own, other, s: F.struct((F.shiftleft("two", 1) + s).alias("pair_id"), F.col(own).alias("own"), lent(other).alias("lent"))
+    each = both.select(F.explode(F.array(one("a", "b", 0), one("b", "a", 1))).alias("x")).select("x.*").filter(F.size("own") > 0).withColumn("n", last_reply(F.col("own")))
+    upto = lambda n: F.when(F.col("n") == 0, F.col("own")).otherwise(F.slice("own", F.lit(1), n))
+    reply = F.when((F.col("n") > 0) & F.col("lent").isNotNull(), F.array("lent")).otherwise(F.slice("own", F.lit(1), F.lit(0)))
+    return each.select("pair_id", upto(F.col("n")).alias("chosen"), F.concat(upto(F.greatest(F.col("n") - 1, F.lit(0))), reply).alias("rejected"))
 
 
 def preferences(conversations: DataFrame) -> DataFrame:
     """pair_id, n_common, n_chosen, n_rejected (turns), prompt, chosen, rejected and two masks."""
-    return format_pairs(neighbouring_pairs(conversations))
+    return format_pairs(swapped_replies(conversations))
 
 
 ORACLE = """
 WITH t AS (
-  SELECT conv_id >> 1 AS pair_id, conv_id & 1 AS side, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS i, role, text
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS i, role, text
   FROM conversations WHERE conv_id IS NOT NULL),
-both_sides AS (SELECT pair_id FROM t GROUP BY pair_id HAVING count(DISTINCT side) = 2),
-r AS (
-  SELECT t.*, '<|' || coalesce(role, '') || '|>' || chr(10) AS head, coalesce(text, '') || '<|end|>' AS body FROM t JOIN both_sides USING (pair_id)),
+conv AS (SELECT conv_id, coalesce(max(i) FILTER (WHERE role = 'assistant'), 0) AS last FROM t GROUP BY 1),
+sides AS (
+  SELECT conv_id AS pair_id, 0 AS side, i, role, text FROM t JOIN conv USING (conv_id) WHERE last = 0 OR i <= last
+  UNION ALL SELECT conv_id, 1, i, role, text FROM t JOIN conv USING (conv_id) WHERE last = 0 OR i < last
+  UNION ALL SELECT c.conv_id, 1, c.last, t.role, t.text FROM conv c JOIN conv o ON o.conv_id = xor(c.conv_id, 1) JOIN t ON t.conv_id = o.conv_id AND t.i = o.last WHERE c.last > 0),
+r AS (SELECT *, '<|' || coalesce(role, '') || '|>' || chr(10) AS head, coalesce(text, '') || '<|end|>' AS body FROM sides),
 differ AS (
   SELECT coalesce(a.pair_id, b.pair_id) AS pair_id, min(coalesce(a.i, b.i)) AS i
   FROM (SELECT * FROM r WHERE side = 0) a FULL JOIN (SELECT * FROM r WHERE side = 1) b ON a.pair_id = b.pair_id AND a.i = b.i
