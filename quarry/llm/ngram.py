@@ -22,7 +22,7 @@ counted words and tokens, so a shard's size does not grow with the corpus.
 The model is Dirichlet-smoothed, P(w | v) = (c(v, w) + MU P1(w)) / (c(v) + MU) with
 P1 the add-half unigram of the base score; pairs that training lacks use the same
 formula with c(v, w) = 0, exactly.  A text begins after a start context and ends
-with one end token.  Word numbers must stay below 2**32.
+with one end token.  Word numbers that would reach 2**32 are an error.
 """
 
 from __future__ import annotations
@@ -44,6 +44,7 @@ from .textops import LOWER_SPACE, bounded_batches, fold, id_text, pack, slices,
 MU = 100.0
 BLOCK_TEXT = 8 << 20
 WORDS_A_SHARD, PAIRS_A_SHARD = 1_500_000, 3_000_000
+MOST_PARTITIONS = 50_000  # of an exchange; beyond it a task gets several blocks or shards, one after the other
 END, START, FIRST = 0, 1, 2  # numbers of the end token, the start context and the first word
 
 
@@ -85,20 +86,22 @@ def _shard_of_words(names: bytes, shards: int) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(w) % shards for w in names.split(b" ")] if names else [], np.int64)
 
 
+def _by_shard(shard: np.ndarray) -> tuple[np.ndarray, dict[int, slice]]:
+    """An order by shard, and where in it each shard that occurs stands; no step for shards that do not."""
+    order = np.argsort(shard, kind="stable")
+    present, first = np.unique(shard[order], return_index=True)
+    ends = np.append(first[1:], len(order))
+    return order, {s: slice(a, z) for s, a, z in zip(present.tolist(), first.tolist(), ends.tolist())}
+
+
 def _send_words(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, names, counts in zip(*(batch.column(c).to_pylist() for c in ("block", "names", "counts"))):
                 names = unpack(names)[0]
                 shard, words, count = _shard_of_words(names, shards), names.split(b" "), unpack(counts)[0]
-                order = np.argsort(shard, kind="stable")
-                cuts = np.searchsorted(shard[order], np.arange(shards + 1))
-                rows = []
-                for s in range(shards):
-                    mine = order[cuts[s] : cuts[s + 1]]
-                    if len(mine):
-                        rows.append((s, block, pack(b" ".join([words[i] for i in mine.tolist()]), count[mine])))
-                yield _part_rows(rows)
+                order, cuts = _by_shard(shard)
+                yield _part_rows([(s, block, pack(b" ".join([words[i] for i in order[cut].tolist()]), count[order[cut]])) for s, cut in cuts.items()])
 
     return run
 
@@ -120,9 +123,10 @@ def _answer_words(shards: int):
         out = []
         for i, block in enumerate(blocks):
             mine = local[ends[i] : ends[i + 1]]
-            out.append((block, shard, pack((FIRST + rank[mine] * shards + shard).astype(np.uint32), total[mine]), int((total > 0).sum()) if i == 0 else 0, int(total.sum()) if i == 0 else 0))
-        types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), types)], ["block", "shard", "part", "types", "tokens"])
+            number = (FIRST + rank[mine] * shards + shard).astype(np.int64)
+            out.append((block, shard, pack(number, total[mine]), int((total > 0).sum()) if i == 0 else 0, int(total.sum()) if i == 0 else 0, int(number.max(initial=0))))
+        types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), types)], ["block", "shard", "part", "types", "tokens", "top"])
 
     return run
 
@@ -139,9 +143,9 @@ class _Block:
         self.ids, self.lost, self.held, self.n, local = unpack(by_kind[0][0])
         shard = _shard_of_words(names, shards)
         number, count = np.zeros(len(shard), np.int64), np.zeros(len(shard), np.int64)
+        order, cuts = _by_shard(shard)
         for s, part in by_kind[1].items():
-            mine = np.flatnonzero(shard == s)
-            number[mine], count[mine] = unpack(part)
+            number[order[cuts[s]]], count[order[cuts[s]]] = unpack(part)
         self.codes = by_kind[2]
         # Tokens of all texts end to end, each text followed by its end token.
         self.size = self.n + 1
@@ -158,15 +162,15 @@ class _Block:
         self.context[begins], self.before[begins] = START, n_train
         self.key = self.context << 32 | self.token
 
-    def pairs(self, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct keys by shard and key, a place of each, each token's index, and where shards begin."""
+    def pairs(self, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict[int, slice]]:
+        """Distinct keys by shard and key, a place of each, each token's index, and where shards stand."""
         keys, place, inverse = np.unique(self.key, return_index=True, return_inverse=True)
         mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         shard = ((mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(33)).astype(np.int64) % shards
-        order = np.argsort(shard, kind="stable")
+        order, cuts = _by_shard(shard)
         back = np.empty(len(order), np.int64)
         back[order] = np.arange(len(order))
-        return keys[order], place[order], back[inverse], np.searchsorted(shard[order], np.arange(shards + 1))
+        return keys[order], place[order], back[inverse], cuts
 
 
 def _send_pairs(shards: int, pair_shards: int, n_train: int):
@@ -176,16 +180,14 @@ def _send_pairs(shards: int, pair_shards: int, n_train: int):
         keys, place, index, cuts = b.pairs(pair_shards)
         seen = np.bincount(index, np.repeat(~b.held, b.size), len(keys)).astype(np.int64)
         out = []
-        for s in range(pair_shards):
-            mine = slice(cuts[s], cuts[s + 1])
-            if cuts[s] < cuts[s + 1]:
-                context, where = keys[mine] >> 32, place[mine]
-                step = np.diff(context, prepend=0).astype(np.uint32)  # above 0 where a context begins
-                word = keys[mine] & 0xFFFFFFFF
-                _, first = np.unique(word, return_index=True)
-                # Counts go once a context and once a word; sorted by number, words' counts hardly vary.
-                ahead, behind = b.before[where][step > 0], b.count[where][first]
-                out.append((s, block, pack(step, word.astype(np.uint32), ahead, behind, seen[mine].astype(np.uint32))))
+        for s, mine in cuts.items():
+            context, where = keys[mine] >> 32, place[mine]
+            step = np.diff(context, prepend=0).astype(np.uint32)  # above 0 where a context begins
+            word = keys[mine] & 0xFFFFFFFF
+            _, first = np.unique(word, return_index=True)
+            # Counts go once a context and once a word; sorted by number, words' counts hardly vary.
+            ahead, behind = b.before[where][step > 0], b.count[where][first]
+            out.append((s, block, pack(step, word.astype(np.uint32), ahead, behind, seen[mine].astype(np.uint32))))
         return pa.Table.from_batches([_part_rows(out)])
 
     return run
@@ -225,11 +227,11 @@ def _answer_pairs(total: int, types: int):
 def _score_block(shards: int, pair_shards: int, n_train: int, total: int, types: int):
     def run(rows: pa.Table) -> pa.Table:
         b = _Block(rows, shards, n_train)
-        _, _, index, cuts = b.pairs(pair_shards)
-        value = np.full(cuts[-1], np.nan)
+        keys, _, index, cuts = b.pairs(pair_shards)
+        value = np.full(len(keys), np.nan)
         for s, part in b.codes.items():
             code, book = unpack(part)
-            value[cuts[s] : cuts[s + 1]] = np.where(code > 0, book[code].astype(np.float64), np.nan)
+            value[cuts[s]] = np.where(code > 0, book[code].astype(np.float64), np.nan)
         lp = value[index]
         none = np.isnan(lp)
         lp[none] = log_unseen(b.before[none], b.count[none], total, types)
@@ -257,16 +259,21 @@ def score(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     bounded_batches(spark)
     blocks = cut(id_text(docs, (fold(F.col("doc_id"), 5) == 1).alias("held_out")).mapInArrow(_blocks, _BLOCKS))
-    names, tokens, n_train = blocks.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("n_names", "n_tokens", "n_train"))).first()
+    names, tokens, n_train, n_blocks = blocks.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("n_names", "n_tokens", "n_train")), F.count("*")).first()
     shards, pair_shards = max(1, -(-names // WORDS_A_SHARD)), max(1, -(-tokens // PAIRS_A_SHARD))
+    # A task gets one block, or one shard, or as few as a hash into so many partitions gives it.
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = lambda df, key, n: df.repartition(max(least, min(n, MOST_PARTITIONS)), key).groupBy(key)
     sent = blocks.select("block", "names", "counts").mapInArrow(_send_words(shards), _PART)
-    answers = cut(sent.groupBy("shard").applyInArrow(_answer_words(shards), "block long, shard long, part binary, types long, tokens long"))
-    types, total = answers.agg(F.coalesce(F.sum("types"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
+    answers = cut(spread(sent, "shard", shards).applyInArrow(_answer_words(shards), "block long, shard long, part binary, types long, tokens long, top long"))
+    types, total, top = answers.agg(*(F.coalesce(f, F.lit(0)) for f in (F.sum("types"), F.sum("tokens"), F.max("top")))).first()
+    if top >= 1 << 32:
+        raise ValueError(f"word numbers reach {top}, and pairs of them are kept in 64 bits: fewer than 2**32 distinct words, please")
     types, total = types + (n_train > 0), total + n_train
     none = F.lit(None).cast("binary")
     own = blocks.select("block", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("shard"), F.col("body").alias("part"), "names")
     known = own.unionByName(answers.select("block", F.lit(1).alias("kind"), "shard", "part", none.alias("names")))
-    pairs = known.groupBy("block").applyInArrow(_send_pairs(shards, pair_shards, n_train), _PART)
-    codes = pairs.groupBy("shard").applyInArrow(_answer_pairs(total, types), "block long, shard long, part binary")
+    pairs = spread(known, "block", n_blocks).applyInArrow(_send_pairs(shards, pair_shards, n_train), _PART)
+    codes = spread(pairs, "shard", pair_shards).applyInArrow(_answer_pairs(total, types), "block long, shard long, part binary")
     whole = known.unionByName(codes.select("block", F.lit(2).alias("kind"), "shard", "part", none.alias("names")))
-    return whole.groupBy("block").applyInArrow(_score_block(shards, pair_shards, n_train, total, types), _SCORES)
+    return spread(whole, "block", n_blocks).applyInArrow(_score_block(shards, pair_shards, n_train, total, types), _SCORES)
