@@ -1,17 +1,18 @@
 """Quality classifier: random-indexing word vectors, mean-pooled, and a small network.
 
-A term is a word (hashed to one of ``WORDS`` numbers) or the shape of a word
-(letters, capitals, digits and runs of one sign each folded to one character,
-hashed to one of ``SHAPES``).  Every term has a sparse ternary index vector that
-follows from its number; its word vector is the sum of the index vectors of the
-terms within two words of its occurrences in the sample, made unit length.  A
+A term is a word or the shape of a word (letters, capitals, digits and runs of one
+sign each folded to one character).  Every term has a sparse ternary index vector
+that follows from its 64-bit hash, so no table of them is needed.  The vector of a
+term is the sum of the index vectors of the words, and their shapes, within two
+words of its occurrences in the sample, made unit length.  Terms of a single text
+of the sample have none: a text that is scored could not know them either.  A
 document is the mean of its words' vectors, the mean of its shapes' vectors and
-three figures about its length and variety.  A network of one hidden and one
-output layer reads that, and a temperature fitted on a fifth of the sample held
-back from training turns its logit into a probability.
+four figures about its length, its variety and its unknown words.  A network of one
+hidden and one output layer reads that, and a temperature fitted on a fifth of the
+sample held back from training turns its logit into a probability.
 
-The sample is bounded by ``MAX_TRAIN_DOCS`` labelled rows; everything that is
-scored is scored whole.
+The sample is bounded by ``MAX_TRAIN_DOCS`` labelled rows, and it bounds the table
+of vectors; everything that is scored is scored whole.
 """
 
 from __future__ import annotations
@@ -26,13 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .sample import labelled_sample
-from .textops import bounded_batches, fold, id_text, raw, slices, split, strings
+from .textops import bounded_batches, fold, id_text, pack, raw, slices, split, strings, unpack
 
 MAX_TRAIN_DOCS = 6000
 THRESHOLD = 0.3
-WORDS, SHAPES, DIM, HIDDEN, REACH, NONZERO = 4096, 256, 48, 32, 2, 6
-TERMS = WORDS + SHAPES
-POOL_DOCS = 256
+DIM, HIDDEN, REACH, NONZERO = 48, 32, 2, 6
+LEAST_DOCS = 2
+FEATURES = 2 * DIM + 4
+POOL_WORDS = 1 << 16
+WORD_SEED, SHAPE_SEED = 0, 1
 
 _SHAPE = np.arange(256, dtype=np.uint8)
 _SHAPE[65:91], _SHAPE[97:123], _SHAPE[128:], _SHAPE[48:58] = ord("X"), ord("x"), ord("x"), ord("9")
@@ -41,23 +44,34 @@ _BLANK = np.arange(256, dtype=np.uint8)
 _BLANK[[9, 10, 11, 12, 13]] = 32
 
 
-def index_vectors(seed: int = 7) -> np.ndarray:
-    """The sparse ternary vector of every term."""
-    rng = np.random.default_rng(seed)
-    out = np.zeros((TERMS, DIM), np.float32)
-    for row in out:
-        row[rng.choice(DIM, NONZERO, replace=False)] = rng.choice((-1.0, 1.0), NONZERO)
+def index_vectors(hashes: np.ndarray) -> np.ndarray:
+    """The sparse ternary vector of each term: one entry of 1 or -1 in each of ``NONZERO`` equal stretches."""
+    width = DIM // NONZERO
+    out = np.zeros((len(hashes), DIM), np.int16)
+    rest = hashes.astype(np.uint64)
+    for stretch in range(NONZERO):
+        sign, place = rest & np.uint64(1), (rest >> np.uint64(1)) % np.uint64(width)
+        out[np.arange(len(hashes)), stretch * width + place.astype(np.int64)] = np.where(sign, 1, -1)
+        rest = rest >> np.uint64(8)
     return out
 
 
-def _numbers(words: pa.Array, modulus: int) -> np.ndarray:
+@dataclass
+class Terms:
+    """One kind of terms of some texts: the hashes of distinct ones, and each occurrence's place among them."""
+
+    hashes: np.ndarray
+    code: np.ndarray
+
+
+def _terms_of(words: pa.Array, seed: int) -> Terms:
     coded = words.dictionary_encode()
-    of = np.array([xxhash.xxh32_intdigest(w) % modulus for w in coded.dictionary.to_pylist()], np.int64)
-    return of[coded.indices.to_numpy(zero_copy_only=False)] if len(of) else np.zeros(0, np.int64)
+    hashes = np.array([xxhash.xxh64_intdigest(w, seed) for w in coded.dictionary.to_pylist()], np.uint64)
+    return Terms(hashes, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64))
 
 
-def terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The word number and the shape number of each word, and the words of each text."""
+def terms(texts: pa.Array) -> tuple[Terms, Terms, np.ndarray]:
+    """The words and the shapes of texts, in step, and the number of words of each text."""
     data, offs = raw(texts)
     words, n = split(strings(_BLANK[data], offs))
     sign = _SHAPE[data]
@@ -66,48 +80,82 @@ def terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     keep[offs[:-1][offs[:-1] < offs[1:]]] = True
     kept = np.concatenate([[0], np.cumsum(keep)])
     shapes, _ = split(strings(sign[keep], kept[offs]))
-    return _numbers(words, WORDS), WORDS + _numbers(shapes, SHAPES), n
+    return _terms_of(words, WORD_SEED), _terms_of(shapes, SHAPE_SEED), n
+
+
+def _sums(code: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """Sums of the rows of ``values`` by code."""
+    out = np.zeros((size, values.shape[1]), np.int64)
+    if len(code):
+        order = np.argsort(code, kind="stable")
+        present, first = np.unique(code[order], return_index=True)
+        out[present] = np.add.reduceat(values[order].astype(np.int64), first, axis=0)
+    return out
 
 
-def context_sums(texts: pa.Array, index: np.ndarray) -> np.ndarray:
-    """For each term, the sum of the index vectors around its occurrences."""
+def _place(hashes: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The place of each hash in sorted ``keys``, or -1."""
+    at = np.minimum(np.searchsorted(keys, hashes), max(0, len(keys) - 1))
+    return np.where(keys[at] == hashes, at, -1) if len(keys) else np.full(len(hashes), -1)
+
+
+def context_sums(texts: pa.Array, keys: np.ndarray) -> np.ndarray:
+    """For each of the sorted ``keys``, hashes of terms, the sum of the index vectors around its occurrences."""
     word, shape, n = terms(texts)
     row = np.repeat(np.arange(len(n)), n)
-    own = index[word] + index[shape]
+    own = index_vectors(word.hashes)[word.code] + index_vectors(shape.hashes)[shape.code]
     around = np.zeros_like(own)
     for step in range(1, REACH + 1):
-        same = (row[step:] == row[:-step])[:, None] if len(row) > step else None
-        if same is not None:
+        if len(row) > step:
+            same = (row[step:] == row[:-step])[:, None]
             around[step:] += own[:-step] * same
             around[:-step] += own[step:] * same
-    out = np.zeros((TERMS, DIM), np.float64)
-    for d in range(DIM):
-        out[:, d] = np.bincount(word, around[:, d], TERMS) + np.bincount(shape, around[:, d], TERMS)
+    out = np.zeros((len(keys), DIM), np.int64)
+    for kind in (word, shape):
+        place = _place(kind.hashes, keys)
+        out[place[place >= 0]] += _sums(kind.code, around, len(kind.hashes))[place >= 0]
     return out
 
 
-def pooled(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
-    """The features of each text; a text without words has zeros only."""
+def _groups(n: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Texts first..past of some ``POOL_WORDS`` words together; a longer text goes alone."""
+    ends, at = np.cumsum(n), 0
+    while at < len(n):
+        past = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + POOL_WORDS, "right")))
+        yield at, past
+        at = past
+
+
+def pooled(texts: pa.Array, keys: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """The features of each text; a text without words has zeros only.
+
+    ``vectors`` are those of the sorted ``keys``.  A text's sums do not depend on
+    the texts beside it.
+    """
     word, shape, n = terms(texts)
     ends = np.concatenate([[0], np.cumsum(n)])
-    out = np.zeros((len(n), 2 * DIM + 3), np.float32)
-    for a in range(0, len(n), POOL_DOCS):
-        b = min(len(n), a + POOL_DOCS)
-        row = np.repeat(np.arange(b - a), n[a:b])
-        w, s = word[ends[a] : ends[b]], shape[ends[a] : ends[b]] - WORDS
-        cw = np.bincount(row * WORDS + w, minlength=(b - a) * WORDS).reshape(b - a, WORDS)
-        cs = np.bincount(row * SHAPES + s, minlength=(b - a) * SHAPES).reshape(b - a, SHAPES)
-        size = np.maximum(1, n[a:b])[:, None]
-        out[a:b, :DIM] = cw.astype(np.float32) @ vectors[:WORDS] / size
-        out[a:b, DIM : 2 * DIM] = cs.astype(np.float32) @ vectors[WORDS:] / size
-        out[a:b, 2 * DIM] = np.log1p(n[a:b]) / 5
-        out[a:b, 2 * DIM + 1] = (cw > 0).sum(1) / size[:, 0]
-        out[a:b, 2 * DIM + 2] = (cs > 0).sum(1) / size[:, 0]
+    out = np.zeros((len(n), FEATURES))
+    table = np.vstack([vectors, np.zeros((1, DIM))]).astype(np.float64)  # the last row: an unknown term
+    row = np.repeat(np.arange(len(n)), n)
+    for part, kind in enumerate((word, shape)):
+        place = _place(kind.hashes, keys)[kind.code]
+        for a, b in _groups(n):
+            for at in range(ends[a], ends[b], POOL_WORDS):
+                to = min(at + POOL_WORDS, ends[b])
+                here, first = np.unique(row[at:to], return_index=True)
+                out[here, part * DIM : (part + 1) * DIM] += np.add.reduceat(table[place[at:to]], first, axis=0)
+        distinct = np.unique(row * max(1, len(kind.hashes)) + kind.code) // max(1, len(kind.hashes))
+        out[:, 2 * DIM + 1 + part] = np.bincount(distinct, minlength=len(n))
+        if part == 0:
+            out[:, 2 * DIM + 3] = np.bincount(row[place < 0], minlength=len(n))
+    out /= np.maximum(1, n)[:, None]
+    out[:, 2 * DIM] = np.log1p(n) / 5
     return out
 
 
 @dataclass
 class Model:
+    keys: np.ndarray
     vectors: np.ndarray
     mean: np.ndarray
     scale: np.ndarray
@@ -118,6 +166,9 @@ class Model:
     temperature: float
     constant: float | None = None
 
+    def of_texts(self, texts: pa.Array) -> np.ndarray:
+        return self.score(pooled(texts, self.keys, self.vectors))
+
     def score(self, x: np.ndarray) -> np.ndarray:
         if self.constant is not None:
             return np.full(len(x), self.constant)
@@ -125,12 +176,12 @@ class Model:
         return 1 / (1 + np.exp(-np.clip((h @ self.w2 + self.b2) / self.temperature, -40, 40)))
 
 
-def train(vectors: np.ndarray, x: np.ndarray, y: np.ndarray, epochs: int = 60, rate: float = 0.01, decay: float = 1e-3, seed: int = 3) -> Model:
+def train(keys: np.ndarray, vectors: np.ndarray, x: np.ndarray, y: np.ndarray, epochs: int = 60, rate: float = 0.01, decay: float = 1e-3, seed: int = 3) -> Model:
     """Adam on minibatches of the log loss; then the temperature on every fifth row."""
-    size = x.shape[1] if len(x) else 2 * DIM + 3
+    size = FEATURES
     rng = np.random.default_rng(seed)
     if len(set(y.tolist())) < 2 or len(y) < 10:
-        return Model(vectors, np.zeros(size), np.ones(size), np.zeros((size, HIDDEN)), np.zeros(HIDDEN), np.zeros(HIDDEN), 0.0, 1.0, float((y.sum() + 1) / (len(y) + 2)))
+        return Model(keys, vectors, np.zeros(size), np.ones(size), np.zeros((size, HIDDEN)), np.zeros(HIDDEN), np.zeros(HIDDEN), 0.0, 1.0, float((y.sum() + 1) / (len(y) + 2)))
     x = x.astype(np.float64)
     held = np.arange(len(y)) % 5 == 4
     mean, scale = x[~held].mean(0), x[~held].std(0) + 1e-3
@@ -154,33 +205,54 @@ def train(vectors: np.ndarray, x: np.ndarray, y: np.ndarray, epochs: int = 60, r
     logit = np.tanh(z[held] @ p[0] + p[1]) @ p[2] + p[3]
     heat = np.geomspace(0.25, 8, 121)
     loss = [np.logaddexp(0, np.where(t[held] > 0.5, -1, 1) * logit / c).mean() for c in heat]
-    return Model(vectors, mean, scale, p[0], p[1], p[2], float(p[3][0]), float(heat[int(np.argmin(loss))]))
+    return Model(keys, vectors, mean, scale, p[0], p[1], p[2], float(p[3][0]), float(heat[int(np.argmin(loss))]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN_DOCS) -> Model:
-    """Learn from at most ``most`` labelled rows outside the held-out fold."""
-    sample = labelled_sample(docs, labels, "quality", fold(F.col("doc_id"), 5) != 0, most)
-    index = index_vectors()
+def vocabulary(sample: DataFrame) -> np.ndarray:
+    """The sorted hashes of the terms that stand in ``LEAST_DOCS`` or more texts of the sample."""
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            word, shape, n = terms(batch.column("text"))
+            row = np.repeat(np.arange(len(n)), n)
+            for kind in (word, shape):
+                size = max(1, len(kind.hashes))
+                times = np.bincount(np.unique(row * size + kind.code) % size, minlength=len(kind.hashes))
+                yield pa.RecordBatch.from_arrays([pa.array(kind.hashes.view(np.int64)), pa.array(times[: len(kind.hashes)], pa.int64())], ["h", "n"])
+
+    rows = sample.mapInArrow(held, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_DOCS)
+    return np.sort(np.array([r[0] for r in rows.select("h").collect()], np.int64).view(np.uint64))
+
+
+def term_vectors(sample: DataFrame, keys: np.ndarray) -> np.ndarray:
+    """The unit vectors of ``keys``.  Sums are whole numbers, so no order of rows changes them."""
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((TERMS, DIM), np.float64)
+        total = np.zeros((len(keys), DIM), np.int64)
         for batch in slices(batches, most=1 << 20):
-            total += context_sums(batch.column("text"), index)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+            total += context_sums(batch.column("text"), keys)
+        yield pa.RecordBatch.from_arrays([pa.array([pack(total.ravel())], pa.binary())], ["sums"])
+
+    total = np.zeros((len(keys), DIM), np.int64)
+    for part in sample.mapInArrow(sums, "sums binary").toLocalIterator():  # one a partition, of at most 8
+        total += unpack(part[0])[0].reshape(len(keys), DIM)
+    return (total / np.maximum(1e-9, np.linalg.norm(total, axis=1, keepdims=True))).astype(np.float32)
+
 
-    total = np.zeros((TERMS, DIM))
-    for part in sample.mapInArrow(sums, "sums binary").collect():  # a sum of 1.7 MB for each of at most 8 partitions
-        total += np.frombuffer(part[0], np.float64).reshape(TERMS, DIM)
-    vectors = (total / np.maximum(1e-9, np.linalg.norm(total, axis=1, keepdims=True))).astype(np.float32)
+def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN_DOCS) -> Model:
+    """Learn from at most ``most`` labelled rows outside the held-out fold."""
+    sample = labelled_sample(docs, labels, "quality", fold(F.col("doc_id"), 5) != 0, most)
+    keys = vocabulary(sample)
+    vectors = term_vectors(sample, keys)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            x = pooled(batch.column("text"), vectors)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(list(x), pa.list_(pa.float32()))], ["doc_id", "label", "x"])
+            x = pooled(batch.column("text"), keys, vectors)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(list(x), pa.list_(pa.float64()))], ["doc_id", "label", "x"])
 
-    rows = sorted(sample.mapInArrow(features, "doc_id long, label int, x array<float>").collect(), key=lambda r: r[0])
-    x = np.array([r[2] for r in rows], np.float32).reshape(len(rows), 2 * DIM + 3)
-    return train(vectors, x, np.array([r[1] for r in rows], np.int64))
+    rows = sorted(sample.mapInArrow(features, "doc_id long, label int, x array<double>").collect(), key=lambda r: r[0])
+    x = np.array([r[2] for r in rows]).reshape(len(rows), FEATURES)
+    return train(keys, vectors, x, np.array([r[1] for r in rows], np.int64))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -192,7 +264,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in slices(batches):
-            s = m.score(pooled(batch.column("text"), m.vectors)).astype(np.float64)
+            s = m.of_texts(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     return id_text(docs, (fold(F.col("doc_id"), 5) == 0).alias("held_out")).mapInArrow(scored, "doc_id long, held_out boolean, score double, predicted int")
@@ -207,7 +279,7 @@ def keep(docs: DataFrame, model: Model) -> DataFrame:
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in slices(batches):
-            yield batch.filter(pa.array(m.score(pooled(batch.column("text"), m.vectors)) >= THRESHOLD))
+            yield batch.filter(pa.array(m.of_texts(batch.column("text")) >= THRESHOLD))
 
     return docs.mapInArrow(kept, docs.schema)
 
