@@ -15,7 +15,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.lineage import shared_folder
+from quarry.lineage import remove, shared_folder
 from quarry.llm import bpe, decontaminate, pii, quality, simhash
 from quarry.llm.queries import table, tokenizer
 
@@ -61,10 +61,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each stage's rows are written to the shared folder and read again."""
+    """All stages over ``documents``; each stage's rows are written to the shared folder and read again.
+
+    A stage's files go once the next stage is written; those of the last are the result.
+    """
     folder = f"{shared_folder(spark)}/pipeline-{uuid4()}"
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
         docs = spark.read.parquet(f"{folder}/{i}")
+        if i:
+            remove(spark, f"{folder}/{i - 1}")
     return docs

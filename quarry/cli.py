@@ -8,11 +8,15 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+import time
+from functools import partial
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.config import ChunkConfig, Paths
+from quarry.functions.html import TITLE_END
+from quarry.lineage import cut
 from quarry.operators import records as R
 from quarry.operators import search as S
 from quarry.operators import variables as V
@@ -27,7 +31,7 @@ from quarry.schemas import TABLES
 from quarry.session import local_session
 from quarry.sources import tables as T
 from quarry.sources.files import read_files
-from quarry.sources.web import fetched, probe
+from quarry.sources.web import fetched, probe, request
 
 
 def _read(spark: SparkSession, paths: Paths, name: str) -> DataFrame:
@@ -59,8 +63,17 @@ def load_records(spark: SparkSession, paths: Paths) -> DataFrame:
 
 
 def inventory(spark, paths: Paths, args) -> int:
-    web = lambda urls: fetched(urls, delay=args.delay).selectExpr("url", "status", "content_type", "body as html")
-    found = K.crawl(spark, K.CrawlConfig(args.base_url, args.max_pages, args.max_follow_pages, args.max_assets), web, lambda urls: fetched(urls, probe, args.delay).select("url", "status", "content_type"), print)
+    get, ask = partial(request, timeout=args.timeout), partial(probe, timeout=args.timeout)
+    web = lambda urls: fetched(urls, get, args.delay).selectExpr("url", "status", "content_type", "body as html")
+    told = -(10**9)
+
+    def progress(message: str, done: int) -> None:
+        nonlocal told
+        if args.progress and done - told >= args.progress:
+            told = done
+            print(message)
+
+    found = K.crawl(spark, K.CrawlConfig(args.base_url, args.max_pages, args.max_follow_pages, args.max_assets), web, lambda urls: fetched(urls, ask, args.delay).select("url", "status", "content_type"), progress)
     T.write_csv(found.inventory, "inventory", str(paths.inventory))
     _report(paths, "02_source_inventory.md", M.inventory_report(found.inventory, found.summary))
     return 0
@@ -68,7 +81,11 @@ def inventory(spark, paths: Paths, args) -> int:
 
 def archive(spark, paths: Paths, args) -> int:
     previous, files = _maybe(spark, paths, "manifest"), _files(spark, paths, hashes_only=True)
-    rows = A.archive(_read(spark, paths, "inventory"), str(paths.raw), previous.cache() if previous is not None else None, files).cache()
+    def download(url: str):
+        time.sleep(args.delay)
+        return request(url, timeout=args.timeout)
+
+    rows = cut(A.archive(_read(spark, paths, "inventory"), str(paths.raw), cut(previous) if previous is not None else None, files, download))
     counts = A.counts(rows)
     T.write_csv(rows, "manifest", str(paths.manifest))
     _report(paths, "03_archive_manifest.md", M.archive_report(rows, counts))
@@ -76,7 +93,7 @@ def archive(spark, paths: Paths, args) -> int:
 
 
 def extract(spark, paths: Paths, args) -> int:
-    found = E.extract(_read(spark, paths, "manifest"), _files(spark, paths))
+    found = E.extract(_read(spark, paths, "manifest"), _files(spark, paths), args.title_end)
     for name in ("datasets", "documents", "document_edges", "ontology_nodes", "ontology_edges"):
         T.write_csv(getattr(found, name), name, str(paths.table(name)))
     _report(paths, "04_extraction_pack.md", M.extraction_report(found))
@@ -122,11 +139,12 @@ def qa(spark, paths: Paths, args) -> int:
         except ValueError as e:
             unreadable.append((str(paths.table(name)), str(e)))
     tables = Q.Tables(base["manifest"], base["datasets"], base["documents"], _files(spark, paths, hashes_only=True), unreadable=unreadable, **optional)
-    found = Q.findings(tables).cache()
+    found = cut(Q.findings(tables))
     word, errors, warnings, total = Q.verdict(found).first()
     count = lambda df: 0 if df is None else df.count()
     edges = sum(count(optional.get(n)) for n in ("document_edges", "variable_edges", "ontology_edges"))
     checked = {"Datasets Checked": base["datasets"].count(), "Documents Checked": base["documents"].count(), "Variables Checked": count(optional.get("variables")), "Edges Checked": edges, "Errors": errors, "Warnings": warnings, "Total Findings": total}
+    T.write_csv(found, "findings", str(paths.workspace / "06_qa_findings.csv"))
     _report(paths, "06_qa_review.md", M.audit_report(found, word, checked))
     return int(word != "pass")
 
@@ -149,33 +167,53 @@ def context(spark, paths: Paths, args) -> int:
 COMMANDS = {f.__name__: f for f in (inventory, archive, extract, parse, variables, qa, search, context)}
 
 
+#: Places of single tables, for commands that search.
+GIVEN = {"datasets": "--datasets-metadata", "documents": "--documents-metadata", "variables": "--variables-metadata", "chunks": "--chunks-jsonl"}
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="quarry")
     sub = top.add_subparsers(dest="command", required=True)
     for name, f in COMMANDS.items():
         p = sub.add_parser(name, help=(f.__doc__ or name).strip().splitlines()[0])
         p.add_argument("--base", type=Path, default=Path("."))
+        outputs = {"inventory": "--output"} if name == "inventory" else {"manifest": "--manifest-output"} if name == "archive" else {}
+        more = {"raw": "--raw-root", "workspace": "--workspace-dir"} | outputs
         for place in ("metadata", "graph", "raw", "parsed", "workspace", "inventory", "manifest"):
-            p.add_argument(f"--{place}", type=Path)
+            p.add_argument(f"--{place}", *([more[place]] if place in more else []), type=Path)
+        if name in ("inventory", "archive"):
+            p.add_argument("--timeout-seconds", "--timeout", dest="timeout", type=float, default=20.0)
+            p.add_argument("--request-delay-seconds", "--delay", dest="delay", type=float, default=0.5)
         if name == "inventory":
             p.add_argument("--base-url", required=True)
-            p.add_argument("--max-pages", "--max-listing-pages", type=int, default=5)
+            p.add_argument("--max-pages", "--max-listing-pages", type=int, default=4)
             p.add_argument("--max-follow-pages", type=int)
             p.add_argument("--max-assets", type=int)
-            p.add_argument("--delay", type=float, default=0.5)
+            p.add_argument("--progress-interval", dest="progress", type=int, default=25, help="pages between two messages; 0: none")
+        if name == "extract":
+            p.add_argument("--title-end", default=TITLE_END, help="what the site puts after every title")
         if name == "parse":
             p.add_argument("--chunk-size", type=int, default=500)
             p.add_argument("--chunk-overlap", type=int, default=100)
         if name in ("search", "context"):
-            p.add_argument("query")
+            p.add_argument("words", nargs="?", help="the query, as --query")
+            p.add_argument("--query")
             p.add_argument("--limit", type=int, default=10 if name == "search" else 5)
             p.add_argument("--json", action="store_true")
+            for table, flag in GIVEN.items():
+                p.add_argument(flag, dest=f"given_{table}", type=Path)
     return top
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = parser().parse_args(argv)
-    paths = Paths(args.base, args.metadata, args.graph, args.raw, args.parsed, args.workspace, args.inventory, args.manifest)
+    given = {t: place for t in GIVEN if (place := getattr(args, f"given_{t}", None))}
+    paths = Paths(args.base, args.metadata, args.graph, args.raw, args.parsed, args.workspace, args.inventory, args.manifest, given)
+    if args.command in ("search", "context"):
+        if (args.query is None) == (args.words is None):
+            print(f"Error in {args.command}: one query, please", file=sys.stderr)
+            return 1
+        args.query = args.words if args.query is None else args.query
     try:
         return COMMANDS[args.command](spark or local_session(), paths, args)
     except Exception as e:

@@ -20,6 +20,7 @@ class Paths:
     workspace: Path | None = None
     inventory: Path | None = None
     manifest: Path | None = None
+    given: dict[str, Path] = field(default_factory=dict)  # tables that stand elsewhere, by name
 
     def __post_init__(self) -> None:
         base = Path(self.base)
@@ -33,6 +34,8 @@ class Paths:
             object.__setattr__(self, name, value)
 
     def table(self, name: str) -> Path:
+        if name in self.given:
+            return Path(self.given[name])
         if name in ("inventory", "manifest"):
             return getattr(self, name)
         if name == "chunks":
@@ -48,9 +51,3 @@ class ChunkConfig:
 
     def __post_init__(self) -> None:
         chunking.check(self.size, self.overlap)
-
-
-@dataclass(frozen=True)
-class Settings:
-    paths: Paths = field(default_factory=Paths)
-    chunks: ChunkConfig = field(default_factory=ChunkConfig)

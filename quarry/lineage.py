@@ -8,14 +8,31 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; one of our own only where none is named (tests)."""
+    """The folder in ``spark.checkpoint.dir``.
+
+    Where none is named, one of our own, but only if driver and executors are one
+    process; RuntimeError on a cluster, whose machines would not see it.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and sc.master.split("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines of the cluster share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
     return sc.getCheckpointDir()
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The same rows, read from the shared folder from now on."""
+    """The same rows, read from the shared folder from now on.
+
+    The files go with the session's ``spark.cleaner.referenceTracking.cleanCheckpoints``.
+    """
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever it is."""
+    sc = spark.sparkContext
+    where = sc._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)

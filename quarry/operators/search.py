@@ -1,10 +1,12 @@
 """Deterministic BM25 search with exact-term boosts, as two passes of one scan.
 
-The query's terms are known on the driver, so no postings are built: a record's
-count of a term is the size of its tokens less the size without the term.  The
-first pass adds up records, lengths and document frequencies (one row, from
-partial sums); the second scores against that row, keeps the best k per
-partition and merges those.  Nothing is shuffled but the partial sums and the k.
+The query's terms are known on the driver, so no postings are built and no text is
+cut into its tokens: one expression gives a record's length in tokens, and one the
+few tokens that the query asks for.  The first pass adds up records, lengths and
+document frequencies (one row, from partial sums); the second scores against that
+row, keeps the best k per partition and merges those.  Nothing is shuffled but the
+partial sums and the k.  For many queries over the same records, ``tokenized``
+records that are cached, or ``postings``, save the text passes.
 
 Statistics are those of the records passed in, so a filter on record types comes
 first: as an argument of ``search``, not as a filter on its result.
@@ -40,24 +42,38 @@ def tokenized(records: DataFrame) -> DataFrame:
     return records if "tokens" in records.columns else once(records, tokens=tokens(F.col("text")))
 
 
-def _count(term: str) -> Column:
-    return F.size("tokens") - F.size(F.array_remove("tokens", term))
+def counted(records: DataFrame, terms: list[str]) -> DataFrame:
+    """``records`` with their length in tokens and, for each distinct term, its count, evaluated once a row."""
+    distinct = list(dict.fromkeys(terms))
+    if "tokens" in records.columns:
+        length, held = F.size("tokens"), F.filter("tokens", lambda x: x.isin(*distinct))
+    else:
+        low = F.lower(text_of("text"))
+        # A term is a run of token characters, so it stands for itself in a pattern.
+        asked = rf"(?<![a-z0-9_])(?:{'|'.join(distinct)})(?![a-z0-9_])"
+        length, held = F.regexp_count(low, F.lit(TOKEN)), F.regexp_extract_all(low, F.lit(asked), F.lit(0))
+    first = once(records, length=length, held=held)
+    tf = F.transform(F.array(*map(F.lit, distinct)), lambda t: F.size(F.filter("held", lambda x: x == t)))
+    return once(first, tf=tf).drop("held")
+
+
+def _sums(own: DataFrame, terms: list[str]) -> DataFrame:
+    dfs = [F.sum(F.when(F.get("tf", F.lit(i)) > 0, 1).otherwise(0)).cast("double").alias(f"df_{i}") for i in range(len(dict.fromkeys(terms)))]
+    return own.agg(F.count("*").cast("double").alias("n"), F.avg("length").alias("mean"), *dfs)
 
 
 def statistics(records: DataFrame, terms: list[str]) -> DataFrame:
     """One row: n records, their mean length, and for each distinct term df_i."""
-    dfs = [F.sum(F.when(_count(t) > 0, 1).otherwise(0)).cast("double").alias(f"df_{i}") for i, t in enumerate(dict.fromkeys(terms))]
-    return tokenized(records).agg(F.count("*").cast("double").alias("n"), F.avg(F.size("tokens")).alias("mean"), *dfs)
+    return _sums(counted(records, terms), terms)
 
 
 def _text_score(terms: list[str]) -> Column:
-    length = F.col("mean")
     total = F.lit(0.0)
     places = {t: i for i, t in enumerate(dict.fromkeys(terms))}
     for t in terms:
-        df, tf = F.col(f"df_{places[t]}"), _count(t).cast("double")
+        df, tf = F.col(f"df_{places[t]}"), F.get("tf", F.lit(places[t])).cast("double")
         idf = F.log(1 + (F.col("n") - df + 0.5) / (df + 0.5))
-        total = total + F.when(tf > 0, idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.size("tokens") / length))).otherwise(0.0)
+        total = total + F.when(tf > 0, idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("length") / F.col("mean")))).otherwise(0.0)
     return total
 
 
@@ -72,12 +88,12 @@ def _boost(query: str, terms: list[str]) -> Column:
 def scores(records: DataFrame, query: str, boosts: bool = True) -> DataFrame:
     """``records`` that match, with ``score``: above 0 unrounded, then to 6 places."""
     q, terms = query_terms(query)
-    own = tokenized(records)
-    scored = own.crossJoin(F.broadcast(statistics(own, terms))).filter((F.size("tokens") > 0) & (F.col("mean") > 0))
+    own = counted(records, terms)
+    scored = own.crossJoin(F.broadcast(_sums(own, terms))).filter((F.col("length") > 0) & (F.col("mean") > 0))
     score = _text_score(terms)
     if boosts:
         score = score + F.coalesce(_boost(q, terms), F.lit(0.0))
-    kept = [c for c in own.columns if c != "tokens"]
+    kept = [c for c in records.columns if c != "tokens"]
     return once(scored, raw=score).filter("raw > 0").select(*kept, F.round("raw", 6).alias("score"))
 
 

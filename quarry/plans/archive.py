@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import urls as U
 from quarry.functions.text import text_of
+from quarry.lineage import cut
 from quarry.operators.dedup import last_wins
 from quarry.schemas import TABLES
 from quarry.sources.web import Answer, request
@@ -84,8 +85,8 @@ def archive(inventory: DataFrame, root: str, previous: DataFrame | None = None,
             yield pd.DataFrame(rows, columns=["url", "_path", "status", "type", "sha", "why"]).astype({"status": "Int32"})
 
     asked = allowed.filter(F.col("_held").isNull())
-    # Fetched once: the result is kept, since a second evaluation would download again.
-    answers = asked.select("url", "_path").distinct().mapInPandas(run, "url string, _path string, status int, type string, sha string, why string").persist()
+    # Fetched once and written to the shared folder: a lost executor must not download again, and get other bytes.
+    answers = cut(asked.select("url", "_path").distinct().mapInPandas(run, "url string, _path string, status int, type string, sha string, why string"))
     back = asked.join(answers.select(F.col("url").alias("_u"), F.col("_path").alias("_p"), "status", "type", "sha", "why"), (F.col("url") == F.col("_u")) & (F.col("_path") == F.col("_p")))
     content = F.when(text_of("type") != "", F.col("type")).otherwise(F.col("content_type"))
     state = {"content_type": content, "http_status": F.col("status"), "downloaded_at_utc": stamp}

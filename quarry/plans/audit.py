@@ -25,6 +25,7 @@ MAJOR = (
 BROKEN_REFERENCE = "does not exist in datasets metadata"
 MOST_ERRORS = 5
 NODE_CLASSES = ("Dataset", "Table", "Variable", "Program")
+SALTS = 16
 
 Rule = tuple[Column, str, str, Column]
 E, W = "error", "warning"
@@ -54,8 +55,8 @@ def _ids(df: DataFrame | None, column: str, like: DataFrame) -> DataFrame:
     return (df.select(F.col(column).alias("_id")) if df is not None else like.select(F.lit("").alias("_id")).limit(0)).distinct()
 
 
-def _known(df: DataFrame, column: str, ids: DataFrame, name: str) -> DataFrame:
-    """``df`` with a flag whether ``column`` is among ``ids``."""
+def known(df: DataFrame, column: str, ids: DataFrame, name: str) -> DataFrame:
+    """``df`` with a flag ``name`` whether ``column`` is among the distinct ``ids`` (_id)."""
     return df.join(ids.select(F.col("_id").alias(f"_{name}_id")), F.col(column) == F.col(f"_{name}_id"), "left").withColumn(name, F.col(f"_{name}_id").isNotNull()).drop(f"_{name}_id")
 
 
@@ -70,11 +71,13 @@ def _looked_up(df: DataFrame, t: Tables, path: str = "local_path") -> DataFrame:
 def _occurrence(df: DataFrame, key: str) -> DataFrame:
     """``df`` with ``_again``: whether an earlier row has the same key.
 
-    The first place of a key is a summed-up minimum joined back, not a window, so
-    a key that repeats without end never meets in one task.
+    The first place of a key that repeats is a summed-up minimum, joined back under
+    ``SALTS`` salts, so the rows of one key are spread over as many tasks.
     """
-    first = df.groupBy(key).agg(F.min("seq").alias("_first")).withColumnRenamed(key, "_key")
-    return df.join(first, F.col(key).eqNullSafe(F.col("_key"))).withColumn("_again", F.col("seq") > F.col("_first")).drop("_key", "_first")
+    first = df.groupBy(key).agg(F.min("seq").alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
+    first = first.select(F.col(key).alias("_key"), "_first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    mine = F.pmod(F.xxhash64("seq"), F.lit(SALTS)) == F.col("_salt")
+    return df.join(first, F.col(key).eqNullSafe(F.col("_key")) & mine, "left").withColumn("_again", F.coalesce(F.col("seq") > F.col("_first"), F.lit(False))).drop("_key", "_first", "_salt")
 
 
 def _apply(df: DataFrame, file: str, item: Column, rules: list[Rule]) -> DataFrame:
@@ -151,16 +154,16 @@ def findings(t: Tables) -> DataFrame:
     unknown: Rule = (~F.col("has_dataset"), "dataset_id", E, _say("dataset_id '", F.col("dataset_id"), f"' {BROKEN_REFERENCE}"))
     out = _entities(_looked_up(t.datasets, t), "dataset_id", "datasets.csv", "Dataset",
         [_padded("dataset_id"), _padded("source_url"), *_url_rules(E), archived("dataset", "dataset_id"), *_file_rules("dataset", E, True)])
-    out = out.unionByName(_entities(_known(_looked_up(t.documents, t), "dataset_id", dataset_ids, "has_dataset"), "document_id", "documents.csv", "Document",
+    out = out.unionByName(_entities(known(_looked_up(t.documents, t), "dataset_id", dataset_ids, "has_dataset"), "document_id", "documents.csv", "Document",
         [_padded("document_id"), _padded("dataset_id"), _padded("source_url"), unknown, *_url_rules(E), archived("document", "document_id"), *_file_rules("document", E, True)]))
     if t.variables is not None:
         blank = lambda c, s: (is_blank(F.col(c)), c, s, _say(f"Variable row has empty {c}"))
-        out = out.unionByName(_entities(_known(_looked_up(t.variables, t, "source_document"), "dataset_id", dataset_ids, "has_dataset"), "variable_id", "variables.csv", "Variable",
+        out = out.unionByName(_entities(known(_looked_up(t.variables, t, "source_document"), "dataset_id", dataset_ids, "has_dataset"), "variable_id", "variables.csv", "Variable",
             [_padded("variable_id"), unknown, blank("variable_name", E), blank("definition", W), blank("chunk_id", E), *_url_rules(E), *_source_document_rules("variable")]))
     ends = dataset_ids.unionByName(document_ids).distinct()
 
     def edges(df: DataFrame, file: str, path: str, sources: DataFrame, targets: DataFrame, source: str, target: str, weak: str, rules: list[Rule]) -> DataFrame:
-        rows = _known(_known(_looked_up(_line(df), t, path), "source_id", sources, "has_source"), "target_id", targets, "has_target")
+        rows = known(known(_looked_up(_line(df), t, path), "source_id", sources, "has_source"), "target_id", targets, "has_target")
         own = [(~F.col("has_source"), "source_id", E, _say("source_id '", F.col("source_id"), f"' does not map to any {source}")), (~F.col("has_target"), "target_id", weak, _say("target_id '", F.col("target_id"), f"' does not map to any {target}"))]
         return _apply(rows, file, _say("Line ", F.col("line").cast("string")), own + rules)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quarry.functions import html as H
 from quarry.functions import urls as U
 from quarry.functions.text import collapse, slug
+from quarry.lineage import cut
 from quarry.operators.dedup import last_wins
 from quarry.schemas import TABLES
 
@@ -45,15 +46,17 @@ def _named(df: DataFrame, table: str, **columns: Column) -> DataFrame:
     return df.select(*(columns.get(n, F.col(n)).alias(n) for n in TABLES[table].names), "seq")
 
 
-def dataset_pages(pages: DataFrame) -> DataFrame:
+def dataset_pages(pages: DataFrame, title_end: str = H.TITLE_END) -> DataFrame:
     """Trusted dataset pages with their id, parsed fields and resolved links.
 
-    Each page is parsed once.  Other than HTML, a file has its source title and no fields.
+    ``title_end``, what the site puts after every title, is taken away.  Other than
+    HTML, a file has its source title and no fields.
     """
     is_html = F.col("content_type") == "text/html"
-    parsed = pages.withColumn("page", F.when(is_html, H.page(F.when(is_html, F.col("content")))))
+    parsed = pages if "page" in pages.columns else pages.withColumn("page", F.when(is_html, H.page(F.when(is_html, F.col("content")))))
     title = collapse(F.coalesce(F.col("page.title"), F.lit("")))
-    title = F.when(title.endswith(H.TITLE_END), F.substr(title, F.lit(1), F.length(title) - len(H.TITLE_END))).otherwise(title)
+    if title_end:
+        title = F.when(title.endswith(title_end), F.substr(title, F.lit(1), F.length(title) - len(title_end))).otherwise(title)
     field = {c: F.coalesce(F.col(f"page.{c}"), F.lit("")).alias(c) for c in ("program", "category", "availability")}
     return parsed.select(
         "seq", "url", "local_path", "sha256", U.dataset_id(F.col("url")).alias("dataset_id"),
@@ -74,18 +77,21 @@ def related(links: DataFrame) -> DataFrame:
     return once.select(F.col("dataset_id").alias("source_id"), "target_id", F.lit("related_to").alias("relationship"), F.col("url").alias("source_url"), "local_path", "sha256", "seq", F.col("link_no").cast("long"))
 
 
-def extract(manifest: DataFrame, files: DataFrame) -> Extraction:
+def extract(manifest: DataFrame, files: DataFrame, title_end: str = H.TITLE_END) -> Extraction:
     """``manifest`` has ``seq``; ``files`` is (local_path, content, sha256).
 
     Documents are joined to datasets by the id in their own or their source's
     URL; assets without one by the pages that link to them.  Where ids repeat, the
-    last row wins; edges of every page stay.
+    last row wins; edges of every page stay.  Files are joined, hashes compared and
+    pages parsed once; what that gives, without file contents, is cut from its
+    lineage, and all tables are made from it.
     """
     eligible = manifest.filter((F.col("archive_state") == "archived") & F.col("resource_kind").isin("dataset_page", "documentation_page", "asset"))
-    checked = verified(eligible, files)
+    is_html = F.col("reason").isNull() & (F.col("content_type") == "text/html") & F.col("resource_kind").isin("dataset_page", "documentation_page")
+    checked = cut(verified(eligible, files).withColumn("page", F.when(is_html, H.page(F.when(is_html, F.col("content"))))).drop("content"))
     good, bad = checked.filter(F.col("reason").isNull()), checked.filter(F.col("reason").isNotNull())
 
-    pages = dataset_pages(good.filter(F.col("resource_kind") == "dataset_page"))
+    pages = dataset_pages(good.filter(F.col("resource_kind") == "dataset_page"), title_end)
     links = page_links(pages)
     datasets = last_wins(_named(pages, "datasets", source_url=F.col("url"), extraction_notes=F.lit("")), ["dataset_id"])
     program = pages.filter(F.col("program") != "").withColumn("program_id", F.concat(F.lit("program_"), slug(F.col("program"))))
@@ -105,7 +111,7 @@ def extract(manifest: DataFrame, files: DataFrame) -> Extraction:
     lost = F.when(F.col("dataset_id").isNull(), "document source is not linked to a dataset page").otherwise("document references missing dataset")
     found = placed.filter(F.col("_known").isNotNull())
     is_page = (F.col("resource_kind") == "documentation_page") & (F.col("content_type") == "text/html")
-    title = F.when(is_page, H.page(F.when(is_page, F.col("content")))["title"]).otherwise(F.col("source_title"))
+    title = F.when(is_page, F.col("page.title")).otherwise(F.col("source_title"))
     documents = _named(
         found, "documents", document_id=U.document_id(F.col("dataset_id"), F.col("url")), title=title,
         document_kind=U.document_kind(F.col("resource_kind"), F.col("asset_kind")), source_url=F.col("url"), extraction_notes=F.lit(""),

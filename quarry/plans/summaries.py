@@ -4,21 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-SHOWN = 25
+SHOWN, FINDINGS = 25, 1000  # rows that a report shows; findings are written as a table, too
 
 
 def _cell(value) -> str:
     return "" if value is None else str(value).replace("|", "\\|").replace("\n", " ")
 
 
-def rows_table(df: DataFrame, columns: list[str], shown: int | None = SHOWN) -> list[str]:
+def rows_table(df: DataFrame, columns: list[str], shown: int = SHOWN) -> list[str]:
     """The first rows as a table, and how many are left out; only those rows reach the driver."""
-    first = df.select(*columns).limit(shown).collect() if shown is not None else df.select(*columns).collect()
+    first = df.select(*columns).limit(shown).collect()
     if not first:
         return ["- None"]
     lines = [f"| {' | '.join(columns)} |", f"| {' | '.join('---' for _ in columns)} |"]
     lines += [f"| {' | '.join(map(_cell, r))} |" for r in first]
-    if shown is not None and len(first) == shown and (more := df.count() - shown) > 0:
+    if len(first) == shown and (more := df.count() - shown) > 0:
         lines.append(f"\n- Additional rows omitted: {more}")
     return lines
 
@@ -70,4 +70,4 @@ def variables_report(variables: DataFrame, failures: DataFrame, skipped: DataFra
 
 
 def audit_report(found: DataFrame, verdict: str, checked: dict[str, int]) -> str:
-    return report("QA Review", {"Verdict": f"**{verdict.upper()}**"} | checked, {"Findings": rows_table(found, ["file", "item_id", "field", "severity", "message"], None)})
+    return report("QA Review", {"Verdict": f"**{verdict.upper()}**"} | checked, {"Findings": rows_table(found, ["file", "item_id", "field", "severity", "message"], FINDINGS)})

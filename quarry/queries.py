@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from quarry.functions import urls as U
 from quarry.operators import chunking, dedup, records, search, variables
 from quarry.plans import archive, audit, context, crawl, extract
 from quarry.schemas import RECORDS, TABLES
+from quarry.sources.web import Answer
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -124,8 +126,9 @@ def token_stats(spark, sf_dir):
 
 
 @query("""
-WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9_]+')) AS term, len(regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9_]+')) AS length FROM documents)
-SELECT term, CAST(doc_id AS VARCHAR) AS record_id, CAST(count(*) AS BIGINT) AS tf, CAST(max(length) AS INTEGER) AS length FROM t GROUP BY term, doc_id
+WITH t AS MATERIALIZED (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9_]+') AS tokens FROM documents),
+u AS (SELECT doc_id, len(tokens) AS length, unnest(tokens) AS term FROM t)
+SELECT term, CAST(doc_id AS VARCHAR) AS record_id, CAST(count(*) AS BIGINT) AS tf, CAST(max(length) AS INTEGER) AS length FROM u GROUP BY term, doc_id
 """)
 def postings(spark, sf_dir):
     return search.postings(table(spark, sf_dir, "documents").withColumn("record_id", F.col("doc_id").cast("string")))
@@ -258,7 +261,7 @@ def page_links(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.posexplode(H.page("html")["hrefs"]).alias("link_no", "href"))
 
 
-@query()
+@query(r"SELECT page_id, trim(regexp_replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '\s+', ' ', 'g')) AS title FROM pages")
 def page_titles(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", H.page("html")["title"].alias("title"))
 
@@ -330,16 +333,22 @@ def dedup_last_wins(spark, sf_dir):
     return dedup.last_wins(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"), ["conv_id"], "turn")
 
 
-@query(f"SELECT k.kind AS kind, CAST(count(p.page_id) AS BIGINT) AS n FROM (VALUES ('listing_page'), ('dataset_page'), ('documentation_page'), ('asset'), ('other'), ('never')) k(kind) LEFT JOIN (SELECT page_id, {_KIND} AS kind FROM ({_PATHED})) p USING (kind) GROUP BY k.kind")
+_STATES = "CASE WHEN page_id % 7 = 0 THEN 503 WHEN page_id % 7 = 1 THEN 404 ELSE 200 END"
+
+
+@query(f"""WITH p AS (SELECT page_id, {_KIND} AS kind, {_STATES} AS s FROM ({_PATHED}))
+SELECT kind, CAST(count(*) AS BIGINT) AS n FROM p GROUP BY kind UNION ALL SELECT 'total_urls', count(*) FROM p
+UNION ALL SELECT 'dead_links', count(*) FROM p WHERE s = 404 UNION ALL SELECT 'transient_links', count(*) FROM p WHERE s = 503""")
 def kind_counts(spark, sf_dir):
-    kinds = spark.createDataFrame([(k,) for k in ("listing_page", "dataset_page", "documentation_page", "asset", "other", "never")], "kind string")
-    counted = _made(spark, sf_dir).groupBy(U.resource_kind(F.col("url")).alias("kind")).agg(F.count("*").alias("n"))
-    return kinds.join(F.broadcast(counted), "kind", "left").select("kind", F.coalesce("n", F.lit(0)).alias("n"))
+    s = F.when(F.col("page_id") % 7 == 0, 503).when(F.col("page_id") % 7 == 1, 404).otherwise(200)
+    rows = _made(spark, sf_dir).select(U.resource_kind(F.col("url")).alias("resource_kind"), s.alias("http_status"), U.link_state(s).alias("link_state"))
+    return spark.createDataFrame(list(crawl.kind_counts(rows).items()), "kind string, n long")
 
 
-@query("SELECT sha1(string_agg(url, chr(10) ORDER BY url)) AS signature FROM (SELECT DISTINCT url FROM pages)")
+@query("""WITH u AS (SELECT DISTINCT url, sha1(url) AS h FROM pages)
+SELECT CAST(count(*) AS BIGINT) AS urls, bit_xor(CAST('0x' || substring(h, 1, 15) AS BIGINT)) AS first_bits, bit_xor(CAST('0x' || substring(h, 16, 15) AS BIGINT)) AS more_bits FROM u""")
 def signature(spark, sf_dir):
-    return table(spark, sf_dir, "pages").agg(F.sha1(F.array_join(F.array_sort(F.collect_set("url")), "\n").cast("binary")).alias("signature"))
+    return crawl.signature(table(spark, sf_dir, "pages"))
 
 
 @query(_bm25_sql(_DOCS, QUESTION, 5, columns="record_id, record_type, score, 'https://data.example/' || record_id AS source_url, record_id AS source_document"))
@@ -369,6 +378,39 @@ def _audited(spark, sf_dir) -> audit.Tables:
     return audit.Tables(manifest, datasets, documents, files)
 
 
+def _audited_whole(spark, sf_dir) -> audit.Tables:
+    """As ``_audited``, with the five optional tables: parts as variables, nations and regions as a graph."""
+    base = _audited(spark, sf_dir)
+    nation, customer, part, region = (table(spark, sf_dir, n) for n in ("nation", "customer", "part", "region"))
+    lit, text = F.lit, lambda c: c.cast("string")
+    url, path, sha = (lambda k: F.concat(lit("https://data.example/n"), text(k))), (lambda k: F.concat(lit("n"), text(k))), (lambda k: F.sha2(text(k).cast("binary"), 256))
+
+    def made(df, name, seq, **k):
+        k = {"page": lit(None).cast("int")} | k
+        return df.select(*(k.get(n, lit("")).alias(n) for n in TABLES[name].names), seq.cast("long").alias("seq"))
+
+    p = F.col("p_partkey")
+    n = p % 25
+    owner = F.when(p % 10 == 0, "NOWHERE").otherwise(F.concat(lit("NATION_"), text(n)))
+    where = F.when(p % 7 == 0, "no url").when(p % 7 == 1, F.concat(lit("https://data.example/lost"), text(p))).otherwise(url(n))
+    source = F.when(p % 9 == 0, "gone").when(p % 9 == 1, " ").otherwise(path(n))
+    chunk = F.when(p % 17 == 0, " ").otherwise("c")
+    variables = made(part, "variables", p, variable_id=F.when(p % 40 == 0, "VTWICE").when(p % 37 == 0, " ").otherwise(F.concat(lit("v"), text(p))), variable_name=F.when(p % 11 == 0, "").otherwise("x"),
+        dataset_id=owner, definition=F.when(p % 6 == 0, " ").otherwise("d"), chunk_id=chunk, source_url=where, source_document=source)
+    variable_edges = made(part, "variable_edges", p, source_id=owner, target_id=F.concat(lit("v"), text(p)), relationship=F.when(p % 12 == 0, "odd").otherwise("contains"), source_url=where, source_document=source, chunk_id=chunk)
+    c = F.col("c_custkey")
+    document_edges = made(customer, "document_edges", c, source_id=F.when(c % 10 == 0, "NOWHERE").otherwise(F.concat(lit("NATION_"), text(F.col("c_nationkey")))), target_id=F.when(c % 8 == 0, "LOST").otherwise(F.col("c_name")),
+        source_url=F.when(c % 5 == 0, "").when(c % 7 == 0, "no url").when(c % 7 == 1, "https://data.example/lost").otherwise(url(F.col("c_nationkey"))),
+        local_path=F.when(c % 9 == 0, "gone").when(c % 9 == 1, " ").otherwise(path(F.col("c_nationkey"))), sha256=F.when(c % 13 == 0, "bad").when(c % 13 == 1, " ").otherwise(sha(F.col("c_nationkey"))))
+    k, r = F.col("n_nationkey"), F.col("r_regionkey")
+    nodes = made(nation, "ontology_nodes", k, node_id=F.col("n_name"), node_class=lit("Dataset"), source_url=url(k), local_path=path(k), sha256=sha(k)).unionByName(
+        made(region, "ontology_nodes", r + 100, node_id=F.when(r == 4, "program_0").otherwise(F.concat(lit("program_"), text(r))), node_class=F.when(r == 3, "Thing").otherwise("Program"), source_url=url(r),
+            local_path=F.when(r == 1, "gone").when(r == 2, " ").otherwise(path(r)), sha256=F.when(r == 0, "bad").otherwise(sha(r))))
+    edges = made(nation, "ontology_edges", k, source_id=F.when(k % 6 == 0, "NOWHERE").otherwise(F.col("n_name")), target_id=F.concat(lit("program_"), text(F.col("n_regionkey"))),
+        source_url=F.when(k % 4 == 0, "").when(k % 4 == 1, "no url").otherwise(url(k)), local_path=F.when(k % 3 == 0, "").when(k % 3 == 1, "gone").otherwise(path(k)), sha256=F.when(k % 2 == 0, "").otherwise("bad"))
+    return audit.Tables(base.manifest, base.datasets, base.documents, base.files, document_edges, variables, variable_edges, nodes, edges)
+
+
 _AUDIT_SQL = """
 WITH d AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 50 = 0 THEN 'TWICE' WHEN c_custkey % 31 = 0 THEN ' ' ELSE c_name END AS id, CASE WHEN c_custkey % 10 = 0 THEN 'NOWHERE' ELSE 'NATION_' || c_nationkey END AS owner,
     CASE WHEN c_custkey % 7 = 0 THEN 'no url' WHEN c_custkey % 7 = 1 THEN 'lost' ELSE 'n' || c_nationkey END AS u, CASE WHEN c_custkey % 9 = 0 THEN 'gone' WHEN c_custkey % 9 = 1 THEN ' ' ELSE 'n' || c_nationkey END AS path,
@@ -395,16 +437,73 @@ def audit_verdict(spark, sf_dir):
     return audit.verdict(audit.findings(_audited(spark, sf_dir)))
 
 
-@query("""SELECT doc_id AS id, 'no document' AS problem FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 9 <> 0)
-UNION ALL SELECT o_orderkey, 'no customer' FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 11 <> 0)
-UNION ALL SELECT l_orderkey, 'no part' FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size < 45)""")
+_WHOLE_SQL = _AUDIT_SQL.replace("""
+  UNION ALL SELECT 'document_edges.csv', 'file_existence', 'warning')""", """),
+v AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 40 = 0 THEN 'VTWICE' WHEN p_partkey % 37 = 0 THEN ' ' ELSE 'v' || p_partkey END AS id FROM part),
+vok AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY k) AS r FROM v WHERE trim(id) <> ''),
+c AS (SELECT c_custkey AS k FROM customer), n AS (SELECT n_nationkey AS k, n_regionkey AS r FROM nation),
+w AS (
+  SELECT * FROM f
+  UNION ALL SELECT 'variables.csv', 'variable_id', 'error' FROM v WHERE trim(id) = ''
+  UNION ALL SELECT 'variables.csv', 'variable_id', 'error' FROM vok WHERE r > 1
+  UNION ALL SELECT 'variables.csv', 'dataset_id', 'error' FROM vok WHERE k % 10 = 0
+  UNION ALL SELECT 'variables.csv', 'variable_name', 'error' FROM vok WHERE k % 11 = 0
+  UNION ALL SELECT 'variables.csv', 'definition', 'warning' FROM vok WHERE k % 6 = 0
+  UNION ALL SELECT 'variables.csv', 'chunk_id', 'error' FROM vok WHERE k % 17 = 0
+  UNION ALL SELECT 'variables.csv', 'source_url', 'error' FROM vok WHERE k % 7 IN (0, 1)
+  UNION ALL SELECT 'variables.csv', 'source_document', 'error' FROM vok WHERE k % 9 IN (0, 1)
+  UNION ALL SELECT 'variable_edges.csv', 'source_id', 'error' FROM v WHERE k % 10 = 0
+  UNION ALL SELECT 'variable_edges.csv', 'target_id', 'error' FROM v WHERE k % 40 = 0 OR k % 37 = 0
+  UNION ALL SELECT 'variable_edges.csv', 'relationship', 'warning' FROM v WHERE k % 12 = 0
+  UNION ALL SELECT 'variable_edges.csv', 'source_url', 'error' FROM v WHERE k % 7 IN (0, 1)
+  UNION ALL SELECT 'variable_edges.csv', 'source_document', 'error' FROM v WHERE k % 9 IN (0, 1)
+  UNION ALL SELECT 'variable_edges.csv', 'chunk_id', 'error' FROM v WHERE k % 17 = 0
+  UNION ALL SELECT 'document_edges.csv', 'source_id', 'error' FROM c WHERE k % 10 = 0
+  UNION ALL SELECT 'document_edges.csv', 'target_id', 'error' FROM c WHERE k % 8 = 0 OR k % 50 = 0 OR k % 31 = 0
+  UNION ALL SELECT 'document_edges.csv', 'source_url', 'warning' FROM c WHERE k % 5 <> 0 AND k % 7 IN (0, 1)
+  UNION ALL SELECT 'document_edges.csv', 'local_path', 'warning' FROM c WHERE k % 9 = 0
+  UNION ALL SELECT 'document_edges.csv', 'sha256', 'warning' FROM c WHERE k % 9 > 1 AND k % 13 = 0
+  UNION ALL SELECT 'ontology_nodes.csv', 'node_class', 'error' FROM region WHERE r_regionkey = 3
+  UNION ALL SELECT 'ontology_nodes.csv', 'node_id', 'error' FROM region WHERE r_regionkey = 4
+  UNION ALL SELECT 'ontology_nodes.csv', 'local_path', 'error' FROM region WHERE r_regionkey IN (1, 2)
+  UNION ALL SELECT 'ontology_nodes.csv', 'sha256', 'error' FROM region WHERE r_regionkey = 0
+  UNION ALL SELECT 'ontology_edges.csv', 'source_id', 'error' FROM n WHERE k % 6 = 0
+  UNION ALL SELECT 'ontology_edges.csv', 'target_id', 'warning' FROM n WHERE r = 4
+  UNION ALL SELECT 'ontology_edges.csv', 'source_url', 'error' FROM n WHERE k % 4 = 1
+  UNION ALL SELECT 'ontology_edges.csv', 'local_path', 'error' FROM n WHERE k % 3 = 1
+  UNION ALL SELECT 'ontology_edges.csv', 'sha256', 'error' FROM n WHERE k % 3 = 2 AND k % 2 = 1)""")
+
+
+@query(_WHOLE_SQL + "\nSELECT file, field, severity, CAST(count(*) AS BIGINT) AS n FROM w GROUP BY 1, 2, 3")
+def audit_all_tables(spark, sf_dir):
+    return audit.findings(_audited_whole(spark, sf_dir)).groupBy("file", "field", "severity").agg(F.count("*").alias("n"))
+
+
+@query("""WITH w AS (SELECT p_partkey AS k FROM part) SELECT 'Line ' || (k + 2) AS item_id, 'Unexpected variable relationship: odd' AS message FROM w WHERE k % 12 = 0
+UNION ALL SELECT 'Line ' || (k + 2), 'Variable edge has empty chunk_id' FROM w WHERE k % 17 = 0""")
+def audit_edge_lines(spark, sf_dir):
+    """Findings on edges name the line of their file, which follows from seq; part keys and seq count from 0."""
+    t = _audited_whole(spark, sf_dir)
+    found = audit.findings(audit.Tables(t.manifest, t.datasets, t.documents, t.files, None, t.variables, t.variable_edges))
+    return found.filter((F.col("file") == "variable_edges.csv") & F.col("field").isin("relationship", "chunk_id")).select("item_id", "message")
+
+
+@query("""
+WITH l AS (SELECT doc_id AS id, CASE WHEN doc_id % 9 = 0 THEN -1 - doc_id ELSE doc_id END AS ref FROM labels),
+o AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 11 = 0 THEN -o_custkey ELSE o_custkey END AS ref FROM orders),
+i AS (SELECT l_orderkey AS id, CASE WHEN l_linenumber = 7 THEN -l_partkey ELSE l_partkey END AS ref FROM lineitem)
+SELECT id, 'no document' AS problem FROM l WHERE ref NOT IN (SELECT doc_id FROM documents)
+UNION ALL SELECT id, 'no customer' FROM o WHERE ref NOT IN (SELECT c_custkey FROM customer)
+UNION ALL SELECT id, 'no part' FROM i WHERE ref NOT IN (SELECT p_partkey FROM part)""")
 def dangling_references(spark, sf_dir):
-    """References into tables from which some rows are taken away."""
+    """References looked up in whole tables by the audit's own look-up; some references are altered to miss."""
     t = lambda n: table(spark, sf_dir, n)
-    out = t("labels").join(t("documents").filter("doc_id % 9 <> 0"), "doc_id", "left_anti").select(F.col("doc_id").alias("id"), F.lit("no document").alias("problem"))
-    orders = t("orders").join(t("customer").filter("c_custkey % 11 <> 0"), F.col("o_custkey") == F.col("c_custkey"), "left_anti").select(F.col("o_orderkey").alias("id"), F.lit("no customer").alias("problem"))
-    items = t("lineitem").join(t("part").filter("p_size < 45"), F.col("l_partkey") == F.col("p_partkey"), "left_anti").select(F.col("l_orderkey").alias("id"), F.lit("no part").alias("problem"))
-    return out.unionByName(orders).unionByName(items)
+    wrong = lambda key, ref, bad: F.when(bad, F.lit(-1) - F.col(ref) if key == ref else -F.col(ref)).otherwise(F.col(ref)).alias("ref")
+    lost = lambda rows, ids, problem: audit.known(rows, "ref", ids.toDF("_id").distinct(), "there").filter(~F.col("there")).select("id", F.lit(problem).alias("problem"))
+    out = lost(t("labels").select(F.col("doc_id").alias("id"), wrong("doc_id", "doc_id", F.col("doc_id") % 9 == 0)), t("documents").select("doc_id"), "no document")
+    orders = t("orders").select(F.col("o_orderkey").alias("id"), wrong("o_orderkey", "o_custkey", F.col("o_orderkey") % 11 == 0))
+    items = t("lineitem").select(F.col("l_orderkey").alias("id"), wrong("l_orderkey", "l_partkey", F.col("l_linenumber") == 7))
+    return out.unionByName(lost(orders, t("customer").select("c_custkey"), "no customer")).unionByName(lost(items, t("part").select("p_partkey"), "no part"))
 
 
 @query("""
@@ -456,6 +555,33 @@ def first_titles(spark, sf_dir):
     return dedup.merged(rows, "url", ["title"]).select("url", "title", "times", "seq")
 
 
+def _filled(df: DataFrame, kind: str, **made) -> DataFrame:
+    return df.select(*(made.get(n, F.lit("")).alias(n) for n in TABLES[kind].names))
+
+
+@query("""SELECT 'set-' || n_nationkey AS record_id, CASE WHEN n_nationkey % 3 = 0 THEN 'set-' || n_nationkey ELSE n_name END AS title,
+  concat_ws(' ', 'set-' || n_nationkey, CASE WHEN n_nationkey % 3 = 0 THEN 'set-' || n_nationkey ELSE n_name END, 'Region ' || n_regionkey, CASE WHEN n_nationkey % 2 = 1 THEN 'cat' END, 'note') AS text,
+  'set-' || n_nationkey || '|' || CASE WHEN n_nationkey % 3 = 0 THEN 'set-' || n_nationkey ELSE n_name END AS terms FROM nation""")
+def dataset_record_texts(spark, sf_dir):
+    k = F.col("n_nationkey")
+    made = {"dataset_id": F.concat(F.lit("set-"), k), "name": F.when(k % 3 == 0, "").otherwise(F.col("n_name")), "program": F.concat(F.lit("Region "), F.col("n_regionkey")), "category": F.when(k % 2 == 1, "cat").otherwise(""), "extraction_notes": F.lit("note"), "source_url": F.lit("https://data.example/n")}
+    return records.dataset_records(_filled(table(spark, sf_dir, "nation"), "datasets", **made)).select("record_id", "title", "text", F.array_join("exact_terms", "|").alias("terms"))
+
+
+@query("""SELECT 'doc-' || c_custkey AS record_id, CASE WHEN c_custkey % 4 = 0 THEN 'doc-' || c_custkey ELSE c_name END AS title, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE 'set' || c_nationkey END AS dataset_id,
+  concat_ws(' ', 'doc-' || c_custkey, CASE WHEN c_custkey % 5 <> 0 THEN 'set' || c_nationkey END, CASE WHEN c_custkey % 4 = 0 THEN 'doc-' || c_custkey ELSE c_name END, 'pdf', 'application/pdf', c_mktsegment) AS text FROM customer""")
+def document_record_texts(spark, sf_dir):
+    k = F.col("c_custkey")
+    made = {"document_id": F.concat(F.lit("doc-"), k), "dataset_id": F.when(k % 5 == 0, "").otherwise(F.concat(F.lit("set"), F.col("c_nationkey"))), "title": F.when(k % 4 == 0, "").otherwise(F.col("c_name")), "document_kind": F.lit("pdf"), "content_type": F.lit("application/pdf"), "extraction_notes": F.col("c_mktsegment"), "source_url": F.lit("https://data.example/d")}
+    return records.document_records(_filled(table(spark, sf_dir, "customer"), "documents", **made)).select("record_id", "title", "dataset_id", "text")
+
+
+@query("""SELECT conv_id || '__chunk_' || turn AS record_id, coalesce(text, '') AS text, CAST(turn AS INTEGER) AS page, conv_id || '__chunk_' || turn || '|' || coalesce(role, '') AS terms FROM conversations""")
+def chunk_record_texts(spark, sf_dir):
+    made = {"chunk_id": F.concat_ws("__chunk_", "conv_id", "turn"), "text": F.col("text"), "page": F.col("turn").cast("int"), "dataset": F.col("role"), "url": F.lit("https://data.example/c")}
+    return records.chunk_records(_filled(table(spark, sf_dir, "conversations"), "chunks", **made)).select("record_id", "text", "page", F.array_join("exact_terms", "|").alias("terms"))
+
+
 @query("""SELECT 'variable-' || p_partkey AS record_id, 'variable-' || p_partkey || ' PART_' || p_partkey || ' parts ' || p_name || ' ' || p_brand || ' b 1995' AS text, p_size AS page,
   'variable-' || p_partkey || '|PART_' || p_partkey || '|parts' AS terms FROM part""")
 def variable_record_texts(spark, sf_dir):
@@ -471,3 +597,112 @@ def trusted_manifest(spark, sf_dir):
     sha = F.when(e % 5 == 0, "").otherwise(F.sha2(e.cast("string").cast("binary"), 256))
     rows = table(spark, sf_dir, "events").select(F.concat(F.lit("u"), u).alias("url"), F.concat(F.lit("p"), u % 3).alias("local_path"), sha.alias("sha256"), F.when(F.col("event_type") == "error", "failed").otherwise("archived").alias("archive_state"), e.alias("seq"))
     return archive.trusted(rows).select("url", "local_path", "sha256")
+
+
+_SITE = "https://data.example/cms-data/files/Set_"
+
+
+def _manifest(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """A manifest and its files, by page id: dataset pages, documentation pages, and assets with and without a page of their own."""
+    k = F.col("page_id")
+    t = lambda c: c.cast("string")
+    kind = F.when(k % 4 == 0, "dataset_page").when(k % 4 == 1, "documentation_page").otherwise("asset")
+    url = (
+        F.when(k % 4 == 0, F.concat(F.lit(_SITE), t(k % 13), F.lit("/page"), t(k))).when(k % 4 == 1, F.concat(F.lit(_SITE), t(k % 17), F.lit("/doc"), t(k), F.lit("/data-documentation")))
+        .when(k % 4 == 2, F.concat(F.lit("https://data.example/f/doc"), t(k), F.lit(".pdf"))).otherwise(F.concat(F.lit("https://data.example/f/tab"), t(k), F.lit(".xlsx")))
+    )
+    field = lambda c, v: F.concat(F.lit(f'<div class="{c}"><div class="field-content">'), v, F.lit("</div></div>"))
+    page = F.concat(F.lit("<title>Set"), t(k), F.lit(H.TITLE_END), F.lit("</title>"), field("views-field-field-program-type", F.when(k % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("Program "), t(k % 3)))),
+        field("views-field-field-availability", F.lit("Years &amp; more")), F.lit('<a href="/f/doc'), t(k + 2), F.lit('.pdf">d</a><a href="/cms-data/files/Set_'), t(k * 3 % 13), F.lit('/x">x</a>'))
+    body = F.encode(F.when(k % 4 == 0, page).when(k % 4 == 1, F.concat(F.lit("<h1>Docs "), t(k), F.lit("</h1>"))).otherwise(F.concat(F.lit("%PDF"), t(k))), "UTF-8")
+    rows = table(spark, sf_dir, "pages").select(
+        url.alias("url"), kind.alias("resource_kind"), F.when(k % 4 == 2, "pdf").when(k % 4 == 3, "xlsx").otherwise("").alias("asset_kind"), F.when(k % 4 == 3, F.concat(F.lit(_SITE), t(k % 13), F.lit("/x"))).otherwise("https://data.example/cms-data?page=0").alias("source_url"),
+        F.concat(F.lit("Linked "), t(k)).alias("source_title"), F.when(k % 4 < 2, "text/html").otherwise("application/x").alias("content_type"), F.lit(200).alias("http_status"),
+        F.when(k % 11 == 5, "failed").otherwise("archived").alias("archive_state"), F.lit("").alias("downloaded_at_utc"), F.when(k % 8 == 7, "bad").otherwise(F.sha2(body, 256)).alias("sha256"),
+        F.when(k % 16 == 10, "").otherwise(F.concat(F.lit("f"), t(k))).alias("local_path"), F.lit("").alias("error"), k.cast("long").alias("seq"), body.alias("content"),
+    )
+    files = rows.filter(k % 16 != 14).select(F.concat(F.lit("f"), t(F.col("seq"))).alias("local_path"), "content", F.sha2("content", 256).alias("sha256"))
+    return rows.drop("content"), files
+
+
+_EXTRACT_SQL = f"""
+WITH p AS (SELECT page_id AS k FROM pages WHERE page_id % 11 <> 5),
+ok AS (SELECT k FROM p WHERE k % 8 <> 7 AND k % 16 NOT IN (10, 14)),
+sets AS (SELECT DISTINCT 'set-' || (k % 13) AS id FROM ok WHERE k % 4 = 0),
+docs AS (
+  SELECT k, 'set-' || (k % 17) AS owner, 'data-documentation' AS suffix, '{_SITE}' || (k % 17) || '/doc' || k || '/data-documentation' AS url, 'html' AS kind, 'Docs ' || k AS title FROM ok WHERE k % 4 = 1
+  UNION ALL SELECT a.k, 'set-' || (b.k % 13), 'doc' || a.k || '_pdf', 'https://data.example/f/doc' || a.k || '.pdf', 'pdf', 'Linked ' || a.k FROM ok a LEFT JOIN ok b ON b.k = a.k - 2 WHERE a.k % 4 = 2
+  UNION ALL SELECT k, 'set-' || (k % 13), 'tab' || k || '_xlsx', 'https://data.example/f/tab' || k || '.xlsx', 'xlsx', 'Linked ' || k FROM ok WHERE k % 4 = 3),
+found AS (SELECT *, owner || '__' || suffix || '__' || substring(sha1(url), 1, 10) AS id FROM docs WHERE owner IN (SELECT id FROM sets))"""
+
+
+def _extraction(spark, sf_dir) -> extract.Extraction:
+    return extract.extract(*_manifest(spark, sf_dir))
+
+
+@query(_EXTRACT_SQL + " SELECT id AS document_id, owner AS dataset_id, title, kind AS document_kind, url AS source_url, 'f' || k AS local_path FROM found")
+def extracted_documents(spark, sf_dir):
+    return _extraction(spark, sf_dir).documents.select("document_id", "dataset_id", "title", "document_kind", "source_url", "local_path")
+
+
+@query(_EXTRACT_SQL + """, last AS (SELECT 'set-' || (k % 13) AS id, max(k) AS k FROM ok WHERE k % 4 = 0 GROUP BY 1)
+SELECT id AS dataset_id, 'Set' || k AS name, CASE WHEN k % 3 = 0 THEN '' ELSE 'Program ' || (k % 3) END AS program, '' AS category, 'Years & more' AS availability FROM last""")
+def extracted_datasets(spark, sf_dir):
+    return _extraction(spark, sf_dir).datasets.select("dataset_id", "name", "program", "category", "availability")
+
+
+@query(_EXTRACT_SQL + """
+SELECT 'has_document' AS relationship, owner AS source_id, id AS target_id, CAST(1 AS BIGINT) AS n FROM found
+UNION ALL SELECT 'belongs_to', 'set-' || (k % 13), 'program_program-' || (k % 3), count(*) FROM ok WHERE k % 4 = 0 AND k % 3 <> 0 GROUP BY 2, 3
+UNION ALL SELECT 'related_to', 'set-' || (k % 13), 'set-' || (k * 3 % 13), count(*) FROM ok WHERE k % 4 = 0 AND k % 13 <> k * 3 % 13 GROUP BY 2, 3""")
+def extracted_edges(spark, sf_dir):
+    e = _extraction(spark, sf_dir)
+    names = ["relationship", "source_id", "target_id"]
+    return e.document_edges.select(*names).unionByName(e.ontology_edges.select(*names)).groupBy(*names).agg(F.count("*").alias("n"))
+
+
+@query(_EXTRACT_SQL + """, own AS (SELECT id, max(k) AS k FROM (SELECT 'set-' || (k % 13) AS id, k FROM ok WHERE k % 4 = 0) GROUP BY id)
+SELECT id AS node_id, 'Dataset' AS node_class, 'Set' || k AS name FROM own
+UNION ALL SELECT DISTINCT 'program_program-' || (k % 3), 'Program', 'Program ' || (k % 3) FROM ok WHERE k % 4 = 0 AND k % 3 <> 0""")
+def extracted_nodes(spark, sf_dir):
+    return _extraction(spark, sf_dir).ontology_nodes.select("node_id", "node_class", "name")
+
+
+@query(_EXTRACT_SQL + """, why AS (
+  SELECT CASE WHEN k % 16 = 10 THEN 'archived row has no local path' WHEN k % 16 = 14 THEN 'archived file does not exist' ELSE 'checksum mismatch' END AS reason FROM p WHERE k NOT IN (SELECT k FROM ok)
+  UNION ALL SELECT CASE WHEN owner IS NULL THEN 'document source is not linked to a dataset page' ELSE 'document references missing dataset' END FROM docs WHERE owner IS NULL OR owner NOT IN (SELECT id FROM sets))
+SELECT reason, CAST(count(*) AS BIGINT) AS n FROM why GROUP BY reason""")
+def extraction_failures(spark, sf_dir):
+    return _extraction(spark, sf_dir).failures.groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def _answered(url: str) -> Answer:
+    """A site without a network: two of nine numbers fail, one by status and one by an empty body."""
+    n = int(url.rsplit("/p", 1)[1].split(".")[0])
+    if n % 9 == 1:
+        return Answer(url, 500, "text/plain", b"oops", "HTTP 500")
+    return Answer(url, 200, "application/pdf", b"" if n % 9 == 2 else f"body of {url}".encode())
+
+
+_ARCHIVE_URL = "CASE WHEN page_id % 6 = 0 THEN 'http://10.0.0.1/p' ELSE 'https://198.41.0.4/p' END || page_id || '.pdf'"
+
+
+@query(f"""WITH p AS (SELECT page_id AS k, {_ARCHIVE_URL} AS url FROM pages),
+s AS (SELECT *, CASE WHEN k % 5 = 4 OR k % 7 = 0 THEN 'skipped' WHEN k % 6 = 0 THEN 'refused' WHEN k % 8 = 5 THEN 'reused' WHEN k % 9 IN (1, 2) THEN 'failed' ELSE 'stored' END AS s FROM p)
+SELECT url, CASE WHEN s IN ('reused', 'stored') THEN 'archived' WHEN s = 'refused' THEN 'failed' ELSE s END AS archive_state, CASE WHEN s IN ('reused', 'stored') THEN sha256('body of ' || url) ELSE '' END AS sha256,
+  CASE WHEN s IN ('reused', 'stored') THEN 'raw/assets/pdf/' || sha1(url) || '.pdf' ELSE '' END AS local_path,
+  CAST(CASE WHEN s = 'skipped' AND k % 7 = 0 THEN 404 WHEN s = 'failed' AND k % 9 = 1 THEN 500 ELSE 200 END AS INTEGER) AS http_status,
+  CASE WHEN s = 'skipped' THEN '{archive.SKIPPED}' WHEN s = 'refused' THEN '{U.PRIVATE}' WHEN s = 'failed' AND k % 9 = 1 THEN 'HTTP 500' WHEN s = 'failed' THEN '{archive.EMPTY}' ELSE '' END AS error FROM s""")
+def archive_states(spark, sf_dir):
+    """Skipped, refused, reused (vouched for by an earlier manifest and still whole), fetched and failed rows."""
+    k = F.col("page_id")
+    url = F.concat(F.when(k % 6 == 0, "http://10.0.0.1/p").otherwise("https://198.41.0.4/p"), k.cast("string"), F.lit(".pdf"))
+    status = F.when(k % 7 == 0, 404).otherwise(200)
+    made = {"url": url, "resource_kind": F.when(k % 5 == 4, "other").otherwise("asset"), "asset_kind": F.lit("pdf"), "http_status": status, "link_state": U.link_state(status), "linked_documents": F.lit(0)}
+    pages = table(spark, sf_dir, "pages")
+    rows = pages.select(*(made.get(n, F.lit("")).alias(n) for n in TABLES["inventory"].names), k.alias("seq"))
+    held = pages.filter(k % 4 == 1).select("page_id", url.alias("url")).withColumn("local_path", F.concat(F.lit("raw/assets/pdf/"), F.sha1("url"), F.lit(".pdf"))).withColumn("sha256", F.sha2(F.concat(F.lit("body of "), F.col("url")).cast("binary"), 256))
+    before = held.select(*({"archive_state": F.lit("archived"), "http_status": F.lit(200)}.get(n, F.col(n) if n in ("url", "local_path", "sha256") else F.lit("")).alias(n) for n in TABLES["manifest"].names), k.alias("seq"))
+    files = held.select("local_path", F.when(k % 8 == 1, "changed").otherwise(F.col("sha256")).alias("sha256"), F.lit(9).alias("size"))
+    found = archive.archive(rows, "raw", before, files, _answered, lambda path, body: sha256(body).hexdigest())
+    return found.select("url", "archive_state", "sha256", "local_path", "http_status", "error")

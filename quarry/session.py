@@ -11,7 +11,7 @@ def local_session(cores: str | int = "*", partitions: int = 8, memory: str = "4g
     builder = SparkSession.builder.master(f"local[{cores}]").appName("quarry")
     settings = {
         "spark.sql.shuffle.partitions": str(partitions), "spark.sql.adaptive.enabled": "true", "spark.sql.session.timeZone": "UTC", "spark.ui.enabled": "false",
-        "spark.ui.showConsoleProgress": "false", "spark.driver.memory": memory, "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.ui.showConsoleProgress": "false", "spark.cleaner.referenceTracking.cleanCheckpoints": "true", "spark.driver.memory": memory, "spark.sql.execution.arrow.pyspark.enabled": "true",
         # Python workers import this package from where the driver did.
         "spark.executorEnv.PYTHONPATH": os.pathsep.join([os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.environ.get("PYTHONPATH", "")]),
     } | conf

@@ -7,7 +7,7 @@ import shutil
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,8 +24,9 @@ def with_seq(df: DataFrame) -> DataFrame:
 def read_csv(spark: SparkSession, name: str, path: str) -> DataFrame:
     """A table by its name in ``TABLES``, with ``seq``.
 
-    ValueError names missing columns and, where a column has a fixed domain, the
-    first values outside it; columns that the table does not know are ignored.
+    ValueError names missing columns and, where a column has a fixed domain or is
+    of whole numbers, the first values outside it; columns that the table does not
+    know are ignored.
     """
     schema = TABLES[name]
     raw = spark.read.options(**CSV).csv(path)
@@ -42,6 +43,11 @@ def read_csv(spark: SparkSession, name: str, path: str) -> DataFrame:
         number = F.expr(f"try_cast(nullif(trim(`{f.name}`), '') AS INT)")
         return F.coalesce(number, F.lit(0)) if f.name == "linked_documents" else number
 
+    for f in schema:
+        if f.name in INTEGERS & set(raw.columns):
+            text = F.trim(F.coalesce(F.col(f.name), F.lit("")))
+            if bad := raw.filter((text != "") & F.expr(f"try_cast(trim(`{f.name}`) AS INT)").isNull()).select(f.name).distinct().take(3):
+                raise ValueError(f"{path}: {f.name} must be a whole number, not {', '.join(repr(r[0]) for r in bad)}")
     df = with_seq(raw).select(*(value(f).alias(f.name) for f in schema), "seq")
     for (table, column), allowed in DOMAINS.items():
         if table == name and (bad := df.filter(~F.col(column).isin(*allowed)).select(column).distinct().take(3)):
@@ -49,15 +55,37 @@ def read_csv(spark: SparkSession, name: str, path: str) -> DataFrame:
     return df
 
 
+def _one_file(parts: DataFrameWriter, path: str, kind: str, head: str = "") -> None:
+    """What a writer writes in parallel, as one file at ``path``: parts are streamed together, in order."""
+    spark = SparkSession.getActiveSession()
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder, whole, target = (jvm.org.apache.hadoop.fs.Path(x) for x in (f"{path}.parts", f"{path}.whole", path))
+    fs = target.getFileSystem(conf)
+    getattr(parts.mode("overwrite"), kind)(str(folder))
+    out = fs.create(whole, True)
+    try:
+        out.write(bytearray(head.encode()))
+        for name in sorted(f.getPath().getName() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")):
+            held = fs.open(jvm.org.apache.hadoop.fs.Path(folder, name))
+            jvm.org.apache.hadoop.io.IOUtils.copyBytes(held, out, 1 << 20, False)
+            held.close()
+    finally:
+        out.close()
+    fs.delete(target, True)
+    fs.rename(whole, target)
+    fs.delete(folder, True)
+
+
 def write_csv(df: DataFrame, name: str, path: str) -> None:
-    """Columns in the table's order, NULL as the empty text; one file, as its readers expect.
+    """A file with the table's columns in order, NULL as the empty text.
 
-    Rows go in order of ``seq`` where they have one.
+    Rows go in order of ``seq`` where they have one.  Tasks write parts, and the
+    file appears when it is whole.
     """
     schema = TABLES[name]
     ordered = df.orderBy("seq") if "seq" in df.columns else df
     text = [F.coalesce(F.col(f.name).cast("string"), F.lit("")).alias(f.name) for f in schema]
-    ordered.select(*text).coalesce(1).write.mode("overwrite").options(header="true", escape='"', emptyValue="").csv(path)
+    _one_file(ordered.select(*text).write.options(header="false", escape='"', emptyValue=""), path, "csv", ",".join(schema.names) + "\n")
 
 
 def _line_numbers(few: DataFrame, lines: DataFrame) -> DataFrame:
@@ -94,8 +122,8 @@ def read_chunks(spark: SparkSession, path: str, strict: bool = False) -> tuple[D
 
 
 def write_chunks(chunks: DataFrame, path: str) -> None:
-    """JSON lines, NULL pages kept."""
-    chunks.select(*TABLES["chunks"].names).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    """A file of JSON lines, NULL pages kept, in the order of ``chunks``."""
+    _one_file(chunks.select(*TABLES["chunks"].names).write.option("ignoreNullFields", "false"), path, "json")
 
 
 def pretty_json(names: list[str]) -> Column:

@@ -42,8 +42,20 @@ def test_phases_in_a_row(spark, folder, capsys):
     assert run("context", "beneficiary", "--limit", "1") == 0
     assert len(json.loads(capsys.readouterr().out)["results"]) == 1
     assert run("search", " ") == 1
+    assert run("search") == 1 and run("search", "a", "--query", "b") == 1
+    capsys.readouterr()
+    elsewhere = folder / "elsewhere.csv"
+    elsewhere.write_bytes((folder / "data/metadata/variables.csv").read_bytes())
+    (folder / "data/metadata/variables.csv").unlink()
+    assert run("search", "--query", "BENE_ID", "--variables-metadata", str(elsewhere), "--json") == 0
+    assert json.loads(capsys.readouterr().out)[0]["record_id"] == "pde__var__bene-id"
+    assert (folder / "data/metadata/datasets.csv").is_file() and (folder / "data/parsed/chunks.jsonl").is_file() and (folder / "_workspace/06_qa_findings.csv").is_file()
     assert run("parse", "--chunk-size", "0") == 1
 
 
 def test_aliases_of_flags():
     assert parser().parse_args(["inventory", "--base-url", "x", "--max-listing-pages", "3"]).max_pages == 3
+    a = parser().parse_args(["inventory", "--base-url", "x", "--timeout-seconds", "3", "--request-delay-seconds", "0", "--progress-interval", "0", "--output", "o.csv", "--workspace-dir", "w"])
+    assert (a.timeout, a.delay, a.progress, str(a.inventory), str(a.workspace)) == (3.0, 0.0, 0, "o.csv", "w")
+    a = parser().parse_args(["archive", "--timeout-seconds", "3", "--request-delay-seconds", "1", "--manifest-output", "m.csv", "--raw-root", "r"])
+    assert (a.timeout, a.delay, str(a.manifest), str(a.raw)) == (3.0, 1.0, "m.csv", "r")

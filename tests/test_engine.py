@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from quarry import lineage
 from quarry.functions.html import TITLE_END
 from quarry.operators import dedup, records, search, variables
 from quarry.plans import archive, audit, context, crawl, extract, parse, summaries
@@ -19,6 +20,7 @@ from quarry.schemas import TABLES
 from quarry.sources import files as S
 from quarry.sources import tables as T
 from quarry.sources import web
+from quarry.streaming import chunks as stream
 
 SHA = lambda b: hashlib.sha256(b).hexdigest()
 
@@ -111,6 +113,7 @@ def test_bad_chunk_lines(spark, tmp_path):
 def test_csv_round_trip_and_checks(spark, tmp_path):
     rows = make(spark, "inventory", {"url": 'a"b,\nc', "title": "", "resource_kind": "asset", "link_state": "live", "http_status": 200, "linked_documents": 1}, {"url": "u", "resource_kind": "other", "link_state": "dead"})
     T.write_csv(rows, "inventory", str(tmp_path / "i.csv"))
+    assert (tmp_path / "i.csv").is_file() and [p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")] == ["i.csv"]
     back = T.read_csv(spark, "inventory", str(tmp_path / "i.csv")).orderBy("seq").collect()
     assert [(r["url"], r["title"], r["http_status"], r["linked_documents"]) for r in back] == [('a"b,\nc', "", 200, 1), ("u", "", None, 0)]
     (tmp_path / "bad.csv").write_text("url,title\nx,y\n")
@@ -121,6 +124,40 @@ def test_csv_round_trip_and_checks(spark, tmp_path):
         T.read_csv(spark, "inventory", str(tmp_path / "odd.csv"))
 
 
+def test_whole_numbers_are_checked(spark, tmp_path):
+    head = ",".join(TABLES["inventory"].names)
+    (tmp_path / "n.csv").write_text(f"{head}\nu,t,other,,,2x0,live,1,,\n")
+    with pytest.raises(ValueError, match="http_status must be a whole number, not '2x0'"):
+        T.read_csv(spark, "inventory", str(tmp_path / "n.csv"))
+
+
+def test_sinks_are_files_in_order(spark, tmp_path):
+    many = spark.range(500).select(*(F.concat(F.lit(n), F.col("id").cast("string")).alias(n) if n not in ("page",) else F.lit(None).cast("int").alias(n) for n in TABLES["chunks"].names), F.col("id").alias("k"))
+    path = tmp_path / "c.jsonl"
+    T.write_chunks(many.repartition(7).orderBy("k"), str(path))
+    assert path.is_file() and [json.loads(x)["chunk_id"] for x in path.read_text().splitlines()] == [f"chunk_id{i}" for i in range(500)]
+    T.write_csv(make(spark, "datasets"), "datasets", str(tmp_path / "none.csv"))
+    assert (tmp_path / "none.csv").read_text() == ",".join(TABLES["datasets"].names) + "\n"
+    T.write_csv(make(spark, "datasets", {"dataset_id": "x"}), "datasets", str(tmp_path / "none.csv"))  # over what was there
+    assert T.read_csv(spark, "datasets", str(tmp_path / "none.csv")).count() == 1
+
+
+def test_a_cluster_must_name_its_shared_folder(spark):
+    class Context:
+        master = "spark://somewhere:7077"
+        getCheckpointDir = staticmethod(lambda: None)  # noqa: N815
+
+        class getConf:  # noqa: N801
+            get = staticmethod(lambda key: None)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        lineage.shared_folder(type("Session", (), {"sparkContext": Context})())
+    Context.master = "local-cluster[2,1,1024]"
+    with pytest.raises(RuntimeError):
+        lineage.shared_folder(type("Session", (), {"sparkContext": Context})())
+    assert lineage.shared_folder(spark)
+
+
 PAGE = b"<title>Part D Event" + TITLE_END.encode() + b"""</title></head><body>
 <div class="views-field views-field-field-program-type"><div class="field-content"> Medicare </div></div>
 <a href="/cms-data/files/cmds-entity">x</a><a href="/cms-data/files/cmds-entity">y</a><a href="/f/Codes.PDF">codes</a></body></html>"""
@@ -172,6 +209,14 @@ def pdf(flate: bool = False) -> bytes:
     return body
 
 
+def test_extraction_parses_each_page_once(spark):
+    found = extract.extract(make(spark, "manifest", {"url": "https://ex.org/cms-data/files/a", "resource_kind": "dataset_page", "archive_state": "archived", "content_type": "text/html", "local_path": "a", "sha256": SHA(b"<title>A - Site</title>")}), files_of(spark, a=b"<title>A - Site</title>"), " - Site")
+    for name in ("datasets", "documents", "document_edges", "ontology_nodes", "ontology_edges", "failures"):
+        plan = getattr(found, name)._jdf.queryExecution().executedPlan().toString()
+        assert "page(" not in plan and "content#" not in plan, name
+    assert found.datasets.first()["name"] == "A"
+
+
 def test_readers_of_files():
     assert S.xlsx_sheets(workbook()) == [(1, "shared\tin\t9"), (2, "ten")]
     for flate in (False, True):
@@ -244,6 +289,17 @@ def test_audit_duplicates_and_empty_tables(spark):
     assert {"dataset_count", "document_count"} <= {f[2] for f in found} and word == "redo"
 
 
+def test_a_key_that_repeats_without_end(spark):
+    rows = [{"dataset_id": "same", "source_url": "https://ex.org/a", "local_path": "a", "sha256": SHA(b"x")}] * 300 + [{"dataset_id": "other", "source_url": "https://ex.org/a", "local_path": "a", "sha256": SHA(b"x")}]
+    marked = audit._occurrence(make(spark, "datasets", *rows), "dataset_id").select("dataset_id", "seq", "_again").collect()
+    assert len(marked) == 301 and [(r["dataset_id"], r["seq"]) for r in marked if not r["_again"]] in ([("same", 0), ("other", 300)], [("other", 300), ("same", 0)])
+
+
+def test_reports_show_bounded_rows(spark):
+    lines = summaries.rows_table(spark.range(40).selectExpr("id AS url"), ["url"], 25)
+    assert len(lines) == 2 + 25 + 1 and "15" in lines[-1]
+
+
 def test_many_errors_mean_redo(spark):
     found, word = audited(spark, ontology_nodes=[{"node_id": f"n{i}", "node_class": "Dataset", "source_url": "https://ex.org/d", "local_path": "h", "sha256": "bad"} for i in range(6)])
     assert len(found) == 6 and word == "redo"
@@ -296,6 +352,16 @@ def test_archive(spark, tmp_path):
     def never(url):
         raise AssertionError(url)
 
+    log = tmp_path / "downloads.log"
+
+    def noted(url):
+        with open(log, "a") as f:
+            f.write(url + "\n")
+        return web.Answer(url, 200, "text/html", b"body")
+
+    kept = archive.archive(inv.limit(2), str(tmp_path / "twice"), download=noted)
+    assert kept.count() == 2 and len(kept.collect()) == 2 and len(log.read_text().split()) == 2  # asked twice, fetched once
+    log.unlink()
     again = archive.archive(inv.limit(2), str(tmp_path), make(spark, "manifest", *[r.asDict() for r in first[:2]]), S.read_files(spark, str(tmp_path)), download=never).collect()
     assert [(r["archive_state"], r["sha256"]) for r in again] == [("archived", SHA(b"body"))] * 2
 
@@ -359,3 +425,13 @@ def test_streamed_chunks_equal_batch_chunks(spark, tmp_path):
     C.append_chunks(C.text_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "state"))
     got = spark.read.parquet(str(tmp_path / "out")).orderBy("chunk_id").collect()
     assert [r["text"] for r in got] == chunks_of("word " * 300) and {r["document_id"] for r in got} == {"a"}
+
+
+def test_streamed_variables_equal_batch_variables(spark, tmp_path):
+    rows = [{"chunk_id": f"c{i}", "source_document": "d", "dataset": "mbsf", "url": "https://ex.org/b", "text": t} for i, t in enumerate(("BENE_ID: short one, 1999", "see\nBENE_ID - a much longer definition of it, aka bid", "CLM_NO means claim number.\nBENE_ID is late", "OTHER_NAME only stands here"))]
+    chunks = make(spark, "chunks", *rows)
+    for at, n in ((0, 2), (2, 4)):
+        chunks.filter(f"seq >= {at} and seq < {n}").select(*TABLES["chunks"].names, "seq").write.mode("append").parquet(str(tmp_path / "in"))
+        stream.append_candidates(stream.chunk_rows(spark, str(tmp_path / "in"), 1), str(tmp_path / "out"), str(tmp_path / "at"))
+    got = sorted(map(tuple, stream.variables_so_far(spark, str(tmp_path / "out")).collect()), key=repr)
+    assert got == sorted(map(tuple, variables.extract_variables(chunks)[0].collect()), key=repr) and len(got) == 2

@@ -120,6 +120,8 @@ def test_chunk_limits():
     assert chunking.chunks_of(" \n ") == [] and chunking.chunks_of("short") == ["short"]
     got = chunking.chunks_of("This is a sentence that is fifty characters long..", 20, 5)
     assert got[0] == "This is a sentence" and all(len(c) <= 20 for c in got)
+    assert list(chunking.bounds("", 5, 1)) == [] and list(chunking.bounds("abcdefghij", 4, 1)) == [(0, 4), (3, 7), (6, 10)]
+    assert list(chunking.bounds("ab cd ef gh", 5, 3)) == [(0, 2), (3, 5), (6, 11)]
 
 
 @settings(max_examples=200, deadline=None, suppress_health_check=list(HealthCheck))
