@@ -261,7 +261,7 @@ def page_links(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.posexplode(H.page("html")["hrefs"]).alias("link_no", "href"))
 
 
-@query(r"SELECT page_id, trim(regexp_replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '\s+', ' ', 'g')) AS title FROM pages")
+@query(r"""SELECT page_id, replace(replace(replace(replace(trim(regexp_replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '\s+', ' ', 'g')), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS title FROM pages""")
 def page_titles(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", H.page("html")["title"].alias("title"))
 
