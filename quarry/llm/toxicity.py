@@ -46,7 +46,7 @@ THRESHOLD = 0.7
 K, BLOCK, SMOOTH, STEM = 10, 32, 2.0, 5
 CACHE = 100_000
 GRAIN = 1 << 16  # steps of a weight in a list
-DENSE, FREQUENT, TOGETHER = 20, 50, 64  # a term in more than one example of DENSE has a dense column, of FREQUENT range maxima
+DENSE, FREQUENT, TOGETHER = 20, 50, 256  # a term in more than one example of DENSE has a dense column, of FREQUENT range maxima
 
 Part = tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, np.ndarray, np.ndarray]
 
@@ -177,13 +177,14 @@ class Index:
             out += [self._nearest(term, weight, near, k) for near, (term, weight) in zip(left @ self.dense, some)]
         return out
 
-    def _listed(self, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        """What the lists of some terms add to each example, with weights rounded up."""
+    def _add(self, sums: np.ndarray, term: np.ndarray, weight: np.ndarray) -> None:
+        """Add what the lists of some terms hold for each example, with weights rounded up."""
         a, z = self.starts[term], self.starts[term + 1]
         cells = np.concatenate([self.lists[i:j] for i, j in zip(a.tolist(), z.tolist())] or [self.lists[:0]])
-        share = np.repeat(weight.astype(np.float32), z - a)
+        share = np.repeat((weight / (GRAIN - 1)).astype(np.float32), z - a)
         share *= cells & cells.dtype.type(GRAIN - 1)
-        return np.bincount(cells >> cells.dtype.type(16), share, len(self)).astype(np.float32) * np.float32(1 / (GRAIN - 1))
+        cells >>= cells.dtype.type(16)
+        np.add(sums, np.bincount(cells, share, len(sums)), out=sums, casting="unsafe")
 
     def _nearest(self, term: np.ndarray, weight: np.ndarray, sums: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """``sums``: what the terms with dense columns add."""
@@ -193,28 +194,31 @@ class Index:
         # Sums are too large by the rounding up of weights, and off by some units of single precision.
         off = weight.sum() / (GRAIN - 1) + (len(term) + 16) * 2.0**-23
         # The k-th largest of the range maxima is at most the k-th largest of all.
-        floor = lambda: float(np.partition(np.maximum.reduceat(sums, self.ranges), -k)[-k]) - off if len(self.ranges) >= k else 0.0
+        floor = lambda tops: float(np.partition(tops, -k)[-k]) - off if len(tops) >= k else 0.0
         column = self.column[term]
-        sums += self._listed(term[column == -1], weight[column == -1])
+        self._add(sums, term[column == -1], weight[column == -1])
+        tops = np.maximum.reduceat(sums, self.ranges)
         ranged = np.flatnonzero(column < -1)
         share = weight[ranged] * self.most[term[ranged]]
         order = np.argsort(-share, kind="stable")
         ranged, share = ranged[order], share[order]
         left = np.append(np.cumsum(share[::-1])[::-1], 0.0)  # what the terms from each on can add at most
-        take = int(np.argmax(left <= max(0.0, floor() / 8)))
+        take = int(np.argmax(left <= max(0.0, floor(tops) / 8)))
         if take:
-            sums += self._listed(term[ranged[:take]], weight[ranged[:take]])
-        rest, least = ranged[take:], floor()
-        bound = np.maximum.reduceat(sums, self.ranges) + weight[rest].astype(np.float32) @ self.maxima[-2 - column[rest]] + off
+            self._add(sums, term[ranged[:take]], weight[ranged[:take]])
+            tops = np.maximum.reduceat(sums, self.ranges)
+        rest, least = ranged[take:], floor(tops)
+        bound = tops + weight[rest].astype(np.float32) @ self.maxima[-2 - column[rest]] + off
         far = np.flatnonzero(bound >= least) if least > 0 else np.flatnonzero(bound > off)
         rows = (self.ranges[far][:, None] + np.arange(BLOCK)).ravel()
         rows = rows[rows < n]
         rows = rows[sums[rows] + left[take] + off >= least]
         m = self.cuts[rows + 1] - self.cuts[rows]
         cell = np.repeat(self.cuts[rows + 1] - np.cumsum(m), m) + np.arange(m.sum())
-        self.full[term] = weight
-        here = self.term[cell]
-        sims = np.bincount(np.repeat(np.arange(len(rows)), m), self.full[here] * self.idf[here] * (1 + np.log(self.count[cell])), len(rows)) / self.norm[rows]
+        self.full[term] = weight * self.idf[term]
+        part = self.full[self.term[cell]]
+        own = np.flatnonzero(part)
+        sims = np.bincount(np.repeat(np.arange(len(rows)), m)[own], part[own] * (1 + np.log(self.count[cell[own]])), len(rows)) / self.norm[rows]
         self.full[term] = 0
         rows, sims = rows[sims > 0], sims[sims > 0]
         order = np.lexsort((rows, -np.round(sims, 12)))[:k]
