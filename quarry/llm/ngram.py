@@ -34,7 +34,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from quarry.lineage import cut
@@ -109,7 +109,7 @@ def _send_words(shards: int):
 def _answer_words(shards: int):
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("block")
-        shard, blocks = key[0].as_py(), rows.column("block").to_pylist()
+        shard, blocks = key[-1].as_py(), rows.column("block").to_pylist()
         parts = [unpack(p) for p in rows.column("part").to_pylist()]
         lists = [p[0].split(b" ") for p in parts]
         coded = pa.concat_arrays([pa.array(x, pa.large_binary()) for x in lists]).dictionary_encode()
@@ -200,7 +200,7 @@ def log_unseen(before: np.ndarray, count: np.ndarray, total: int, types: int) ->
 def _answer_pairs(total: int, types: int):
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("block")
-        shard, blocks = key[0].as_py(), rows.column("block").to_pylist()
+        shard, blocks = key[-1].as_py(), rows.column("block").to_pylist()
         keys, before, count, seen, sizes = [], [], [], [], []
         for p in rows.column("part").to_pylist():
             step, word, b, c, s = unpack(p)
@@ -261,9 +261,17 @@ def score(docs: DataFrame) -> DataFrame:
     blocks = cut(id_text(docs, (fold(F.col("doc_id"), 5) == 1).alias("held_out")).mapInArrow(_blocks, _BLOCKS))
     names, tokens, n_train, n_blocks = blocks.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("n_names", "n_tokens", "n_train")), F.count("*")).first()
     shards, pair_shards = max(1, -(-names // WORDS_A_SHARD)), max(1, -(-tokens // PAIRS_A_SHARD))
-    # A task gets one block, or one shard, or as few as a hash into so many partitions gives it.
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spread = lambda df, key, n: df.repartition(max(least, min(n, MOST_PARTITIONS)), key).groupBy(key)
+    # Blocks get numbers without gaps; the broadcast is a number for each input partition, which the driver has a task for.
+    lots = blocks.groupBy(F.shiftright("block", 24).alias("lot")).agg(F.count("*").alias("n"))
+    skips = lots.select("lot", F.coalesce(F.sum("n").over(Window.orderBy("lot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("skip"))
+    low = F.col("block").bitwiseAND((1 << 24) - 1)
+    blocks = blocks.join(F.broadcast(skips), F.shiftright("block", 24) == F.col("lot")).withColumn("block", F.col("skip") + low).drop("lot", "skip")
+
+    def spread(df: DataFrame, key: str, n: int) -> GroupedData:
+        """Groups by a number below n: a task has one, or n / MOST_PARTITIONS of them, one after the other."""
+        width = max(1, min(n, MOST_PARTITIONS))
+        return df.withColumn("task", F.pmod(F.col(key), F.lit(width)).cast("int")).repartitionById(width, F.col("task")).groupBy("task", key)
+
     sent = blocks.select("block", "names", "counts").mapInArrow(_send_words(shards), _PART)
     answers = cut(spread(sent, "shard", shards).applyInArrow(_answer_words(shards), "block long, shard long, part binary, types long, tokens long, top long"))
     types, total, top = answers.agg(*(F.coalesce(f, F.lit(0)) for f in (F.sum("types"), F.sum("tokens"), F.max("top")))).first()

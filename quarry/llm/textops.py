@@ -125,7 +125,7 @@ def pack(*parts) -> bytes:
     """Arrays and bytes as one compressed value; integers by byte planes."""
     flat = []
     for p in parts:
-        if isinstance(p, np.ndarray) and p.dtype.itemsize > 1 and p.dtype.kind in "iu":
+        if isinstance(p, np.ndarray) and len(p) and p.dtype.itemsize > 1 and p.dtype.kind in "iu":
             flat.append((p.dtype.str, len(p), p.view(np.uint8).reshape(len(p), -1).T.tobytes()))
         elif isinstance(p, np.ndarray):
             flat.append((p.dtype.str, -1, p.tobytes()))
