@@ -36,6 +36,7 @@ from .textops import bounded_batches, id_text, slices
 SHINGLE = 3
 DISTANCE = 3
 SEED = 42
+HOT = 10_000
 _GENERATOR = 0b101011100011  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1 of the Golay code
 
 
@@ -164,12 +165,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     unless its component has no other; no rows give no rows.
     """
     per_doc = cut(fingerprints(docs))
-    prints = cut(per_doc.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    prints = cut(per_doc.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
     comps = components(links(prints.select("fp")))
     rooted = prints.join(comps.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     roots = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_print = rooted.select("fp", "root").join(roots, "root").select("fp", "component_id")
-    return per_doc.join(of_print, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    total = prints.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    of_print = cut(rooted.select("fp", "root", (F.col("n") * HOT >= total).alias("hot")).join(roots, "root").select("fp", "component_id", "hot"))
+    # At most HOT fingerprints have that share of all rows; their rows stay where they are.
+    hot = F.broadcast(of_print.filter("hot").select("fp", "component_id"))
+    cold = per_doc.join(hot.select("fp"), "fp", "left_anti").join(of_print.filter(~F.col("hot")).select("fp", "component_id"), "fp")
+    return per_doc.join(hot, "fp").unionByName(cold).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def _print_column(docs: DataFrame) -> DataFrame:
