@@ -82,8 +82,8 @@ def notices_in(line: str) -> list[tuple[int, int, str, int, int]]:
         here = line.find(piece)
         while here >= 0:
             a, b = max(0, here - at - k), min(len(line), here - at + len(notice) + k)
-            if (i, a) not in tried:
-                tried.add((i, a))
+            if (i, here - at) not in tried:
+                tried.add((i, here - at))
                 if not _lacking(_LETTERS[i], line[a:b], k) and (m := _FUZZY[i].search(line, a, b)):
                     start, end = m.span()
                     # Words are whole: an edge inside a word, or on a blank, moves to the word's.
