@@ -33,7 +33,8 @@ from pyspark.sql import DataFrame
 
 from .textops import bounded_batches, id_text, slices
 
-KINDS = ("email", "ip", "card", "phone")
+KINDS = ("email", "ip", "card", "phone", "secret")
+BASE_KINDS = 4  # those that fixed patterns find; secrets are the field's alone
 MOST_WORDS, TRAIN_LINES, EPOCHS = 6, 700, 6
 
 Span = tuple[int, int, int]  # start, end, number of its kind
@@ -84,7 +85,7 @@ def base_spans(text: str) -> list[Span]:
 
 _ANCHOR = re.compile(r"[0-9@]|[\[(]at[\])]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_CLUES = {"tel": "tel", "phone": "tel", "call": "tel", "fax": "tel", "mobile": "tel", "ip": "ip", "host": "ip", "address": "ip", "card": "card", "visa": "card", "credit": "card", "mail": "mail", "email": "mail", "e-mail": "mail", "contact": "mail", "token": "code", "version": "code", "=": "code"}
+_CLUES = {"tel": "tel", "phone": "tel", "call": "tel", "fax": "tel", "mobile": "tel", "ip": "ip", "host": "ip", "address": "ip", "card": "card", "visa": "card", "credit": "card", "mail": "mail", "email": "mail", "e-mail": "mail", "contact": "mail", "token": "key", "secret": "key", "password": "key", "passwd": "key", "api_key": "key", "apikey": "key", "key": "key", "version": "code", "=": "set", ":": "set"}
 _EDGE = ".,;:!?\"'|<>[]{}*#&$%"
 
 
@@ -140,6 +141,7 @@ def features(words: list[tuple[int, int]], i: int, j: int, text: str, base: dict
         out.append("at:dotted" if re.search(r"(?:@|[\[(]at[\])]) ?[A-Za-z0-9-]+(?: ?(?:\.|[\[(]dot[\])]) ?[A-Za-z0-9-]+)+$", s) else "at:bare")
     if letters and digits and not marks:
         out.append("mixed")
+        out.append(f"mixed{min(len(s) // 8, 6)}" + ("key" if "key" in before else ""))
     if (a, b) in base:
         out.append(f"base{base[a, b]}")
     # Does a figure stand right before or after?
@@ -247,7 +249,11 @@ def _line(r: Random) -> tuple[str, list[Span]]:
         return sep.join(d[i : i + 4] for i in range(0, len(d), 4))
 
     def entity() -> tuple[int, str]:
-        t = r.randrange(4)
+        t = r.randrange(5)
+        if t == 4:
+            mark, letters = r.choice(("", "", '"', "'")), r.choice(("0123456789abcdef", "0123456789abcdef", "0123456789" + _LOW, "0123456789" + _LOW + _LOW.upper()))
+            body = "".join(r.choice(letters) for _ in range(r.choice((20, 24, 32, 40, 40, 48, 64)) - 1)) + r.choice("0123456789")
+            return 4, f"{mark}{body}{mark}"
         if t == 0:
             at, dot = r.choice((("@", "."), ("@", "."), (" [at] ", "."), ("(at)", "."), (" (at) ", " (dot) "), ("[at]", "[dot]")))
             return 0, word() + r.choice(("", ".", "_", num(2))) + word() + at + word() + num(r.randint(0, 1)) + dot + r.choice(("com", "org", "net", "example.com" if dot == "." else "io"))
@@ -270,13 +276,14 @@ def _line(r: Random) -> tuple[str, list[Span]]:
             t, s = entity()
             if t == 1 and not _octets(s):
                 continue
-            if r.random() < 0.3:
-                text += r.choice(([" e-mail: ", "contact "], ["ip ", "host "], ["card ", "visa "], ["tel ", "call "])[t])
-            spans.append((len(text), len(text) + len(s), t))
+            if t == 4 or r.random() < 0.3:
+                text += r.choice(([" e-mail: ", "contact "], ["ip ", "host "], ["card ", "visa "], ["tel ", "call "], ["token = ", "token: ", "secret = ", "api_key = ", "password: ", "key = ", "secret: "])[t])
+            quoted = t == 4 and not s[0].isalnum()
+            spans.append((len(text) + quoted, len(text) + len(s) - quoted, t))
             text += s + r.choice((" ", " ", ". ", ", "))
         else:
             if r.random() < 0.3:
-                text += r.choice(("version ", "token = ", "page "))
+                text += r.choice(("version ", "count = ", "page "))
             text += figure() + r.choice((" ", " ", ". "))
     return text + word(), spans
 
@@ -414,6 +421,8 @@ _OUT = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sh
 def detect(docs: DataFrame) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) for each row of ``docs``.
 
+    ``spans`` may name a fifth kind, secret: keys and tokens after a word that says so.
+
     Counts and digest are those of the base spans; ``spans`` has all.  Null and
     empty texts have none; repeated rows get equal results.
     """
@@ -424,11 +433,11 @@ def detect(docs: DataFrame) -> DataFrame:
         for batch in slices(batches):
             rows = []
             for _, base, both in _found(batch.column("text"), shared.value):
-                n = [0] * len(KINDS)
+                n = [0] * BASE_KINDS
                 for s in base:
                     n[s[2]] += 1
                 rows.append((*n, hashlib.sha256(_named(base).encode()).hexdigest(), _named(both)))
-            types = [pa.int64()] * 4 + [pa.string()] * 2
+            types = [pa.int64()] * BASE_KINDS + [pa.string()] * 2
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(zip(*rows), types))], [c.split()[0] for c in _OUT.split(", ")])
 
     return id_text(docs).mapInArrow(run, _OUT)
