@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import corpus_pipeline
 from quarry.llm import decontaminate, pii, quality, queries, simhash
 
@@ -36,7 +38,10 @@ def test_stages(spark, small, tmp_path):
         assert rows[4][i]["text"] == text and rows[4][i]["n_chars"] == len(text) and rows[4][i]["source"] == r["source"]
     codec = queries.tokenizer()
     assert all(rows[5][i]["n_tokens"] == len(codec.encode(rows[4][i]["text"])) for i in rows[4]) and set(rows[5]) == set(rows[4])
-    assert {tuple(r) for r in corpus_pipeline.run(spark, small).collect()} == {tuple(r) for r in rows[5].values()}
+    made = corpus_pipeline.run(spark, small)
+    assert {tuple(r) for r in made.collect()} == {tuple(r) for r in rows[5].values()}
+    last = made.inputFiles()[0].removeprefix("file:").rsplit("/", 2)[0]
+    assert [p.name for p in Path(last).iterdir()] == ["4"]  # what earlier stages wrote is gone
 
 
 def test_stages_take_awkward_rows(spark, edges, small):
