@@ -34,7 +34,7 @@ THRESHOLD = 0.3
 DIM, HIDDEN, REACH, NONZERO = 48, 32, 2, 6
 LEAST_DOCS = 2
 FEATURES = 2 * DIM + 4
-POOL_WORDS = 1 << 16
+POOL_WORDS = 1 << 15
 WORD_SEED, SHAPE_SEED = 0, 1
 
 _SHAPE = np.arange(256, dtype=np.uint8)
@@ -83,24 +83,14 @@ def terms(texts: pa.Array) -> tuple[Terms, Terms, np.ndarray]:
     return _terms_of(words, WORD_SEED), _terms_of(shapes, SHAPE_SEED), n
 
 
-def _sums(code: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
-    """Sums of the rows of ``values`` by code."""
-    out = np.zeros((size, values.shape[1]), np.int64)
-    if len(code):
-        order = np.argsort(code, kind="stable")
-        present, first = np.unique(code[order], return_index=True)
-        out[present] = np.add.reduceat(values[order].astype(np.int64), first, axis=0)
-    return out
-
-
 def _place(hashes: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """The place of each hash in sorted ``keys``, or -1."""
     at = np.minimum(np.searchsorted(keys, hashes), max(0, len(keys) - 1))
     return np.where(keys[at] == hashes, at, -1) if len(keys) else np.full(len(hashes), -1)
 
 
-def context_sums(texts: pa.Array, keys: np.ndarray) -> np.ndarray:
-    """For each of the sorted ``keys``, hashes of terms, the sum of the index vectors around its occurrences."""
+def add_contexts(texts: pa.Array, keys: np.ndarray, total: np.ndarray) -> None:
+    """Add to ``total``, for each of the sorted ``keys``, hashes of terms, the index vectors around its occurrences."""
     word, shape, n = terms(texts)
     row = np.repeat(np.arange(len(n)), n)
     own = index_vectors(word.hashes)[word.code] + index_vectors(shape.hashes)[shape.code]
@@ -110,11 +100,13 @@ def context_sums(texts: pa.Array, keys: np.ndarray) -> np.ndarray:
             same = (row[step:] == row[:-step])[:, None]
             around[step:] += own[:-step] * same
             around[:-step] += own[step:] * same
-    out = np.zeros((len(keys), DIM), np.int64)
     for kind in (word, shape):
-        place = _place(kind.hashes, keys)
-        out[place[place >= 0]] += _sums(kind.code, around, len(kind.hashes))[place >= 0]
-    return out
+        place = _place(kind.hashes, keys)[kind.code]
+        order = np.argsort(place, kind="stable")
+        order = order[np.searchsorted(place[order], 0) :]  # unknown terms come first
+        present, first = np.unique(place[order], return_index=True)
+        if len(present):
+            total[present] += np.add.reduceat(around[order], first, axis=0, dtype=np.int32)
 
 
 def _groups(n: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -129,13 +121,12 @@ def _groups(n: np.ndarray) -> Iterator[tuple[int, int]]:
 def pooled(texts: pa.Array, keys: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """The features of each text; a text without words has zeros only.
 
-    ``vectors`` are those of the sorted ``keys``.  A text's sums do not depend on
-    the texts beside it.
+    ``vectors`` are those of the sorted ``keys``, and one of zeros for unknown terms.
+    A text's sums do not depend on the texts beside it.
     """
     word, shape, n = terms(texts)
     ends = np.concatenate([[0], np.cumsum(n)])
     out = np.zeros((len(n), FEATURES))
-    table = np.vstack([vectors, np.zeros((1, DIM))]).astype(np.float64)  # the last row: an unknown term
     row = np.repeat(np.arange(len(n)), n)
     for part, kind in enumerate((word, shape)):
         place = _place(kind.hashes, keys)[kind.code]
@@ -143,7 +134,7 @@ def pooled(texts: pa.Array, keys: np.ndarray, vectors: np.ndarray) -> np.ndarray
             for at in range(ends[a], ends[b], POOL_WORDS):
                 to = min(at + POOL_WORDS, ends[b])
                 here, first = np.unique(row[at:to], return_index=True)
-                out[here, part * DIM : (part + 1) * DIM] += np.add.reduceat(table[place[at:to]], first, axis=0)
+                out[here, part * DIM : (part + 1) * DIM] += np.add.reduceat(vectors[place[at:to]], first, axis=0, dtype=np.float64)
         distinct = np.unique(row * max(1, len(kind.hashes)) + kind.code) // max(1, len(kind.hashes))
         out[:, 2 * DIM + 1 + part] = np.bincount(distinct, minlength=len(n))
         if part == 0:
@@ -225,18 +216,19 @@ def vocabulary(sample: DataFrame) -> np.ndarray:
 
 
 def term_vectors(sample: DataFrame, keys: np.ndarray) -> np.ndarray:
-    """The unit vectors of ``keys``.  Sums are whole numbers, so no order of rows changes them."""
+    """The unit vectors of ``keys``, and one of zeros.  Sums are whole numbers, so no order of rows changes them."""
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(keys), DIM), np.int64)
-        for batch in slices(batches, most=1 << 20):
-            total += context_sums(batch.column("text"), keys)
+        for batch in slices(batches, most=1 << 19):
+            add_contexts(batch.column("text"), keys, total)
         yield pa.RecordBatch.from_arrays([pa.array([pack(total.ravel())], pa.binary())], ["sums"])
 
     total = np.zeros((len(keys), DIM), np.int64)
     for part in sample.mapInArrow(sums, "sums binary").toLocalIterator():  # one a partition, of at most 8
         total += unpack(part[0])[0].reshape(len(keys), DIM)
-    return (total / np.maximum(1e-9, np.linalg.norm(total, axis=1, keepdims=True))).astype(np.float32)
+    norm = np.sqrt(np.einsum("ij,ij->i", total, total, dtype=np.float64))
+    return np.vstack([total / np.maximum(1e-9, norm)[:, None], np.zeros((1, DIM))]).astype(np.float32)
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN_DOCS) -> Model:

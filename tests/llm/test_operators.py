@@ -427,6 +427,12 @@ def test_preferences_run_no_python(spark, small):
 # 5 and 10: classifiers
 
 
+def xxh64(word, seed=0):
+    import xxhash
+
+    return xxhash.xxh64_intdigest(word, seed)
+
+
 def held_out(spark, small, rows, column):
     truth = {r["doc_id"]: r[column] for r in read(spark, small, "labels").collect()}
     return [(truth[r["doc_id"]], r["predicted"], r["score"]) for r in rows if r["held_out"] and r["doc_id"] in truth]
@@ -440,6 +446,93 @@ def test_quality_on_held_out_labels(spark):
     assert np.mean(good) > 0.99
 
 
+def slow_terms(text):
+    """(word, shape) of each word of a text: a shape folds letters, capitals, digits and runs of one sign."""
+    out = []
+    for w in re.split(r"[\x20\x09-\x0D]+", text or ""):
+        if w:
+            b = "".join("X" if c in string.ascii_uppercase else "9" if c in string.digits else "x" if c in string.ascii_lowercase or ord(c) > 127 else c for c in w)
+            out.append((w, re.sub(r"(.)\1+", r"\1", b, flags=re.S)))
+    return out
+
+
+class SlowQuality:
+    """Index vectors, context sums and pooling in plain Python."""
+
+    def __init__(self, texts):
+        self.docs = Counter()
+        sums = {}
+        for text in texts:
+            ts = slow_terms(text)
+            self.docs.update({("w", w) for w, _ in ts} | {("s", s) for _, s in ts})
+            own = [np.add(self.index("w", w), self.index("s", s)) for w, s in ts]
+            for i, (w, s) in enumerate(ts):
+                around = sum((own[j] for j in range(max(0, i - 2), min(len(ts), i + 3)) if j != i), np.zeros(quality.DIM))
+                for key in (("w", w), ("s", s)):
+                    sums[key] = sums.get(key, 0) + around
+        self.vectors = {k: v / (np.linalg.norm(v) or 1) for k, v in sums.items() if self.docs[k] > 1}
+
+    @staticmethod
+    def index(kind, term):
+        import xxhash
+
+        h, out = xxhash.xxh64_intdigest(term, 0 if kind == "w" else 1), np.zeros(quality.DIM)
+        for i in range(quality.NONZERO):
+            bits = h >> 8 * i
+            out[8 * i + (bits >> 1) % 8] = 1 if bits & 1 else -1
+        return out
+
+    def features(self, text):
+        ts = slow_terms(text)
+        n, none = len(ts), np.zeros(quality.DIM)
+        mean = lambda kind, terms: sum((self.vectors.get((kind, t), none) for t in terms), none) / max(1, n)
+        words, shapes = [w for w, _ in ts], [s for _, s in ts]
+        rest = [math.log1p(n) / 5, len(set(words)) / max(1, n), len(set(shapes)) / max(1, n), sum(("w", w) not in self.vectors for w in words) / max(1, n)]
+        return np.concatenate([mean("w", words), mean("s", shapes), rest])
+
+
+def test_quality_by_brute_force(spark):
+    """Vectors of terms, pooled features, the network's forward pass and its temperature, on a small sample."""
+    docs = [(r["doc_id"], r["text"][:900]) for r in read(spark, "/root/testdata/sf0.001", "documents").collect()][:120] + [(9000, ""), (9001, None), (9002, "É 12x !!! ÜBER aa"), (9003, "alone")]
+    labelled = [(i, int(len(t or "") % 3 > 0)) for i, t in docs if i < 9003]
+    frame, labels = spark.createDataFrame(docs, "doc_id long, text string").repartition(3), spark.createDataFrame(labelled, "doc_id long, quality int")
+    model = quality.fit(frame, labels)
+    text = {i: t or "" for i, t in docs}
+    train = sorted(i for i, _ in labelled if zlib.crc32(str(i).encode()) % 5)
+    slow = SlowQuality([text[i] for i in train])
+    import xxhash
+
+    named = {xxhash.xxh64_intdigest(t, 0 if k == "w" else 1): v for (k, t), v in slow.vectors.items()}
+    assert sorted(named) == model.keys.tolist()
+    assert np.allclose([named[k] for k in model.keys.tolist()], model.vectors[:-1], atol=1e-6) and not model.vectors[-1].any()
+    x = quality.pooled(pa.array([text[i] for i, _ in docs], pa.large_string()), model.keys, model.vectors)
+    assert np.allclose(x, [slow.features(text[i]) for i, _ in docs], atol=1e-6)
+    got = {r["doc_id"]: r["score"] for r in quality.score(frame, model).collect()}
+    sigmoid = lambda z: 1 / (1 + math.exp(-z))
+    logit = {}
+    for (i, _), row in zip(docs, x):
+        z = [(v - m) / s for v, m, s in zip(row, model.mean, model.scale)]
+        hidden = [math.tanh(sum(a * w for a, w in zip(z, model.w1[:, j])) + model.b1[j]) for j in range(quality.HIDDEN)]
+        logit[i] = sum(h * w for h, w in zip(hidden, model.w2)) + model.b2
+        assert abs(got[i] - sigmoid(logit[i] / model.temperature)) < 1e-9
+    truth, held = dict(labelled), train[4::5]
+    loss = lambda heat: sum(math.log1p(math.exp(-logit[i] / heat if truth[i] else logit[i] / heat)) for i in held)
+    assert loss(model.temperature) <= min(loss(h) for h in np.geomspace(0.25, 8, 121)) + 1e-9
+    again = quality.fit(frame.repartition(1), labels)
+    other = {r["doc_id"]: r["score"] for r in quality.score(frame.repartition(7), again).collect()}
+    assert max(abs(got[i] - other[i]) for i in got) < 1e-9
+
+
+def test_long_texts_pool_in_steps(monkeypatch):
+    texts = pa.array(["a b c " * 500, "", "x", "d e " * 300, "a b c " * 500], pa.large_string())
+    keys = np.sort(np.array([xxh64(w) for w in ("a", "b", "d", "x")], np.uint64))
+    vectors = np.random.default_rng(0).normal(size=(5, quality.DIM)).astype(np.float32)
+    vectors[-1] = 0
+    whole = quality.pooled(texts, keys, vectors)
+    monkeypatch.setattr(quality, "POOL_WORDS", 64)
+    assert np.allclose(whole, quality.pooled(texts, keys, vectors), atol=1e-12) and np.array_equal(whole[0], whole[4]) and not whole[1].any()
+
+
 def test_toxicity_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.1"
     rows = queries.op5_toxicity(spark, sf).collect()
@@ -856,3 +949,36 @@ def test_windows_against_brute_force(spark, monkeypatch, keys, octets):
     assert got == slow_contamination(docs, items)
     clean = {x["doc_id"] for x in decontaminate.clean(d, b).collect()}
     assert clean == {i for i, v in got.items() if not v[1]}
+
+
+def test_an_item_as_long_as_a_book(spark):
+    """An anchor carries the words around it only, however long its item."""
+    r = Random(8)
+    book = [f"w{r.randrange(3000)}" for _ in range(20_020)]
+    docs = []
+    for i in range(200):
+        a = r.randrange(20_000)
+        docs.append((i, " ".join([f"v{r.randrange(50)}" for _ in range(20)] + (book[a : a + r.choice((5, 9, 10, 11, 200))] if i % 2 else [book[r.randrange(20_000)] for _ in range(60)]))))
+    items = [(1, " ".join(book)), (2, "same same " * 6000), (3, " ".join(book[:40]))]
+    docs.append((900, "same " * 5000))
+    d, b = spark.createDataFrame(docs, "doc_id long, text string").repartition(4), spark.createDataFrame(items, "item_id long, text string")
+    got = {x["doc_id"]: (x["n_words"], x["n_hit"], x["n_items"], x["items_sha256"]) for x in decontaminate.contamination(d, b).collect()}
+    assert got == slow_contamination(docs, items)
+
+
+def test_large_benchmarks_shuffle_places_and_not_texts(spark, monkeypatch):
+    """Beyond what is broadcast, results are the same; texts meet their candidates once, with no whole item beside them."""
+    d, b = read(spark, "/root/testdata/sf0.1", "documents").repartition(8), read(spark, "/root/testdata/sf0.1", "benchmark")
+    few = sorted(map(tuple, decontaminate.contamination(d, b).collect()))
+    monkeypatch.setattr(decontaminate, "BROADCAST_KEYS", 0)
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = decontaminate.contamination(d, b)
+        many = sorted(map(tuple, found.collect()))
+        plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert few == many
+    assert "BroadcastHashJoin" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
