@@ -46,6 +46,7 @@ THRESHOLD = 0.7
 K, BLOCK, SMOOTH, STEM = 10, 32, 2.0, 5
 CACHE = 100_000
 GRAIN = 1 << 16  # steps of a weight in a list
+TEXTS = 12 << 20  # bytes of texts that are looked up in the vocabulary together
 DENSE, FREQUENT, TOGETHER = 20, 50, 256  # a term in more than one example of DENSE has a dense column, of FREQUENT range maxima
 
 Part = tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, np.ndarray, np.ndarray]
@@ -310,7 +311,7 @@ def score(docs: DataFrame, model: tuple[Broadcast, tuple[float, float]]) -> Data
             s = float(1 / (1 + np.exp(-np.clip(slope * logit(index.vote(rows, sims)) + constant, -40, 40))))
             return s, ",".join(f"{d}:{c:.4f}" for d, c in zip(index.doc[rows[:3]].tolist(), sims[:3].tolist()))
 
-        for batch in slices(batches):
+        for batch in slices(batches, most=TEXTS):
             column = batch.column("text")
             marks = [blake2b(t.as_buffer(), digest_size=16).digest() for t in column]
             if len(known) >= CACHE:
