@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.search import search
+from quarry.operators.search import search, tokenized
 
 _HIT = ("record_id", "record_type", "title", "dataset_id", "score", "snippet")
 _CITATION = ("source_url", "source_document", "page")
@@ -28,9 +28,14 @@ class Tools:
     """The five read-only search tools over one set of records, tokenised and cached once."""
 
     def __init__(self, records: DataFrame, default_limit: int = 5) -> None:
-        from quarry.operators.search import tokenized
-
-        self.records, self.default_limit = tokenized(records).cache(), default_limit
+        self.records, self.default_limit = None, default_limit
+        self.use(records)
+
+    def use(self, records: DataFrame) -> None:
+        """Search these records from now on; what was kept of the last ones is dropped."""
+        before, self.records = self.records, tokenized(records).cache()
+        if before is not None:
+            before.unpersist()
 
     def _typed(self, kind: str, query: str, limit: int | None) -> str:
         import json

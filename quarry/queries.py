@@ -247,6 +247,19 @@ def document_ids(spark, sf_dir):
     return _made(spark, sf_dir).select("page_id", d.alias("dataset_id"), U.document_suffix(u).alias("suffix"), U.document_id(F.coalesce(d, F.lit("none")), u).alias("document_id"))
 
 
+@query(rf"""WITH p AS (SELECT page_id, url, regexp_extract(rtrim(regexp_extract(url, '^[^:]*://[^/?#]*([^?#]*)', 1), '/'), '([^/]*)$', 1) AS seg FROM pages),
+s AS (SELECT *, regexp_replace(seg, '(.)[.][^.]+$', '\1') AS stem, lower(regexp_extract(seg, '.[.]([^.]+)$', 1)) AS ext FROM p),
+n AS (SELECT *, {_SLUG("stem")} AS name, CASE WHEN seg = '' THEN 'document' WHEN ext <> '' THEN {_SLUG("stem")} || '_' || {_SLUG("ext")} ELSE {_SLUG("stem")} END AS suffix FROM s)
+SELECT page_id, 'other' AS kind, name AS dataset_id, suffix, name || '__' || suffix || '__' || substring(sha1(url), 1, 10) AS document_id,
+  'raw/assets/other/' || sha1(url) || '.' || CASE WHEN ext = '' THEN 'bin' ELSE ext END AS path, true AS valid FROM n""")
+def page_url_facts(spark, sf_dir):
+    """The URL rules on the pages' own URLs: mixed schemes, hosts, queries, fragments, slashes at the end."""
+    u = F.col("url")
+    d = U.dataset_id(u)
+    return table(spark, sf_dir, "pages").select("page_id", U.resource_kind(u).alias("kind"), d.alias("dataset_id"), U.document_suffix(u).alias("suffix"), U.document_id(d, u).alias("document_id"),
+        U.archive_path(u, U.resource_kind(u), F.lit(""), F.lit(""), "raw").alias("path"), U.is_valid_url(u).alias("valid"))
+
+
 @query(f"""SELECT page_id, CASE WHEN kind IN ('listing_page', 'dataset_page', 'documentation_page') THEN 'raw/html/' || kind || '/' || sha1(url) || '.html'
   ELSE 'raw/assets/' || (CASE page_id % 8 WHEN 3 THEN 'pdf' WHEN 4 THEN 'xlsx' WHEN 5 THEN 'csv' ELSE 'other' END) || '/' || sha1(url) || (CASE page_id % 8 WHEN 3 THEN '.pdf' WHEN 4 THEN '.xlsx' WHEN 5 THEN '.csv' ELSE '.bin' END) END AS path
   FROM (SELECT *, {_KIND} AS kind FROM ({_PATHED}))""")

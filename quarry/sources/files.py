@@ -5,7 +5,6 @@ from __future__ import annotations
 import io
 import re
 import zipfile
-import zlib
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
@@ -14,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.html import main_text
+from quarry.sources.pdf import pdf_pages
 
 
 def read_files(spark: SparkSession, root: str, relative_to: str | None = None) -> DataFrame:
@@ -66,43 +66,6 @@ def xlsx_sheets(content: bytes) -> list[tuple[int, str]]:
         return out
 
 
-_STREAM = re.compile(rb"<<(?:(?!>>\s*stream).)*?>>\s*stream\r?\n(.*?)\r?\n?endstream", re.S)
-_SHOWN = re.compile(rb"(\((?:\\.|[^\\()])*\)|<[0-9A-Fa-f\s]*>)|(T\*|Td|TD|Tm|ET|')")
-_ESCAPES = {b"n": b"\n", b"r": b"\r", b"t": b"\t", b"b": b"\b", b"f": b"\f"}
-
-
-def _pdf_string(token: bytes) -> str:
-    if token.startswith(b"<"):
-        digits = re.sub(rb"\s", b"", token[1:-1])
-        return bytes.fromhex((digits + b"0" * (len(digits) % 2)).decode()).decode("latin-1")
-    plain = re.sub(rb"\\([0-7]{1,3}|.)", lambda m: bytes([int(m[1], 8) & 255]) if m[1].isdigit() else _ESCAPES.get(m[1], m[1]), token[1:-1], flags=re.S)
-    return plain.decode("latin-1")
-
-
-def pdf_pages(content: bytes) -> list[tuple[int, str]]:
-    """(page from 1, text) of a simple PDF: plain or Flate streams with one-byte encodings.
-
-    Pages are the content streams that show text, in the order of the file.  A
-    file that is encrypted, or whose text needs font tables, gives what can be
-    read without them.  ValueError: no PDF at all.
-    """
-    if b"%PDF-" not in content[:1024]:
-        raise ValueError("not a PDF")
-    pages = []
-    for m in _STREAM.finditer(content):
-        body = m[1]
-        if b"FlateDecode" in m[0][: m.start(1) - m.start()]:
-            try:
-                body = zlib.decompressobj().decompress(body)
-            except zlib.error:
-                continue
-        if b"BT" not in body or not re.search(rb"T[jJ]|'", body):
-            continue
-        text = "".join(_pdf_string(s) if s else "\n" for s, _ in _SHOWN.findall(body))
-        pages.append((len(pages) + 1, re.sub(r"\n{2,}", "\n", text).strip("\n")))
-    return pages
-
-
 def parsed_texts(files: DataFrame) -> DataFrame:
     """(document_id, part, text, error) of (document_id, document_kind, content).
 

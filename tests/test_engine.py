@@ -86,6 +86,9 @@ def test_context_nests_citations(corpus):
     tools = context.Tools(corpus)
     assert [r["record_id"] for r in json.loads(tools.search_variables("bene_id"))] == ["mbsf__var__bene-id"]
     assert len(json.loads(tools.search_chunks("bene_id", 1))) == 1 and json.loads(tools.get_agent_context("mbsf", 2))["query"] == "mbsf"
+    first = tools.records
+    tools.use(corpus.filter("record_type = 'dataset'"))
+    assert not first.is_cached and tools.records.is_cached and json.loads(tools.search_variables("BENE_ID")) == []
 
 
 def test_variables_need_a_definition_on_their_first_line(spark):
@@ -209,6 +212,43 @@ def pdf(flate: bool = False) -> bytes:
     return body
 
 
+def tree_pdf(packed: bool) -> bytes:
+    """Four pages of a nested tree, out of order in the file, one blank; fonts with a map, with differences and with an encoding."""
+    cmap = b"/CIDInit /ProcSet findresource begin 1 begincodespacerange <0000> <ffff> endcodespacerange 2 beginbfchar <0001> <00480069> <0002> <d83dde42> endbfchar 1 beginbfrange <0010> <0012> <0061> endbfrange end"
+    stream = lambda d, more=b"": b"<< /Length %d %s/Filter /FlateDecode >>\nstream\n%s\nendstream" % (len(z := zlib.compress(d)), more, z)
+    objects = {
+        9: stream(b"BT /U 12 Tf 1 0 0 1 50 700 Tm <00010002> Tj 1 0 0 1 90 700 Tm <001000110012> Tj 0 -14 Td <0010> Tj ET"), 8: stream(b"BT /D 9 Tf (\\001 caf\\002 \\(x\\)) Tj 10 0 Td (same line) Tj T* [(wi) -300 (de) 20 (r)] TJ ET"),
+        7: stream(b"0 0 10 10 re f"), 10: stream(b"BT /W 9 Tf (\\223q\\224 ) Tj"), 11: b"<< /Length 12 0 R >>\nstream\n(\\200\\) nested (ok)) Tj ET\nendstream", 12: b"25",
+        20: stream(cmap), 1: b"<< /Type /Catalog /Pages 2 0 R >>", 2: b"<< /Type /Pages /Kids [3 0 R 6 0 R] /Count 4 /Resources << /Font << /U 21 0 R /D 22 0 R /W 23 0 R >> >> >>",
+        3: b"<< /Type /Pages /Parent 2 0 R /Kids [4 0 R 5 0 R 3 0 R] >>", 4: b"<< /Type /Page /Contents 9 0 R >>", 5: b"<< /Type /Page /Contents [7 0 R] >>", 6: b"<< /Type /Pages /Kids [13 0 R 14 0 R] >>",
+        13: b"<< /Type /Page /Contents 8 0 R >>", 14: b"<< /Type /Page /Contents [10 0 R 11 0 R] >>", 21: b"<< /Type /Font /Subtype /Type0 /Encoding /Identity-H /ToUnicode 20 0 R >>",
+        22: b"<< /Type /Font /Subtype /Type1 /Encoding << /Differences [1 /fi /eacute] >> >>", 23: b"<< /Type /Font /Subtype /TrueType /Encoding /WinAnsiEncoding >>",
+    }
+    out = b"%PDF-1.5\n"
+    inside = [n for n in objects if packed and b"stream" not in objects[n] and n != 12]
+    if inside:
+        heads, bodies = b"", b""
+        for n in inside:
+            heads += b"%d %d " % (n, len(bodies))
+            bodies += objects.pop(n) + b" "
+        objects[30] = stream(heads + bodies, b"/Type /ObjStm /N %d /First %d " % (len(inside), len(heads)))
+    for n, body in objects.items():
+        out += b"%d 0 obj\n%s\nendobj\n" % (n, body)
+    return out + b"trailer << /Root 1 0 R >>\n%%EOF"
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_pdf_pages_come_from_the_tree(packed):
+    assert S.pdf_pages(tree_pdf(packed)) == [(1, "Hi🙂 abc\na"), (3, "fi café (x) same line\nwi der"), (4, "“q” €) nested (ok)")]
+    with pytest.raises(ValueError, match="encrypted"):
+        S.pdf_pages(tree_pdf(packed).replace(b"trailer <<", b"trailer << /Encrypt 1 0 R"))
+    for cut in range(0, len(tree_pdf(packed)), 97):  # damage gives fewer pages or an error, never a hang
+        try:
+            assert all(n >= 1 and t for n, t in S.pdf_pages(tree_pdf(packed)[:cut]))
+        except (ValueError, KeyError, TypeError, zlib.error):
+            pass
+
+
 def test_extraction_parses_each_page_once(spark):
     found = extract.extract(make(spark, "manifest", {"url": "https://ex.org/cms-data/files/a", "resource_kind": "dataset_page", "archive_state": "archived", "content_type": "text/html", "local_path": "a", "sha256": SHA(b"<title>A - Site</title>")}), files_of(spark, a=b"<title>A - Site</title>"), " - Site")
     for name in ("datasets", "documents", "document_edges", "ontology_nodes", "ontology_edges", "failures"):
