@@ -34,7 +34,7 @@ THRESHOLD = 0.3
 DIM, HIDDEN, REACH, NONZERO = 48, 32, 2, 6
 LEAST_DOCS = 2
 FEATURES = 2 * DIM + 4
-POOL_WORDS = 1 << 15
+POOL_WORDS, TEXTS = 1 << 15, 2 << 20  # words pooled, and bytes of texts cut into words, at a time
 WORD_SEED, SHAPE_SEED = 0, 1
 
 _SHAPE = np.arange(256, dtype=np.uint8)
@@ -203,7 +203,7 @@ def vocabulary(sample: DataFrame) -> np.ndarray:
     """The sorted hashes of the terms that stand in ``LEAST_DOCS`` or more texts of the sample."""
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most=TEXTS):
             word, shape, n = terms(batch.column("text"))
             row = np.repeat(np.arange(len(n)), n)
             for kind in (word, shape):
@@ -218,15 +218,18 @@ def vocabulary(sample: DataFrame) -> np.ndarray:
 def term_vectors(sample: DataFrame, keys: np.ndarray) -> np.ndarray:
     """The unit vectors of ``keys``, and one of zeros.  Sums are whole numbers, so no order of rows changes them."""
 
+    shared = sample.sparkSession.sparkContext.broadcast(keys)
+
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(keys), DIM), np.int64)
         for batch in slices(batches, most=1 << 19):
-            add_contexts(batch.column("text"), keys, total)
-        yield pa.RecordBatch.from_arrays([pa.array([pack(total.ravel())], pa.binary())], ["sums"])
+            add_contexts(batch.column("text"), shared.value, total)
+        for d in range(DIM):  # a column at a time, so that a packed table never stands beside the table
+            yield pa.RecordBatch.from_arrays([pa.array([d], pa.int32()), pa.array([pack(total[:, d].copy())], pa.binary())], ["d", "sums"])
 
     total = np.zeros((len(keys), DIM), np.int64)
-    for part in sample.mapInArrow(sums, "sums binary").toLocalIterator():  # one a partition, of at most 8
-        total += unpack(part[0])[0].reshape(len(keys), DIM)
+    for part in sample.mapInArrow(sums, "d int, sums binary").collect():  # DIM columns for each of at most 8 partitions, packed
+        total[:, part["d"]] += unpack(part["sums"])[0]
     norm = np.sqrt(np.einsum("ij,ij->i", total, total, dtype=np.float64))
     return np.vstack([total / np.maximum(1e-9, norm)[:, None], np.zeros((1, DIM))]).astype(np.float32)
 
@@ -236,10 +239,11 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN_DOCS) -> Model
     sample = labelled_sample(docs, labels, "quality", fold(F.col("doc_id"), 5) != 0, most)
     keys = vocabulary(sample)
     vectors = term_vectors(sample, keys)
+    shared = docs.sparkSession.sparkContext.broadcast((keys, vectors))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            x = pooled(batch.column("text"), keys, vectors)
+        for batch in slices(batches, most=TEXTS):
+            x = pooled(batch.column("text"), *shared.value)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(list(x), pa.list_(pa.float64()))], ["doc_id", "label", "x"])
 
     rows = sorted(sample.mapInArrow(features, "doc_id long, label int, x array<double>").collect(), key=lambda r: r[0])
@@ -255,7 +259,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for batch in slices(batches):
+        for batch in slices(batches, most=TEXTS):
             s = m.of_texts(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
@@ -270,7 +274,7 @@ def keep(docs: DataFrame, model: Model) -> DataFrame:
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for batch in slices(batches):
+        for batch in slices(batches, most=TEXTS):
             yield batch.filter(pa.array(m.of_texts(batch.column("text")) >= THRESHOLD))
 
     return docs.mapInArrow(kept, docs.schema)
