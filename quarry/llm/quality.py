@@ -231,7 +231,10 @@ def term_vectors(sample: DataFrame, keys: np.ndarray) -> np.ndarray:
     for part in sample.mapInArrow(sums, "d int, sums binary").collect():  # DIM columns for each of at most 8 partitions, packed
         total[:, part["d"]] += unpack(part["sums"])[0]
     norm = np.sqrt(np.einsum("ij,ij->i", total, total, dtype=np.float64))
-    return np.vstack([total / np.maximum(1e-9, norm)[:, None], np.zeros((1, DIM))]).astype(np.float32)
+    vectors = np.zeros((len(keys) + 1, DIM), np.float32)
+    for d in range(DIM):
+        vectors[:-1, d] = total[:, d] / np.maximum(1e-9, norm)
+    return vectors
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN_DOCS) -> Model:
