@@ -28,7 +28,24 @@ def cut(df: DataFrame) -> DataFrame:
     The files go with the session's ``spark.cleaner.referenceTracking.cleanCheckpoints``.
     """
     shared_folder(df.sparkSession)
-    return df.checkpoint()
+    return _sized(df.checkpoint())
+
+
+def _sized(kept: DataFrame) -> DataFrame:
+    """A checkpoint without an estimate of its size that is beyond all bounds.
+
+    A checkpoint inherits its plan's estimate, and a join's is the product of its
+    sides', so in a loop that joins a table with itself the number's digits double
+    with every round, until the driver does nothing but multiply.  An estimate that
+    Spark itself writes as a power of ten (over 2**71 bytes) says no more than none
+    does: without it the size is unknown, which Spark takes as 2**63 - 1 bytes.
+    """
+    plan = kept._jdf.queryExecution().logical()
+    if "E+" not in plan.stats().simpleString():
+        return kept
+    jvm, session, none = kept.sparkSession._jvm, kept._jdf.sparkSession(), getattr(kept.sparkSession._jvm, "scala.None$").__getattr__("MODULE$")
+    bare = jvm.org.apache.spark.sql.execution.LogicalRDD(plan.output(), plan.rdd(), plan.outputPartitioning(), plan.outputOrdering(), False, none, session, none, none)
+    return DataFrame(jvm.org.apache.spark.sql.classic.Dataset.ofRows(session, bare), kept.sparkSession)
 
 
 def remove(spark: SparkSession, path: str) -> None:

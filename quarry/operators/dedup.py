@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.lineage import cut
@@ -29,14 +29,21 @@ def merged(df: DataFrame, key: str, fill: list[str], order: str = "seq") -> Data
 
 
 def ranked(df: DataFrame, order: str, name: str, first: int = 0) -> DataFrame:
-    """``df`` with its place in ``order``, without a task that sees all rows.
+    return counted_ranks(df, order, name, first)[0]
+
+
+def counted_ranks(df: DataFrame, order: str, name: str, first: int = 0) -> tuple[DataFrame, int]:
+    """``df`` with each row's place in ``order``, and how many rows it has, without a task that sees all rows.
 
     Rows are range-partitioned and sorted, then kept; a place is the rows of
     earlier partitions, one count each, and the place in its own.
     """
     kept = cut(df.orderBy(order).withColumn("_id", F.monotonically_increasing_id()))
-    parts = kept.groupBy(F.shiftright("_id", 33).alias("_part")).agg(F.count("*").alias("_n"))
-    skip = parts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_skip"))
+    part = F.shiftright("_id", 33)
+    rows = {r["part"]: r["n"] for r in kept.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}
+    before = [0]
+    for i in range(max(rows, default=0)):
+        before.append(before[-1] + rows.get(i, 0))
+    skip = F.element_at(F.expr(f"array({', '.join(f'{n}L' for n in before)})"), (part + 1).cast("int"))
     own = F.col("_id").bitwiseAND((1 << 33) - 1)
-    joined = kept.join(F.broadcast(skip), F.shiftright("_id", 33) == F.col("_part"))
-    return joined.withColumn(name, F.col("_skip") + own + F.lit(first)).drop("_id", "_part", "_skip")
+    return kept.withColumn(name, skip + own + F.lit(first)).drop("_id"), sum(rows.values())

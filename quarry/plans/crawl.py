@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +20,11 @@ from quarry.functions import html as H
 from quarry.functions import urls as U
 from quarry.functions.text import text_of
 from quarry.lineage import cut
-from quarry.operators.dedup import merged, ranked
+from quarry.operators.dedup import counted_ranks, merged
 
 Ask = Callable[[DataFrame], DataFrame]
 LINKS_A_PAGE = 1 << 20
+SENT = 10_000  # URLs of a level that are broadcast; more are joined by a shuffle.
 
 
 @dataclass(frozen=True)
@@ -46,13 +48,23 @@ class Crawl:
 def table_web(web: DataFrame) -> Ask:
     """Fetching as a join with a table (url, status, content_type, html); other URLs have no status."""
     held = web.select(F.col("url").alias("_u"), "status", "content_type", "html")
-    return lambda urls: urls.join(held, F.col("url") == F.col("_u"), "left").select("url", "status", "content_type", "html")
+
+    def ask(urls: DataFrame) -> DataFrame:
+        # Few URLs are sent to the table (the crawl marks them), so that only their pages move.
+        asked = held.join(urls.select(F.col("url").alias("_u")), "_u", "left_semi")
+        return urls.join(asked, F.col("url") == F.col("_u"), "left").select("url", "status", "content_type", "html")
+
+    return ask
+
+
+def _parsed(pages: DataFrame) -> DataFrame:
+    """(visit, url, status, content_type, title, links) of fetched pages; only a page with status 200 has links."""
+    return pages.withColumn("page", H.page(F.col("html"))).select("visit", "url", "status", "content_type", F.col("page.title").alias("title"), F.when(F.col("status") == 200, F.col("page.links")).alias("links"))
 
 
 def _relevant(pages: DataFrame) -> DataFrame:
     """(visit, link_no, url, title, source_url, source_title, kind) of the links worth a row."""
-    parsed = pages.withColumn("page", H.page(F.col("html")))
-    links = parsed.filter(F.col("status") == 200).select("visit", F.col("url").alias("source_url"), F.col("page.title").alias("source_title"), F.posexplode("page.links").alias("link_no", "link"))
+    links = pages.select("visit", F.col("url").alias("source_url"), F.col("title").alias("source_title"), F.posexplode("links").alias("link_no", "link"))
     absolute = links.withColumn("url", U.resolved(F.col("source_url"), F.col("link.href")))
     kept = absolute.filter(F.col("url").isNotNull() & U.is_relevant(F.col("source_url"), F.col("url")))
     return kept.select("visit", "link_no", "url", F.col("link.text").alias("title"), "source_url", "source_title", U.resource_kind(F.col("url")).alias("kind")).filter(F.col("kind") != "other")
@@ -72,65 +84,83 @@ def _within(links: DataFrame, known_assets: DataFrame, room: int | None) -> Data
     return links.filter(~asset).unionByName(links.filter(asset).join(allowed, "url", "left_semi"))
 
 
-def crawl(spark: SparkSession, config: CrawlConfig, fetch: Ask, probe: Ask | None = None, progress: Callable[[str, int], None] = lambda message, done: None) -> Crawl:
+def _all(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _assets(links: DataFrame) -> DataFrame:
+    return links.filter(F.col("kind") == "asset").select("url").distinct()
+
+
+def crawl(spark: SparkSession, config: CrawlConfig, fetch: Ask, probe: Ask | None = None, progress: Callable[[str, int], None] | None = None) -> Crawl:
     """``fetch`` gives (url, status, content_type, html) and ``probe`` (url, status, content_type) of (url).
 
     ``progress`` gets a message and the number of pages read so far.  An unreachable page has no status (or 0) and its state is unknown, as an asset's is.
     """
     probe = probe or (lambda urls: fetch(urls).drop("html"))
-    events, reads, frontier, assets = None, None, None, spark.createDataFrame([], "url string")
+    reads: list[DataFrame] = []  # pages with what is known of them, a level each
+    found: list[DataFrame] = []  # their links
+    assets = [spark.createDataFrame([], "url string")]  # new ones of each level, kept only where they are counted
+    levels = [spark.createDataFrame([], "url string")]
     signatures: set[str] = set()
     visit, n_assets = 0, 0
 
-    def gather(pages: DataFrame, listing: bool) -> DataFrame:
-        nonlocal events, reads, assets, n_assets
-        pages = cut(pages)
+    def gather(fetched: DataFrame, listing: bool) -> DataFrame:
+        nonlocal n_assets
+        pages = cut(_parsed(fetched))
         room = None if config.max_assets is None else max(0, config.max_assets - n_assets)
-        links = cut(_within(_relevant(pages), assets, room))
-        assets = cut(assets.unionByName(links.filter("kind = 'asset'").select("url")).distinct())
-        n_assets = assets.count()
-        linked = links.groupBy("visit").agg(F.countDistinct("url").cast("int").alias("linked_documents"))
-        own = pages.join(linked, "visit", "left").select("url", "status", "content_type", F.coalesce("linked_documents", F.lit(0)).alias("linked_documents"), "visit", F.lit(listing).alias("listing"), H.page(F.col("html"))["title"].alias("title"))
-        own = cut(own)
-        reads = own if reads is None else reads.unionByName(own)
-        seen = own.select("url", "title", F.lit("").alias("source_url"), F.lit("").alias("source_title"), _place().alias("at"), F.col("listing").alias("counts")).unionByName(
-            links.select("url", "title", "source_url", "source_title", _place(F.col("link_no")).alias("at"), F.lit(True).alias("counts")))
-        events = seen if events is None else events.unionByName(seen)
+        links = cut(_within(_relevant(pages), _all(assets), room))
+        if config.max_assets is not None or progress is not None:
+            assets.append(cut(_assets(links).join(_all(assets), "url", "left_anti")))
+            n_assets += assets[-1].count()
+        reads.append(pages.select("url", "status", "content_type", "title", "visit", F.lit(listing).alias("listing")))
+        found.append(links)
         return links
 
+    def tell(message: str) -> None:
+        if progress is not None:
+            progress(message, visit)
+
     for number in range(config.max_pages):
         url = U.listing_url(config.base_url, number)
-        page = fetch(spark.createDataFrame([(url,)], "url string")).withColumn("visit", F.lit(visit).cast("long"))
-        links = gather(page, True)
-        frontier = links if frontier is None else frontier.unionByName(links)
+        links = gather(fetch(F.broadcast(spark.createDataFrame([(url,)], "url string"))).withColumn("visit", F.lit(visit).cast("long")), True)
         visit += 1
-        status = reads.filter(F.col("visit") == visit - 1).select("status").first()[0]
+        status = reads[-1].select("status").first()[0]
         size, *mark = signature(links).first()
         mark = (size, *mark)
-        progress(f"listing page {number}: {size} links", visit)
+        tell(f"listing page {number}: {size} links")
         if status != 200 or number > 0 and (mark in signatures or not size):
             break
         signatures.add(mark)
 
-    followed = 0
+    frontier, followed = _all(found), 0
     while True:
         room = None if config.max_follow_pages is None else config.max_follow_pages - followed
         # Pages seen before the last level have been read, or a limit has ended the crawl.
         pages = frontier.filter(F.col("kind").isin("dataset_page", "documentation_page")).groupBy("url").agg(F.min(_place(F.col("link_no"))).alias("at"))
-        new = pages.join(reads.filter(~F.col("listing")).select("url"), "url", "left_anti")
-        level = cut(ranked(new if room is None else new.orderBy("at").limit(max(0, room)), "at", "visit", visit).select("url", "visit"))
-        size = level.count()
+        new = pages.join(_all(levels), "url", "left_anti")
+        level, size = counted_ranks(new if room is None else new.orderBy("at").limit(max(0, room)), "at", "visit", visit)
         if not size:
             break
-        frontier = gather(fetch(level.select("url")).join(level, "url"), False)
+        level = level.select("url", "visit")
+        levels.append(level.select("url"))
+        small = F.broadcast if size <= SENT else lambda urls: urls
+        frontier = gather(fetch(small(level.select("url"))).join(small(level), "url"), False)
         visit, followed = visit + size, followed + size
-        progress(f"{followed} follow pages, {n_assets} assets", visit)
+        tell(f"{followed} follow pages, {n_assets} assets")
 
-    rows = merged(events, "url", ["title", "source_url", "source_title"], "at")
+    read, links = _all(reads), _all(found)
+    seen = read.select("url", "title", F.lit("").alias("source_url"), F.lit("").alias("source_title"), _place().alias("at"), F.col("listing").alias("counts")).unionByName(
+        links.select("url", "title", "source_url", "source_title", _place(F.col("link_no")).alias("at"), F.lit(True).alias("counts")))
+    rows = merged(seen, "url", ["title", "source_url", "source_title"], "at")
     # A page's own reading counts as a sighting only for a listing page.
-    duplicates = events.filter("counts").count() - events.filter("counts").select("url").distinct().count()
-    last = reads.groupBy("url").agg(F.max_by(F.struct("status", "content_type", "linked_documents", "listing"), "visit").alias("r")).select(F.col("url").alias("_page"), "r.*")
-    probed = probe(assets).select(F.col("url").alias("_asset"), F.col("status").alias("a_status"), F.col("content_type").alias("a_type"))
+    sightings = seen.filter("counts").groupBy("url").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)))
+    duplicates = sightings.first()[0]
+    linked = links.groupBy("visit").agg(F.countDistinct("url").cast("int").alias("linked_documents"))
+    own = read.join(linked, "visit", "left").withColumn("linked_documents", F.coalesce("linked_documents", F.lit(0)))
+    last = own.groupBy("url").agg(F.max_by(F.struct("status", "content_type", "linked_documents", "listing"), "visit").alias("r")).select(F.col("url").alias("_page"), "r.*")
+    # Cut, so that an asset is asked about once.
+    probed = cut(probe(_assets(links)).select(F.col("url").alias("_asset"), F.col("status").alias("a_status"), F.col("content_type").alias("a_type")))
     joined = rows.join(last, F.col("url") == F.col("_page"), "left").join(probed, F.col("url") == F.col("_asset"), "left")
     status = F.coalesce("status", "a_status")
     kind = F.when(F.coalesce("listing", F.lit(False)), "listing_page").otherwise(U.resource_kind(F.col("url")))

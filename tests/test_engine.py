@@ -475,3 +475,27 @@ def test_streamed_variables_equal_batch_variables(spark, tmp_path):
         stream.append_candidates(stream.chunk_rows(spark, str(tmp_path / "in"), 1), str(tmp_path / "out"), str(tmp_path / "at"))
     got = sorted(map(tuple, stream.variables_so_far(spark, str(tmp_path / "out")).collect()), key=repr)
     assert got == sorted(map(tuple, variables.extract_variables(chunks)[0].collect()), key=repr) and len(got) == 2
+
+
+def test_estimates_of_sizes_do_not_grow_with_rounds(spark):
+    now = spark.range(200).withColumn("n", F.col("id") + 1)
+    for _ in range(7):
+        now = lineage.cut(now.join(now.select(F.col("id").alias("n"), F.col("n").alias("m")), "n").select("id", F.col("m").alias("n")))
+        assert "E+" not in now._jdf.queryExecution().optimizedPlan().stats().simpleString()
+    assert {tuple(r) for r in now.collect()} == {(i, i + 128) for i in range(73)}
+
+
+def test_deep_crawl(spark):
+    """A chain of pages: each level costs the same few checkpoints, and the driver's estimates stay small."""
+    site = "https://ex.org/cms-data/files/s"
+    web = {f"{site}{i}": (200, "text/html", f'<a href="/cms-data/files/s{i + 1}">n</a><a href="/f/{i % 3}.pdf">a</a>') for i in range(7)}
+    web["https://ex.org/cms-data?page=0"] = (200, "text/html", '<a href="/cms-data/files/s0">n</a>')
+    said, made = [], []
+    kept, crawl.cut = crawl.cut, lambda df: made.append(kept(df)) or made[-1]
+    try:
+        c = crawl.crawl(spark, crawl.CrawlConfig("https://ex.org/cms-data", 1), crawl.table_web(spark.createDataFrame([(u, *p) for u, p in web.items()], "url string, status int, content_type string, html string")))
+    finally:
+        crawl.cut = kept
+    assert c.summary["asset"] == 3 and c.summary["dataset_page"] == 8 and c.summary["duplicates_skipped"] == 4
+    assert not any("E+" in df._jdf.queryExecution().optimizedPlan().stats().simpleString() for df in made)
+    assert len(made) <= 2 * 9 + 2
