@@ -15,15 +15,23 @@ first: as an argument of ``search``, not as a filter on its result.
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from quarry.functions.text import TOKEN, once, snippet, text_of, tokens
+from quarry.lineage import cut
 
 # The ranking's constants.
 K1, B = 1.2, 0.75
 WHOLE, PART, PHRASE = 8.0, 4.0, 2.0
+# Bounds of memory only: pairs in an Arrow batch, repeated ids that are broadcast.
+PAIRS, SENT = 100_000, 100_000
 
 
 def query_terms(query: str) -> tuple[str, list[str]]:
@@ -113,12 +121,65 @@ def search(records: DataFrame, query: str, limit: int = 10, record_types: list[s
     return best.select("record_id", "record_type", "title", "dataset_id", "score", cut.alias("snippet"), "source_url", "source_document", "page").orderBy(*order)
 
 
-def postings(records: DataFrame) -> DataFrame:
-    """(term, record_id, tf, length): an index to keep, best written in buckets of ``term``."""
+def _merged_postings(records: DataFrame) -> DataFrame:
+    """Postings of records whose ids may repeat: every pair of term and record is shuffled."""
     own = tokenized(records).select("record_id", F.size("tokens").alias("length"), F.explode("tokens").alias("term"))
     return own.groupBy("term", "record_id").agg(F.count("*").alias("tf"), F.max("length").alias("length"))
 
 
+def _counted_terms(kind: pa.DataType):
+    def batch(terms: list, rows: list[int], tfs: list[int], lengths: list[int], ids: pa.Array) -> pa.RecordBatch:
+        own = ids.take(pa.array(rows, pa.int64())).cast(kind)
+        return pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), own, pa.array(tfs, pa.int64()), pa.array(lengths, pa.int32())], ["term", "record_id", "tf", "length"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut_up = re.compile(TOKEN).findall
+        for read in batches:
+            ids, texts = read.column(0), read.column(1)
+            terms, rows, tfs, lengths = [], [], [], []
+            for i, text in enumerate(texts):
+                own = cut_up(text.as_py())
+                held = Counter(own)
+                terms += held
+                tfs += held.values()
+                rows += [i] * len(held)
+                lengths += [len(own)] * len(held)
+                if len(terms) >= PAIRS:
+                    yield batch(terms, rows, tfs, lengths, ids)
+                    terms, rows, tfs, lengths = [], [], [], []
+            if terms:
+                yield batch(terms, rows, tfs, lengths, ids)
+
+    return run
+
+
+def _own_postings(records: DataFrame) -> DataFrame:
+    """Postings of records with ids of their own: each is counted where it stands, nothing is shuffled."""
+    text = F.array_join("tokens", " ") if "tokens" in records.columns else F.lower(text_of("text"))
+    own = records.select("record_id", text.alias("text"))
+    kind = own.schema["record_id"].dataType
+    out = T.StructType([T.StructField("term", T.StringType()), T.StructField("record_id", kind), T.StructField("tf", T.LongType()), T.StructField("length", T.IntegerType())])
+    return own.mapInArrow(_counted_terms(to_arrow_type(kind)), out)
+
+
+def postings(records: DataFrame) -> DataFrame:
+    """(term, record_id, tf, length): an index to keep, best written in buckets of ``term``.
+
+    Ids that stand more than once are looked for first, by the ids alone; only their
+    records, whose counts have to be added up, are shuffled.
+    """
+    ids = records.select(F.col("record_id").alias("_id"))
+    twice = cut(ids.groupBy("_id").agg(F.count("*").alias("n")).filter("n > 1").select("_id"))
+    repeated = twice.count()
+    if not repeated:
+        return _own_postings(records)
+    if repeated > SENT:
+        return _merged_postings(records)
+    same = F.col("record_id").eqNullSafe(F.col("_id"))
+    once_only, more = (records.join(F.broadcast(twice), same, how) for how in ("left_anti", "left_semi"))
+    return _own_postings(once_only).unionByName(_merged_postings(more))
+
+
 def document_frequency(records: DataFrame) -> DataFrame:
     """(term, df, tf) over all records: how many hold a term, and how often it stands."""
     own = tokenized(records)

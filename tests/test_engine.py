@@ -499,3 +499,20 @@ def test_deep_crawl(spark):
     assert c.summary["asset"] == 3 and c.summary["dataset_page"] == 8 and c.summary["duplicates_skipped"] == 4
     assert not any("E+" in df._jdf.queryExecution().optimizedPlan().stats().simpleString() for df in made)
     assert len(made) <= 2 * 9 + 2
+
+
+def test_postings_of_repeated_and_own_ids(spark, monkeypatch):
+    """Records with ids of their own are counted without a shuffle; repeated and NULL ids are added up."""
+    rows = [("a", "x y x"), ("b", None), ("c", "Z, x"), ("d", "  ")]
+    more = [("c", "x x x x"), (None, "n"), (None, "N n m")]
+    as_set = lambda df: {tuple(r) for r in df.select("term", "record_id", "tf", "length").collect()}
+    own = search.postings(spark.createDataFrame(rows, "record_id string, text string"))
+    assert "Exchange" not in own._jdf.queryExecution().executedPlan().toString()
+    assert as_set(own) == {("x", "a", 2, 3), ("y", "a", 1, 3), ("z", "c", 1, 2), ("x", "c", 1, 2)}
+    want = {("x", "a", 2, 3), ("y", "a", 1, 3), ("z", "c", 1, 2), ("x", "c", 5, 4), ("n", None, 3, 3), ("m", None, 1, 3)}
+    both = spark.createDataFrame(rows + more, "record_id string, text string")
+    assert as_set(search.postings(both)) == want == as_set(search.postings(search.tokenized(both)))
+    monkeypatch.setattr(search, "SENT", 0)
+    assert as_set(search.postings(both)) == want
+    monkeypatch.setattr(search, "PAIRS", 1)
+    assert as_set(search.postings(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "record_id long, text string"))) == {("x", 0, 2, 3), ("y", 0, 1, 3), ("z", 2, 1, 2), ("x", 2, 1, 2)}
